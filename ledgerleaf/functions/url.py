@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .text import col
@@ -26,12 +28,8 @@ def page_param(url: Column | str, name: str = "page") -> Column:
 
 def in_domain(url: Column | str, *domains: str) -> Column:
     """Host equals one of the domains or is a subdomain of it; false for non-URLs."""
-    h = F.lower(host(url))
-    hit = F.lit(False)
-    for d in domains:
-        d = d.lower()
-        hit = hit | (h == d) | h.endswith("." + d)
-    return F.coalesce(hit, F.lit(False))
+    names = "|".join(re.escape(d.lower()) for d in domains)
+    return F.coalesce(F.lower(host(url)).rlike(rf"(^|\.)({names})$"), F.lit(False))
 
 
 def page_url(page: Column | str, start_url: Column | str, template: Column | str) -> Column:

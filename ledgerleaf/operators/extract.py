@@ -7,6 +7,7 @@ the address rule and the record layout stay native.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -93,12 +94,9 @@ class _PageReader(HTMLParser):
         self.open: list[tuple[int, int, dict]] = []  # (depth, start offset, row)
         self.rows: list[dict] = []
         self.data: list[str] = []
-        self.lines = [0]
-        for i, ch in enumerate(page):
-            if ch == "\n":
-                self.lines.append(i + 1)
+        self.lines = [0, *(m.end() for m in re.finditer("\n", page))]
 
-    def offset(self) -> int:
+    def here(self) -> int:
         line, column = self.getpos()
         return self.lines[line - 1] + column
 
@@ -133,7 +131,7 @@ class _PageReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.flush()
-        start = self.offset()
+        start = self.here()
         if tag in SELF_CLOSING and self.path and self.path[-1][0] == tag:
             self.cut(len(self.path) - 1, start)
         values = dict(reversed(attrs))  # the first of repeated attributes counts
@@ -159,9 +157,9 @@ class _PageReader(HTMLParser):
         self.flush()
         for depth in range(len(self.path) - 1, -1, -1):
             if self.path[depth][0] == tag:
-                closed = self.page.find(">", self.offset()) + 1
+                closed = self.page.find(">", self.here()) + 1
                 end = closed or len(self.page)
-                self.cut(depth + 1, self.offset())
+                self.cut(depth + 1, self.here())
                 self.cut(depth, end)
                 return
             if tag not in CONTAINERS and self.path[depth][0] in CONTAINERS:

@@ -107,7 +107,7 @@ def enrich_geo(t):
 
 @query("enriched_rows", f"""
     select c_custkey as cleaned_data_id, 'geolocation' as enrichment_type,
-           to_json({{'n_name': n_name, 'r_name': r_name}}) as data, 'nation table' as source,
+           cast(to_json({{'n_name': n_name, 'r_name': r_name}}) as varchar) as data, 'nation table' as source,
            cast(1.0 as double) as confidence_score
     from customer join {PLACES} on c_nationkey = n_nationkey""")
 def enriched_rows(t):
@@ -178,11 +178,11 @@ def master_lineage(t):
            first(p_name order by conf desc nulls last, done desc, p_partkey) as name,
            first(p_type order by conf desc nulls last, done desc, p_partkey) as type,
            first(p_brand order by conf desc nulls last, done desc, p_partkey) as city,
-           to_json({'id': first(p_partkey order by conf desc nulls last, done desc, p_partkey),
+           cast(to_json({'id': first(p_partkey order by conf desc nulls last, done desc, p_partkey),
                     'raw_data_id': first(p_partkey order by conf desc nulls last, done desc, p_partkey),
                     'source_id': first(cast(p_size as bigint) order by conf desc nulls last, done desc, p_partkey)})
-             as primary_data,
-           to_json({'record_count': count(*)}) as data_json,
+             as varchar) as primary_data,
+           cast(to_json({'record_count': count(*)}) as varchar) as data_json,
            array_to_string(list_sort(list(distinct p_size)), ',') as sources,
            min(done) as created_at, max(done) as updated_at, max(conf) as confidence_score
     from p group by key""")
