@@ -8,7 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from .text import col
+from .text import col, to_int
 
 
 def json_text(c: Column | str, path: str) -> Column:
@@ -19,13 +19,13 @@ def json_text(c: Column | str, path: str) -> Column:
 def json_int(c: Column | str, path: str, strict: bool = False) -> Column:
     """Integer at ``path``.  ``strict`` fails on bad text (ANSI cast); otherwise NULL."""
     t = json_text(c, path)
-    return t.cast("int") if strict else t.try_cast("int")
+    return t.cast("int") if strict else to_int(t)
 
 
 def bad_int(c: Column | str, path: str) -> Column:
     """True where a value is present but is no integer."""
     t = json_text(c, path)
-    return t.isNotNull() & t.try_cast("int").isNull()
+    return t.isNotNull() & to_int(t).isNull()
 
 
 def variant(c: Column | str) -> Column:
@@ -34,22 +34,23 @@ def variant(c: Column | str) -> Column:
 
 def get_default(v: Column, path: str, default: str = "") -> Column:
     """Text at ``path`` of a variant: missing key gives ``default``, JSON null stays NULL."""
-    found = F.try_variant_get(v, path, "variant")
-    return F.when(found.isNull(), F.lit(default)).otherwise(F.try_variant_get(v, path, "string"))
+    missing = F.try_variant_get(v, path, "variant").isNull()
+    return F.coalesce(F.try_variant_get(v, path, "string"), F.when(missing, F.lit(default)))
 
 
-def variant_kind(v: Column) -> Column:
-    """Type of a variant in one word: null, object, list, str, int, float or bool."""
-    s = F.schema_of_variant(v)
+def variant_kind(v: Column, text: Column) -> Column:
+    """Type of a variant in one word: null, object, list, str, int, float or bool.
+
+    ``text`` is its JSON, whose first character tells all but the two kinds of number.
+    """
+    first = F.substring(text, 1, 1)
     return (
-        F.when(v.isNull(), F.lit(None))
-        .when(F.is_variant_null(v), "null")
-        .when(s.startswith("OBJECT"), "object")
-        .when(s.startswith("ARRAY"), "list")
-        .when(s == "STRING", "str")
-        .when(s == "BOOLEAN", "bool")
-        .when(s == "BIGINT", "int")
-        .otherwise("float")
+        F.when(first == "{", "object")
+        .when(first == "[", "list")
+        .when(first == '"', "str")
+        .when(first == "n", "null")
+        .when(first.isin("t", "f"), "bool")
+        .when(text.isNotNull(), F.when(F.schema_of_variant(v) == "BIGINT", "int").otherwise("float"))
     )
 
 

@@ -6,9 +6,13 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-#: Java's Unicode ``\s`` plus U+001C..U+001F is exactly the set Python's ``str.split()``
-#: and ``str.strip()`` treat as whitespace.
-WHITESPACE = r"[\s\x1c-\x1f]"
+#: The characters ``str.split()`` and ``str.strip()`` treat as whitespace in
+#: Python.  As a pattern: Java's Unicode ``\s`` plus U+001C..U+001F.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 
 def col(c: Column | str) -> Column:
@@ -17,12 +21,12 @@ def col(c: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """NULL becomes ``''``; whitespace runs become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), f"(?U){WHITESPACE}+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), SPACE_RUN, " "))
 
 
 def strip(c: Column | str) -> Column:
     """Trim both ends, keep inner whitespace."""
-    return F.regexp_replace(col(c), f"(?U)^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def strip_all(texts: Column | str) -> Column:
@@ -38,9 +42,19 @@ def first_and_last(texts: Column | str) -> tuple[Column, Column]:
     return first, last
 
 
+def to_int(c: Column | str) -> Column:
+    """Integer value of text, NULL for anything else.
+
+    The pattern keeps bad text away from the cast, which raises and catches an exception
+    per bad value.
+    """
+    t = col(c)
+    return F.when(t.rlike(r"^\s*[+-]?\d+\s*$"), t).try_cast("int")
+
+
 def is_blank(c: Column | str) -> Column:
     """True for NULL, empty and all-whitespace text; never NULL."""
-    return F.coalesce(strip(c), F.lit("")) == ""
+    return F.coalesce(F.ltrim(col(c), F.lit(SPACES)), F.lit("")) == ""
 
 
 def too_long(c: Column | str, limit: int) -> Column:

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .text import col
+from .text import col, to_int
 
 
 def host(url: Column | str) -> Column:
@@ -23,7 +23,7 @@ def fragment(url: Column | str) -> Column:
 
 
 def page_param(url: Column | str, name: str = "page") -> Column:
-    return query_param(url, name).try_cast("int")
+    return to_int(query_param(url, name))
 
 
 def in_domain(url: Column | str, *domains: str) -> Column:

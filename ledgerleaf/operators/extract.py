@@ -254,9 +254,14 @@ def items_from_json(df: DataFrame, json_col: str = "raw_json") -> DataFrame:
     the document, known or not.  Text that is no JSON gets a NULL hash and is rejected.
     """
     doc = df.withColumn("_v", J.variant(json_col))
-    v = F.col("_v")
-    address = F.try_variant_get(v, "$.address", "variant")
-    kind = F.when(J.variant_kind(v) != "object", J.variant_kind(v)).otherwise(J.variant_kind(address))
+    doc = doc.withColumns({
+        "_text": J.canonical_variant(F.col("_v")),
+        "_address": F.try_variant_get("_v", "$.address", "variant"),
+    })
+    v, whole, address = F.col("_v"), F.col("_text"), F.col("_address")
+    kind = F.when(whole.startswith("{"), J.variant_kind(address, F.to_json(address))).otherwise(
+        J.variant_kind(v, whole)
+    )
     message = F.create_map(*[F.lit(x) for kv in ADDRESS_ERROR.items() for x in kv])
     content = F.struct(
         J.get_default(v, "$.name").alias("name"),
@@ -275,6 +280,6 @@ def items_from_json(df: DataFrame, json_col: str = "raw_json") -> DataFrame:
         "source_id", "run_id", "page_number", "entry_pos", "url",
         content.alias("raw_content"),
         F.col(json_col).alias("raw_json"),
-        F.md5(J.canonical_variant(v)).alias("hash"),
+        F.md5(whole).alias("hash"),
         F.try_element_at(message, kind).alias("address_error"),
     )

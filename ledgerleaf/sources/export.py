@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 FORMATS = ("csv", "json", "parquet")
+#: Quotes are doubled, NULL is ``\\N``; read back with the same options and ``multiLine``.
+CSV = {"header": "true", "escape": '"', "nullValue": r"\N"}
 NESTED = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
 
 
@@ -26,8 +28,7 @@ def export(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "error")
         raise ValueError(f"format must be one of {FORMATS}")
     writer = (flat(df) if fmt == "csv" else df).write.mode(mode)
     if fmt == "csv":
-        # Both settings keep quotes and empty strings apart from escapes and NULLs.
-        writer = writer.options(header=True, escape='"', emptyValue='""', nullValue="")
+        writer = writer.options(**CSV)
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     writer.format(fmt).save(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerleaf import schemas
+from ledgerleaf.functions.text import to_int
 
 
 def page_table(spark: SparkSession, path: str, schema: T.StructType = schemas.PAGES) -> DataFrame:
@@ -14,12 +15,12 @@ def page_table(spark: SparkSession, path: str, schema: T.StructType = schemas.PA
 def page_files(spark: SparkSession, path: str, source_id: int | None = None,
                run_id: int | None = None, page_pattern: str = r"(\d+)[^/\d]*$") -> DataFrame:
     """One row per file under ``path``; the page number is read from the file name."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     name = F.col("_metadata.file_path")
     return files.select(
         F.lit(source_id).cast("bigint").alias("source_id"),
         F.lit(run_id).cast("bigint").alias("run_id"),
-        F.regexp_extract(name, page_pattern, 1).try_cast("int").alias("page_number"),
+        to_int(F.regexp_extract(name, page_pattern, 1)).alias("page_number"),
         name.alias("url"),
         F.col("value").alias("html"),
     )
@@ -36,10 +37,10 @@ def parse_failed(lines: DataFrame, column: str = "value") -> DataFrame:
     a URL without a number never mismatches.
     """
     line = F.col(column)
-    page = F.regexp_extract(line, FAILED_LINE, 1).try_cast("int")
+    page = to_int(F.regexp_extract(line, FAILED_LINE, 1))
     url = F.regexp_extract(line, FAILED_LINE, 2)
     parsed = lines.where(line.rlike(FAILED_LINE)).select(page.alias("page"), url.alias("url"))
-    in_url = F.regexp_extract("url", r"Seite-(\d+)(?:\.html)?$", 1).try_cast("int")
+    in_url = to_int(F.regexp_extract("url", r"Seite-(\d+)(?:\.html)?$", 1))
     return parsed.distinct().withColumn("mismatch", F.coalesce(in_url != F.col("page"), F.lit(False)))
 
 

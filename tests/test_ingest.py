@@ -67,7 +67,7 @@ def test_rejected_content_leaves_no_hash(items, no_history, rows):
 def test_address_cases(json_items, no_history):
     docs = [{"name": "n0"}, {"name": "n1", "address": None}, {"name": "n2", "address": "text"},
             {"name": "n3", "address": []}, {"name": "n4", "address": {}}, {"name": "n5", "address": {"city": None}},
-            {"name": "n6", "address": 3}, {"name": "n7", "address": 1.5}, {"name": "n8", "address": True}]
+            {"name": "n6", "address": 3}, {"name": "n7", "address": 1.0}, {"name": "n8", "address": True}]
     raw = I.ingest(json_items(*map(json.dumps, docs)), no_history).raw
     stored = {r.url: r for r in raw.where("error is null").collect()}
     errors = {r.url: r for r in raw.where("error is not null").collect()}
