@@ -54,17 +54,29 @@ def flag(items: DataFrame, sources: DataFrame | None = None, runs: DataFrame | N
 
 def ingest(items: DataFrame, history: DataFrame, sources: DataFrame | None = None,
            runs: DataFrame | None = None, limits: dict[str, int] | None = None,
-           now: Column | None = None, probe_history: bool = False) -> Ingested:
+           now: Column | None = None, probe_history: bool = False,
+           item_id: str | None = None) -> Ingested:
     """Raw rows to append (without ids) and rejected items.
 
-    ``history`` has a ``hash`` column.  The winners' shuffle on ``hash`` also serves the
-    look-up against the history; ``probe_history`` is for batches much smaller than it.
+    ``history`` has a ``hash`` column; ``probe_history`` is for batches much smaller than it.
+    The winners' shuffle on ``hash`` also serves the look-up against the history.
+
+    ``item_id`` names a unique column of items that are stored, i.e. cheap to read twice.
+    Winners are then picked and looked up on hashes and ids alone, and the contents of the
+    new items, markup and all, are fetched by id: without moving them while the new items
+    are few enough to broadcast, in one shuffle on a unique key otherwise.  Without it the
+    contents travel with the hashes, one candidate per map task and hash.
     """
     now = F.current_timestamp() if now is None else now
+    unseen = drop_seen_probing if probe_history else drop_seen
     flagged = flag(items, sources, runs, limits)
     sound = flagged.where(F.col("reason").isNull()).drop("reason")
-    firsts = first_wins(sound, "hash", ARRIVAL)
-    fresh = (drop_seen_probing if probe_history else drop_seen)(firsts, history)
+    if item_id is None:
+        fresh = unseen(first_wins(sound, "hash", ARRIVAL), history)
+    else:
+        narrow = sound.select("hash", item_id, *ARRIVAL)
+        winners = unseen(first_wins(narrow, "hash", [*ARRIVAL, item_id]), history)
+        fresh = items.join(winners.select(item_id), item_id, "left_semi")
     bad = flagged.where(F.col("reason").isNotNull())
     return Ingested(raw_rows(fresh, now), rejected_rows(bad, sound, history, now))
 

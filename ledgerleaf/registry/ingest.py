@@ -153,7 +153,7 @@ def union_rejects(t):
 # Documents as listing items in JSON: Spanish ones have a null address (they fail), German
 # ones none at all (it reads as blank).  Nations outside Africa are the known sources, good
 # labelled documents the history.
-def document_items(t) -> DataFrame:
+def document_items(documents: DataFrame) -> DataFrame:
     first_line = F.substring_index("text", "\n", 1).alias("name")
     place = F.struct(F.col("source").alias("street"), F.col("lang").alias("city"))
     rest = [F.col("text").alias("html"), F.lit(1).alias("page_number"), F.lit(None).cast("string").alias("phone")]
@@ -162,7 +162,7 @@ def document_items(t) -> DataFrame:
         F.struct(first_line, F.when(F.col("lang") != "es", place).alias("address"), *rest), keep_nulls
     )
     without = F.to_json(F.struct(first_line, *rest), keep_nulls)
-    return extract.items_from_json(t.documents.select(
+    return extract.items_from_json(documents.select(
         F.substring("source", 4, 10).cast("bigint").alias("source_id"),
         F.lit(None).cast("bigint").alias("run_id"),
         F.lit(1).alias("page_number"),
@@ -173,9 +173,9 @@ def document_items(t) -> DataFrame:
 
 
 def ingested(t, probe: bool = False) -> ingest.Ingested:
-    items = document_items(t)
-    good = t.labels.where("quality = 1").select(F.col("doc_id").alias("entry_pos"))
-    history = items.join(good, "entry_pos", "left_semi").select("hash")
+    items = document_items(t.documents)
+    stored = t.documents.join(t.labels.where("quality = 1"), "doc_id", "left_semi")
+    history = document_items(stored).select("hash")
     sources = t.nation.join(t.region.where("r_name <> 'AFRICA'"), F.col("n_regionkey") == F.col("r_regionkey"))
     known = sources.select(F.col("n_nationkey").cast("bigint").alias("id"))
     return ingest.ingest(items, history, known, probe_history=probe)

@@ -43,8 +43,9 @@ def load_batch(job: IngestJob, pages: DataFrame, batch_id: int, at: datetime | N
 
 def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | None = None) -> None:
     wh, now = job.warehouse, F.lit(at or ledger.utc_now())
-    items.write.mode("overwrite").parquet(job.staging(batch_id))
-    staged = wh.spark.read.schema(items.schema).parquet(job.staging(batch_id))
+    numbered = I.with_ids(items, name="item_id")
+    numbered.write.mode("overwrite").parquet(job.staging(batch_id))
+    staged = wh.spark.read.schema(numbered.schema).parquet(job.staging(batch_id))
 
     last_raw, last_cleaned = _last_ids(wh, batch_id)
     done = I.ingest(
@@ -53,6 +54,7 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         sources=wh.read("data_sources"),
         now=now,
         probe_history=job.probe_history,
+        item_id="item_id",
     )
     wh.put("raw_data", I.with_ids(done.raw, last_raw), batch_id)
     wh.put("rejected_items", done.rejects, batch_id)

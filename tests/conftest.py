@@ -93,8 +93,4 @@ def collected(df: DataFrame, *order: str) -> list[tuple]:
     return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
 
 
-def plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().toString()
-
-
-__all__ = ["F", "collected", "content", "listing", "plan"]
+__all__ = ["F", "collected", "content", "listing"]

@@ -138,3 +138,17 @@ def test_result_does_not_depend_on_partitioning(items, no_history, parts):
     data = [(1, 1 + i % 2, i % 3, i, f"u{i}", content(f"n{i % 5}", page=1)) for i in range(40)]
     got = I.ingest(items(*data).repartition(parts), no_history).raw
     assert collected(got.select("url")) == [("u0",), ("u12",), ("u18",), ("u24",), ("u6",)]
+
+
+def test_fetching_by_id_gives_the_same_rows(items, no_history, rows):
+    data = [(1 + i % 3, 1 + i % 2, i % 3, i, f"u{i}", content(f"n{i % 5}" * (1 + 200 * (i % 7 == 0)), page=1))
+            for i in range(40)]
+    frame = items(*data).withColumn("item_id", F.col("entry_pos").cast("bigint"))
+    known = rows("id bigint", (1,), (2,))
+    old = I.ingest(items((1, 0, 0, 0, "z", content("n3", page=1))), no_history).raw.select("hash")
+    for history in (no_history, old):
+        carried = I.ingest(frame.drop("item_id"), history, known)
+        fetched = I.ingest(frame, history, known, item_id="item_id")
+        assert collected(fetched.raw.select("url", "hash")) == collected(carried.raw.select("url", "hash"))
+        assert collected(fetched.rejects.select("url", "reason")) == collected(carried.rejects.select("url", "reason"))
+        assert fetched.raw.columns == carried.raw.columns
