@@ -1,15 +1,16 @@
 """Listing pages to entry rows.
 
-Markup is read by one small per-page helper (stdlib ``html.parser``) behind an Arrow
-batched UDF that sees the ``html`` column only.  Every other column, the text cleaning,
-the address rule and the record layout stay native.
+Markup is read by one small per-page helper behind an Arrow batched UDF that sees the
+``html`` column only.  Every other column, the text cleaning, the address rule and the
+record layout stay native.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -18,10 +19,20 @@ from ledgerleaf import schemas
 from ledgerleaf.functions import json as J, text as X
 
 #: Fixed values of the markup rules: elements without content, elements a sibling of the
-#: same name closes, and containers that a stray inline end tag cannot close.
+#: same name closes, containers that a stray inline end tag cannot close, and elements
+#: whose content is text only.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SELF_CLOSING = frozenset("p li td th tr option dt dd".split())
 CONTAINERS = frozenset("div table td th tr ul ol section article main body html".split())
+RAW = ("script", "style", "textarea", "title")
+
+# Quantifiers are possessive and nothing fails at the end of a page, so that it is scanned
+# once, however broken its markup is.
+COMMENT = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
+INSIDE_TAG = r"""(?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?)*+"""
+TAG = rf"<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>{INSIDE_TAG})(?:>|\Z)"
+TOKEN = re.compile(f"{COMMENT}|{TAG}", re.I | re.S)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+)))?""")
 
 
 @dataclass(frozen=True)
@@ -29,7 +40,7 @@ class EntryRules:
     """What to take from a page.
 
     Selectors are ``tag.class`` steps joined by spaces, outermost first; either part of a
-    step may be missing.  A text rule yields the first text directly inside a matching
+    step may be missing.  ``entry`` is a single step.  A text rule yields the first text directly inside a matching
     element, an attribute rule the first value present, ``parts`` every text below it.
     """
 
@@ -74,115 +85,180 @@ def _step_hits(step, element) -> bool:
     return (not step[0] or step[0] == element[0]) and step[1] <= element[1]
 
 
-def _path_hits(steps, path) -> bool:
-    """The last step is the innermost element; the others occur above it in order."""
-    if not path or not _step_hits(steps[-1], path[-1]):
-        return False
-    above = iter(path[:-1])
-    return all(any(_step_hits(s, e) for e in above) for s in steps[:-1])
-
-
-class _PageReader(HTMLParser):
-    def __init__(self, page: str, rules: EntryRules):
-        super().__init__(convert_charrefs=True)
-        self.page = page
-        self.entry = _steps(rules.entry)
-        self.texts = {k: _steps(s) for k, s in rules.texts.items()}
-        self.attrs = {k: (_steps(s), a) for k, (s, a) in rules.attrs.items()}
-        self.parts = {k: _steps(s) for k, s in rules.parts.items()}
-        self.path: list[tuple[str, frozenset[str]]] = []
-        self.open: list[tuple[int, int, dict]] = []  # (depth, start offset, row)
-        self.rows: list[dict] = []
-        self.data: list[str] = []
-        self.lines = [0, *(m.end() for m in re.finditer("\n", page))]
-
-    def here(self) -> int:
-        line, column = self.getpos()
-        return self.lines[line - 1] + column
-
-    def run(self) -> list[dict]:
-        self.feed(self.page)
-        self.close()
-        self.flush()
-        self.cut(0, len(self.page))
-        return self.rows
-
-    def flush(self) -> None:
-        """One text node ends where a tag or comment begins."""
-        text, self.data = "".join(self.data), []
-        if not text:
-            return
-        for depth, _, row in self.open:
-            inside = self.path[depth - 1:]
-            for name, steps in self.texts.items():
-                if row[name] is None and _path_hits(steps, inside):
-                    row[name] = text
-            below = inside[1:]
-            for name, steps in self.parts.items():
-                if any(_path_hits(steps, below[: i + 1]) for i in range(len(below))):
-                    row[name].append(text)
-
-    def cut(self, depth: int, end: int) -> None:
-        """Close elements deeper than ``depth``; entries among them end at ``end``."""
-        while self.open and self.open[-1][0] > depth:
-            _, start, row = self.open.pop()
-            row["html"] = self.page[start:end]
-        del self.path[depth:]
-
-    def handle_starttag(self, tag, attrs):
-        self.flush()
-        start = self.here()
-        if tag in SELF_CLOSING and self.path and self.path[-1][0] == tag:
-            self.cut(len(self.path) - 1, start)
-        values = dict(reversed(attrs))  # the first of repeated attributes counts
-        self.path.append((tag, frozenset((values.get("class") or "").split())))
-        if _path_hits(self.entry, self.path):
-            row = dict.fromkeys(("html", *self.texts, *self.attrs))
-            row.update((name, []) for name in self.parts)
-            self.open.append((len(self.path), start, row))
-            self.rows.append(row)
-        for depth, _, row in self.open:
-            for name, (steps, attr) in self.attrs.items():
-                if row[name] is None and attr in values and _path_hits(steps, self.path[depth - 1:]):
-                    row[name] = values[attr] or ""
-        if tag in VOID:
-            end = start + len(self.get_starttag_text() or "")
-            self.cut(len(self.path) - 1, end)
-
-    def handle_startendtag(self, tag, attrs):
-        # ``<div/>`` opens a div in HTML; only void elements end on the spot.
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        self.flush()
-        for depth in range(len(self.path) - 1, -1, -1):
-            if self.path[depth][0] == tag:
-                closed = self.page.find(">", self.here()) + 1
-                end = closed or len(self.page)
-                self.cut(depth + 1, self.here())
-                self.cut(depth, end)
-                return
-            if tag not in CONTAINERS and self.path[depth][0] in CONTAINERS:
-                return
-
-    def handle_data(self, data):
-        self.data.append(data)
-
-    def handle_comment(self, data):
-        self.flush()
-
-
-def read_entries(page: str, rules: EntryRules) -> list[dict]:
-    """Entry rows of one page in document order."""
-    return _PageReader(page, rules).run()
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes of a start tag; the first of repeated ones counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(text):
+        value = m[2] or m[3] or m[4] or ""
+        found.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class _Entry:
+    """An open entry: its row and, per open element from the entry on, how far the path
+    down to it satisfies each selector, which selectors match it, and which it lies below."""
+
+    def __init__(self, rules: EntryReader, depth: int, start: int):
+        self.rules, self.depth, self.start = rules, depth, start
+        self.row: dict = dict.fromkeys(("html", *rules.texts, *rules.attrs))
+        self.row.update((name, []) for name in rules.parts)
+        self.levels: list[tuple[list[int], list[str], frozenset[str]]] = []
+
+    def push(self, element, values: dict[str, str]) -> None:
+        rules = self.rules
+        done, _, below = self.levels[-1] if self.levels else ([0] * len(rules.steps), [], frozenset())
+        now, hits = [], []
+        for n, (name, steps) in zip(done, rules.steps):
+            if n == len(steps) - 1:
+                if _step_hits(steps[-1], element):
+                    hits.append(name)
+            elif _step_hits(steps[n], element):
+                n += 1
+            now.append(n)
+        for name in hits:
+            attr = rules.attrs.get(name)
+            if attr in values and self.row[name] is None:
+                self.row[name] = values[attr]
+        if self.levels:  # parts lie below the entry, they cannot be the entry itself
+            below = below.union(name for name in hits if name in rules.parts)
+        self.levels.append((now, hits, below))
+
+    def take(self, text: str) -> None:
+        _, hits, below = self.levels[-1]
+        for name in hits:
+            if name in self.rules.texts and self.row[name] is None:
+                self.row[name] = text
+        for name in below:
+            self.row[name].append(text)
+
+
+class EntryReader:
+    """Reads the entries of pages under one rule set.
+
+    Between entries only comments, text-only elements and possible entry tags are looked
+    at; inside an entry every tag is.
+    """
+
+    def __init__(self, rules: EntryRules):
+        (self.entry,) = _steps(rules.entry)
+        self.texts = frozenset(rules.texts)
+        self.attrs = {name: attr for name, (_, attr) in rules.attrs.items()}
+        self.parts = frozenset(rules.parts)
+        selectors = {**rules.texts, **{k: s for k, (s, _) in rules.attrs.items()}, **rules.parts}
+        self.steps = [(name, _steps(s)) for name, s in selectors.items()]
+        tag = re.escape(self.entry[0]) or r"[a-z][^\s/>]*+"
+        self.between = re.compile(
+            rf"{COMMENT}|<(?P<tag>{tag})(?=[\s/>])(?P<attrs>{INSIDE_TAG})(?:>|\Z)|<(?P<raw>{'|'.join(RAW)})\b",
+            re.I | re.S,
+        )
+
+    def read(self, page: str) -> list[dict]:
+        """Entry rows of one page in document order."""
+        rows: list[dict] = []
+        pos = 0
+        while m := self.between.search(page, pos):
+            pos = m.end()
+            if m["raw"]:
+                pos = _end_of_text(page, m["raw"], pos)[1]
+            elif m["tag"]:
+                values = _attributes(m["attrs"])
+                element = (m["tag"].lower(), frozenset(values.get("class", "").split()))
+                if _step_hits(self.entry, element):
+                    pos = self._read_entry(page, m.start(), rows)
+                elif element[0] in RAW:
+                    pos = _end_of_text(page, element[0], pos)[1]
+        return rows
+
+    def _read_entry(self, page: str, pos: int, rows: list[dict]) -> int:
+        """Read the entry whose start tag is at ``pos``; return where it ends."""
+        path: list[tuple[str, frozenset[str]]] = []
+        entries: list[_Entry] = []
+        unclosed: Counter[str] = Counter()
+
+        def close(depth: int, end: int) -> None:
+            while entries and entries[-1].depth > depth:
+                entry = entries.pop()
+                entry.row["html"] = page[entry.start:end]
+            unclosed.subtract(tag for tag, _ in path[depth:])
+            del path[depth:]
+            for entry in entries:
+                del entry.levels[depth - entry.depth + 1:]
+
+        def take(text: str) -> None:
+            """One text node; it belongs to the innermost open element."""
+            if "&" in text and path[-1][0] not in ("script", "style"):
+                text = unescape(text)
+            for entry in entries:
+                entry.take(text)
+
+        while m := TOKEN.search(page, pos):
+            if m.start() > pos:
+                take(page[pos:m.start()])
+            pos = m.end()
+            tag = (m["tag"] or "").lower()
+            if not tag:
+                continue
+            if m["end"]:
+                depth = _closes(tag, path) if unclosed[tag] else None
+                if depth is not None:
+                    close(depth + 1, m.start())
+                    close(depth, pos)
+                elif tag in CONTAINERS and path[0][0] in SELF_CLOSING:
+                    pos = m.start()  # the end of what holds the entry
+                    close(0, pos)
+            else:
+                if tag in SELF_CLOSING and path and path[-1][0] == tag:
+                    close(len(path) - 1, m.start())
+                    if not path:
+                        return m.start()
+                values = _attributes(m["attrs"])
+                path.append((tag, frozenset(values.get("class", "").split())))
+                unclosed[tag] += 1
+                if _step_hits(self.entry, path[-1]):
+                    entries.append(_Entry(self, len(path), m.start()))
+                    rows.append(entries[-1].row)
+                for entry in entries:
+                    entry.push(path[-1], values)
+                if tag in VOID:
+                    close(len(path) - 1, pos)
+                elif tag in RAW:
+                    end, after = _end_of_text(page, tag, pos)
+                    if end > pos:
+                        take(page[pos:end])
+                    pos = after
+                    close(len(path) - 1, pos)
+            if not path:
+                return pos
+        if pos < len(page):
+            take(page[pos:])
+        close(0, len(page))
+        return len(page)
+
+
+def _closes(tag: str, path: list) -> int | None:
+    """Index of the open element an end tag closes, None for a stray one."""
+    for depth in range(len(path) - 1, -1, -1):
+        if path[depth][0] == tag:
+            return depth
+        if tag not in CONTAINERS and path[depth][0] in CONTAINERS:
+            return None
+    return None
+
+
+def _end_of_text(page: str, tag: str, pos: int) -> tuple[int, int]:
+    """Where the content of a text-only element ends and where its end tag does."""
+    m = re.compile(rf"</{tag}\b[^>]*+>?", re.I).search(page, pos)
+    return (m.start(), m.end()) if m else (len(page), len(page))
 
 
 def entries_column(html: Column | str, rules: EntryRules) -> Column:
     """``array<struct>`` of a page's entries (Arrow batches in, Arrow batches out)."""
 
+    reader = EntryReader(rules)
+
     @F.pandas_udf(T.ArrayType(rules.row_type()))
     def read(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: [] if p is None else read_entries(p, rules))
+        return pages.map(lambda p: [] if p is None else reader.read(p))
 
     return read(X.col(html))
 

@@ -9,7 +9,7 @@ from ledgerleaf.registry.extraction import NAV_RULES
 
 
 def read(page: str, rules=extract.LISTING) -> list[dict]:
-    return extract.read_entries(page, rules)
+    return extract.EntryReader(rules).read(page)
 
 
 def test_listing_fields():
@@ -111,3 +111,32 @@ def test_native_patterns_agree_with_the_reader(spark):
     parsed_titles = extract.page_entries(pages.select("page_id", "html"), titles)
     native_titles = pages.select("page_id", H.first_text("html", "title"))
     assert collected(native_titles) == collected(parsed_titles.select("page_id", "title"))
+
+
+def test_entry_with_optional_end_tag():
+    rules = extract.EntryRules(entry="li", texts={"t": "li"})
+    page = "<ul><li>a<li>b<b>c</b></ul><p>x</p><LI>d</li></body>"
+    assert [(r["t"], r["html"]) for r in read(page, rules)] == [
+        ("a", "<li>a"), ("b", "<li>b<b>c</b>"), ("d", "<LI>d</li>"),
+    ]
+
+
+def test_attributes():
+    (row,) = read("<div data-x='>' class='a&#32;hit b'><h2><A HREF=/x&amp;y class=hitlnk_name>n<b>m</A></h2>< b")
+    assert row["url"] == "/x&y" and row["name"] == "n" and row["html"].endswith("< b")
+    rules = extract.EntryRules(entry=".k", attrs={"v": (".k", "v")})
+    assert [r["v"] for r in read('<p class="k j" v="1" v="2"><i class=k v></i></p><p class="kk" v="3">', rules)] == ["1", ""]
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+
+    n = 4_000
+    for page in ('<div class="hit">' + "<" * n * 10, '<div class="' * n, '<div class="hit"><a b="' * n,
+                 "<div class='hit'><a b=" * n, "<!--" * n, "<!" * n, "<script>" * n + "x" * n,
+                 '<div class="hit">' + "<b>x" * n, '<div class="hit">' + '<a class="hitlnk_name" href="u">' * n,
+                 '<div class="hit">' + "<address>" * n + "x", '<div class="hit">' + "</b>" * n,
+                 '<div class="hit">' + "<i>" * n + "</b>" * n):
+        start = time.perf_counter()
+        read(page)
+        assert time.perf_counter() - start < 0.5, page[:40]
