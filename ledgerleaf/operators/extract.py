@@ -12,8 +12,9 @@ from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerleaf import schemas
 from ledgerleaf.functions import json as J, text as X
@@ -88,6 +89,8 @@ def _step_hits(step, element) -> bool:
 def _attributes(text: str) -> dict[str, str]:
     """Attributes of a start tag; the first of repeated ones counts."""
     found: dict[str, str] = {}
+    if "=" not in text and not text.strip():
+        return found
     for m in ATTRIBUTE.finditer(text):
         value = m[2] or m[3] or m[4] or ""
         found.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
@@ -254,11 +257,11 @@ def _end_of_text(page: str, tag: str, pos: int) -> tuple[int, int]:
 def entries_column(html: Column | str, rules: EntryRules) -> Column:
     """``array<struct>`` of a page's entries (Arrow batches in, Arrow batches out)."""
 
-    reader = EntryReader(rules)
+    reader, out = EntryReader(rules), to_arrow_type(T.ArrayType(rules.row_type()))
 
-    @F.pandas_udf(T.ArrayType(rules.row_type()))
-    def read(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: [] if p is None else reader.read(p))
+    @F.arrow_udf(T.ArrayType(rules.row_type()))
+    def read(pages: pa.Array) -> pa.Array:
+        return pa.array(([] if p is None else reader.read(p) for p in pages.to_pylist()), out)
 
     return read(X.col(html))
 

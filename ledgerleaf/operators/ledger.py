@@ -70,17 +70,6 @@ def close_run(spark: SparkSession, run_id: int, seq: int, at: datetime | None =
     return change(spark, run_id, seq, status="completed", end_time=at or utc_now())
 
 
-def progress_rows(items: DataFrame, raw: DataFrame, seq: int) -> DataFrame:
-    """Ledger rows with what one batch adds to each run: entries seen, duplicates
-    included, and entries that were new."""
-    counts = run_counts(items, raw).where(F.col("id").isNotNull())
-    empty = [f for f in schemas.RUN_CHANGES.fields if f.name not in ("id", "seq", "items_seen", "items_new")]
-    filled = counts.withColumns({
-        "seq": F.lit(seq).cast("bigint"), **{f.name: F.lit(None).cast(f.dataType) for f in empty}
-    })
-    return filled.select(*schemas.RUN_CHANGES.fieldNames())
-
-
 def run_counts(items: DataFrame, raw: DataFrame) -> DataFrame:
     """(id, items_seen, items_new) per run; each side is reduced to runs before they meet."""
     seen = items.groupBy(F.col("run_id").alias("id")).agg(F.count("*").alias("items_seen"))
@@ -93,23 +82,36 @@ def run_counts(items: DataFrame, raw: DataFrame) -> DataFrame:
     return joined.select("id", "items_seen", F.coalesce("items_new", F.lit(0)).alias("items_new"))
 
 
-def run_state(changes: DataFrame) -> DataFrame:
-    """Current row of every run: latest value per column, all errors, summed counters."""
+def run_state(changes: DataFrame, progress: DataFrame | None = None) -> DataFrame:
+    """Current row of every run: latest value per column, all errors, summed counters.
+
+    ``items_processed`` counts every entry seen, duplicates included; ``stats`` also has
+    the new ones.
+    """
     def latest(c: str) -> Column:
         return F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c)
 
     noted = F.collect_list(F.when(F.col("error").isNotNull(), F.struct("seq", "error")))
     errors = F.transform(F.array_sort(noted), lambda e: e["error"])
-    counters = F.struct(
-        F.coalesce(F.sum("items_seen"), F.lit(0)).alias("items_seen"),
-        F.coalesce(F.sum("items_new"), F.lit(0)).alias("items_new"),
+    runs = changes.groupBy("id").agg(
+        *[latest(c) for c in ("source_id", "start_time", "end_time", "status", "config_snapshot")],
+        F.when(F.size(errors) > 0, errors).alias("errors"),
     )
-    return changes.groupBy("id").agg(
-        *[latest(c) for c in ("source_id", "start_time", "end_time", "status")],
+    none = F.lit(None).cast("bigint")
+    if progress is None:
+        runs = runs.withColumns({"items_seen": none, "items_new": none})
+    else:
+        totals = progress.groupBy("id").agg(
+            F.sum("items_seen").alias("items_seen"), F.sum("items_new").alias("items_new")
+        )
+        runs = runs.join(totals, "id", "left")
+    counters = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("items_seen", "items_new")}
+    return runs.select(
+        "id", "source_id", "start_time", "end_time", "status",
         counters["items_seen"].alias("items_processed"),
-        F.when(F.size(errors) > 0, errors).alias("errors"),
-        F.to_json(counters).alias("stats"),
-        latest("config_snapshot"),
+        "errors",
+        F.to_json(F.struct(*counters.values())).alias("stats"),
+        "config_snapshot",
     )
 
 

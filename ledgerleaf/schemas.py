@@ -66,11 +66,13 @@ WEBSITE_DATA = _struct(
     id=BIGINT, url=TEXT, title=TEXT, content=TEXT, metadata=TEXT, created_at=TIME, updated_at=TIME,
 )
 
-#: One row per ledger change; `run_state` folds them into SCRAPING_RUNS rows.
+#: One row per ledger change (open, error, close) and one per run and batch with what the
+#: batch added; `run_state` folds both into SCRAPING_RUNS rows.
 RUN_CHANGES = _struct(
     id=BIGINT, seq=BIGINT, source_id=BIGINT, start_time=TIME, end_time=TIME, status=TEXT,
-    items_seen=BIGINT, items_new=BIGINT, error=RUN_ERROR, config_snapshot=TEXT,
+    error=RUN_ERROR, config_snapshot=TEXT,
 )
+RUN_PROGRESS = _struct(id=BIGINT, items_seen=BIGINT, items_new=BIGINT)
 
 #: One row per finished batch, written last: it marks the batch as complete.
 BATCHES = _struct(
@@ -81,6 +83,7 @@ BATCHES = _struct(
 TABLES = {
     "data_sources": DATA_SOURCES,
     "run_changes": RUN_CHANGES,
+    "run_progress": RUN_PROGRESS,
     "batches": BATCHES,
     "raw_data": RAW_DATA,
     "cleaned_data": CLEANED_DATA,

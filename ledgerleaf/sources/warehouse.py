@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerleaf import schemas
+from ledgerleaf.operators.ledger import run_state
 
 PART = T.StructField("batch_id", T.LongType())
 
@@ -61,6 +62,10 @@ class Warehouse:
     def before(self, table: str, batch_id: int) -> DataFrame:
         return self.read(table).where(F.col(PART.name) < batch_id)
 
+    def runs(self) -> DataFrame:
+        """The run ledger, one current row per run."""
+        return run_state(self.read("run_changes"), self.read("run_progress"))
+
     def put(self, table: str, df: DataFrame, batch_id: int) -> None:
         """Write one batch of a table, in place of whatever that batch wrote before.
 
@@ -83,8 +88,6 @@ class Warehouse:
 
     def register_views(self, prefix: str = "") -> None:
         """Temp views of all tables, and of the folded run ledger, for SQL text."""
-        from ledgerleaf.operators.ledger import run_state
-
         for table in schemas.TABLES:
             self.read(table).createOrReplaceTempView(prefix + table)
-        run_state(self.read("run_changes")).createOrReplaceTempView(prefix + "scraping_runs")
+        self.runs().createOrReplaceTempView(prefix + "scraping_runs")

@@ -62,8 +62,10 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     raw = wh.batch("raw_data", batch_id)
     cleaned = I.cleaned_rows(raw, job.validation, now)
     wh.put("cleaned_data", I.with_ids(cleaned, last_cleaned), batch_id)
-    wh.put("run_changes", ledger.progress_rows(staged, raw, batch_id), batch_id)
+    wh.put("run_progress", ledger.run_counts(staged, raw).where("id is not null"), batch_id)
     wh.put("batches", _summary(wh, staged, batch_id, last_raw, last_cleaned, now), batch_id)
+    nothing = wh.spark.createDataFrame([], numbered.schema)
+    nothing.write.mode("overwrite").parquet(job.staging(batch_id))  # free the space
 
 
 def _last_ids(wh: Warehouse, batch_id: int) -> tuple[int, int]:
