@@ -34,6 +34,18 @@ def source_names(sources: DataFrame) -> DataFrame:
     return sources.select("name")
 
 
+def find(df: DataFrame, **values) -> DataFrame:
+    """At most one row whose columns have the given values."""
+    for name, value in values.items():
+        df = df.where(F.col(name) == value)
+    return df.limit(1)
+
+
+def sample(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows."""
+    return df.limit(n)
+
+
 def recent_runs(runs: DataFrame, sources: DataFrame, n: int = 10) -> DataFrame:
     """The latest runs with their source's name; runs without a known source drop out."""
     named = runs.join(sources.select(F.col("id").alias("_sid"), F.col("name").alias("source")),

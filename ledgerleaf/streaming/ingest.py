@@ -52,6 +52,7 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         staged,
         wh.before("raw_data", batch_id).select("hash"),
         sources=wh.read("data_sources"),
+        runs=wh.read("run_changes"),
         now=now,
         probe_history=job.probe_history,
         item_id="item_id",

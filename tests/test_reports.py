@@ -36,6 +36,13 @@ def test_source_stats_merges_equal_names_and_keeps_empty_sources(sources, raw):
     assert collected(reports.source_counts(sources, raw)) == [("a", 2), ("b", 1), ("empty", 0)]
 
 
+def test_find_and_sample(sources):
+    assert reports.find(sources, name="b").first()["id"] == 2
+    assert reports.find(sources, name="a").count() == 1 and reports.find(sources, id=9).first() is None
+    assert reports.find(sources, id=3, name="a").count() == 1 and reports.find(sources, id=3, name="b").count() == 0
+    assert reports.sample(sources, 3).count() == 3
+
+
 def test_recent_runs_null_times_first_unknown_sources_out(rows, sources):
     runs = rows("id bigint, source_id bigint, start_time string, end_time string, status string, items_processed int",
                 (1, 1, "2024-01-01", None, "running", 0), (2, 1, None, None, "running", 0),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import collected, listing
 from ledgerleaf import schemas
+from ledgerleaf.operators import ledger
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
 from ledgerleaf.streaming import dedup, progress
@@ -18,6 +19,7 @@ PAGES = [
     (1, 2, 1, "p1", listing(("A", "S", "C"), ("new", "S", "C"))),
     (9, 2, 1, "px", listing(("unknown source", "S", "C"))),
     (1, 2, 3, "p3", listing(("x" * 300, "S", "C"))),
+    (1, 7, 1, "p4", listing(("unknown run", "S", "C"))),
 ]
 
 
@@ -25,6 +27,7 @@ def job(spark, root, **options) -> IngestJob:
     wh = Warehouse(spark, str(root / "wh"))
     wh.create_tables()
     wh.put("data_sources", spark.createDataFrame([(1, "dir", "u")], "id bigint, name string, url string"), 0)
+    wh.put("run_changes", ledger.open_run(spark, 1, 1).unionByName(ledger.open_run(spark, 2, 1)), 0)
     return IngestJob(wh, **options)
 
 
@@ -53,9 +56,9 @@ def test_one_batch(expected):
     assert [r[2] for r in expected["raw"]] == ["A", "B", "C", "new"]
     assert {r[4] for r in expected["raw"]} == {"processed"}
     assert [r[0] for r in expected["cleaned"]] == ["A", "B", "C", "new"]
-    assert expected["rejects"] == [(1, "too_long:name"), (9, "unknown_source")]
+    assert expected["rejects"] == [(1, "too_long:name"), (1, "unknown_run"), (9, "unknown_source")]
     assert expected["runs"] == [
-        (1, 3, 3), (2, 4, 1),
+        (1, 3, 3), (2, 4, 1), (7, 1, 0),
     ]
 
 
@@ -74,7 +77,7 @@ def test_batches_and_replays_give_the_same_tables(spark, tmp_path, expected):
         wh.read("raw_data").select(F.col("id").alias("raw_data_id"), "raw_content"), "raw_data_id")
     assert linked.where("name = raw_content.name").count() == 4
     batches = wh.read("batches").orderBy("seq").collect()
-    assert [(b.items_seen, b.raw_rows, b.cleaned_rows, b.rejected_rows) for b in batches] == [(3, 3, 3, 0), (4, 1, 1, 2)]
+    assert [(b.items_seen, b.raw_rows, b.cleaned_rows, b.rejected_rows) for b in batches] == [(3, 3, 3, 0), (5, 1, 1, 3)]
     assert batches[1].max_raw_id > batches[0].max_raw_id
 
 
