@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerleaf.functions import text as X
 
+from .joins import join_reduced
+
 
 def merge(df: DataFrame, key: str, record_id: str, source: str) -> DataFrame:
     """Per non-NULL key: first and last record id, records and distinct sources."""
@@ -95,6 +97,5 @@ def master_records(cleaned: DataFrame, confidence: DataFrame | None = None) -> D
 
 def retry_list(failures: DataFrame, successes: DataFrame, key: str, at: str) -> DataFrame:
     """Failures with no later success of the same key; successes shrink to one row per key."""
-    last = successes.groupBy(F.col(key).alias("_k")).agg(F.max(at).alias("_last"))
-    later = (F.col(key) == F.col("_k")) & (F.col("_last") > F.col(at))
-    return failures.join(last, later, "left_anti")
+    last = successes.groupBy(key).agg(F.max(at).alias("_last"))
+    return join_reduced(failures, last, key, "left_anti", F.col("_last") > F.col(at))

@@ -1,7 +1,8 @@
 """Exact duplicates, history lookups and stop conditions.
 
-Groups may be arbitrarily hot: everything here is an aggregate with a map-side partial,
-so a key holding a third of the rows reaches the reducer as one row per map task.
+Groups may be arbitrarily hot.  Grouping is always an aggregate with a map-side partial, so
+a key holding a third of the rows reaches the reducer as one row per map task; rows meet
+per-key results in joins whose hot partitions AQE can split.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from .joins import join_reduced
+
 
 def _order(order: Sequence[str]):
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -34,13 +37,19 @@ def first_ids(df: DataFrame, key: str, row_id: str) -> DataFrame:
 def drop_seen(items: DataFrame, history: DataFrame, key: str = "hash") -> DataFrame:
     """Items whose key is not in the history (NULL keys are never seen before).
 
-    The history is reduced to its distinct keys first, so repeated keys there cannot
-    heat up the join; that aggregate's partitioning on the key is reused by the join.
+    For items with one row per key, such as those of `first_wins`: the partitioning that
+    left is reused.  The history is reduced to its distinct keys, so that repeated keys
+    there cannot heat up the join.
     """
     seen = history.select(key).where(F.col(key).isNotNull()).distinct()
     return items.join(seen, key, "left_anti")
 
 
+def drop_seen_repeating(items: DataFrame, history: DataFrame, key: str = "hash") -> DataFrame:
+    """`drop_seen` for items whose keys may repeat without bound."""
+    return join_reduced(items, history.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
 def drop_seen_probing(items: DataFrame, history: DataFrame, key: str = "hash") -> DataFrame:
     """`drop_seen` for a small batch against a long history.
 
@@ -48,7 +57,7 @@ def drop_seen_probing(items: DataFrame, history: DataFrame, key: str = "hash") -
     broadcast threshold) instead of being shuffled; only the hits meet the items.
     """
     batch = items.select(key).where(F.col(key).isNotNull()).distinct()
-    hits = history.select(key).join(batch, key, "left_semi").distinct()
+    hits = join_reduced(history.select(key), batch, key, "left_semi").distinct()
     return items.join(hits, key, "left_anti")
 
 
@@ -75,12 +84,12 @@ def duplicate_texts(df: DataFrame, text: str, row_id: str, count: str = "count")
 def take_until_stop(df: DataFrame, group: str, order: Sequence[str], stop) -> DataFrame:
     """Rows of each group up to and including the first that satisfies ``stop``.
 
-    Rows in groups that never stop are all kept.  Only the stop rows are aggregated, to
+    Rows in groups that never stop, or whose group is NULL, are all kept.  Only the stop rows are aggregated, to
     one row per group; the data itself is joined to that, never sorted per group.
     """
     at = _order(order)
     stops = df.where(stop).groupBy(group).agg(F.min(at).alias("_stop"))
-    kept = df.join(stops, group, "left").where(F.col("_stop").isNull() | (at <= F.col("_stop")))
+    kept = join_reduced(df, stops, group, "left").where(F.col("_stop").isNull() | (at <= F.col("_stop")))
     return kept.select(*df.columns)
 
 

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerleaf import schemas
 from ledgerleaf.functions import text as X
 
-from .dedup import drop_seen, drop_seen_probing, first_wins
+from .dedup import drop_seen, drop_seen_probing, drop_seen_repeating, first_wins
+from .joins import join_reduced
 from .validate import ValidationRules
 
 #: Arrival order of items: runs follow one another, a run reads its pages in order.
@@ -43,7 +44,7 @@ def flag(items: DataFrame, sources: DataFrame | None = None, runs: DataFrame | N
         if parent is not None:
             known = f"_known_{key}"
             ids = parent.select(F.col("id").alias(key)).distinct().withColumn(known, F.lit(True))
-            out = out.join(ids, key, "left")
+            out = join_reduced(out, ids, key, "left")
             checks.append((F.col(key).isNotNull() & F.col(known).isNull(), reason))
     for name, limit in limits.items():
         over = F.col("address_error").isNull() & X.too_long(F.col("raw_content")[name], limit)
@@ -104,13 +105,8 @@ def rejected_rows(bad: DataFrame, sound: DataFrame, history: DataFrame, now: Col
     """Violating items, less those that repeat content already stored or accepted earlier."""
     arrival = F.struct(*ARRIVAL)
     accepted = sound.groupBy("hash").agg(F.min(arrival).alias("_first"))
-    earlier = (F.col("b.hash") == F.col("a.hash")) & (F.col("a._first") < F.col("b._arrival"))
-    kept = (
-        drop_seen(bad, history)
-        .withColumn("_arrival", arrival)
-        .alias("b")
-        .join(accepted.alias("a"), earlier, "left_anti")
-    )
+    unseen = drop_seen_repeating(bad, history).withColumn("_arrival", arrival)
+    kept = join_reduced(unseen, accepted, "hash", "left_anti", F.col("_first") < F.col("_arrival"))
     return kept.select(
         "source_id", "run_id", "url", "raw_content", "raw_json", "hash", "reason",
         now.alias("rejected_at"),

@@ -21,7 +21,25 @@ def with_matching_ids(facts: DataFrame, key: str, ids: DataFrame, max_ids: int =
     if len(found) <= max_ids:
         return facts.where(F.col(key).isin([r[0] for r in found]))
     id_col = ids.columns[0]
-    return facts.join(ids.select(F.col(id_col).alias(key)).distinct(), key, "left_semi")
+    return facts.join(ids.select(F.col(id_col).alias(key)), key, "left_semi")
+
+
+def join_reduced(facts: DataFrame, reduced: DataFrame, key: str, how: str,
+                 condition: Column | None = None) -> DataFrame:
+    """Join facts, hot keys and all, to a frame that an aggregate left one row per key of.
+
+    AQE splits an oversized partition only where both inputs of the join come straight out
+    of a shuffle made for it.  The aggregate's own partitioning on the key would do for the
+    join and rule that out, so the key's hash is a second join key: the reduced rows are
+    shuffled once more, and a key with a third of the facts is spread over many tasks.
+    ``condition`` may compare columns of both sides; the key comes out once.
+    """
+    other = "_key_of_reduced"
+    right = reduced.withColumnRenamed(key, other)
+    on = (facts[key] == right[other]) & (F.hash(facts[key]) == F.hash(right[other]))
+    if condition is not None:
+        on = on & condition
+    return facts.join(right, on, how).drop(other)
 
 
 def per_key(facts: DataFrame, key: str, **aggregates: Column) -> DataFrame:
@@ -37,7 +55,7 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Existing rows plus incoming rows with a new key; columns are matched by name."""
-    fresh = incoming.join(existing.select(key).distinct(), key, "left_anti").select(*incoming.columns)
+    fresh = join_reduced(incoming, existing.select(key).distinct(), key, "left_anti")
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -57,6 +57,20 @@ def test_stop_at_first_empty_page(rows):
     assert got == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (3, 1)]
 
 
+def test_stop_with_unknown_group_and_ties(rows):
+    df = rows("g string, t int, id int, stop boolean", (None, 1, 1, True), (None, 2, 2, False), ("a", 1, 5, False),
+              ("a", 1, 6, True), ("a", 1, 7, False), ("a", None, 8, False))
+    got = dedup.take_until_stop(df, "g", ["t", "id"], F.col("stop"))
+    assert sorted(r.id for r in got.collect()) == [1, 2, 5, 6, 8]
+    assert got.columns == df.columns
+
+
+def test_drop_seen_with_repeating_keys(rows):
+    items = rows("hash string, n int", ("a", 1), ("b", 2), ("b", 3), (None, 4), ("c", 5), ("c", 6))
+    got = dedup.drop_seen_repeating(items, rows("hash string", ("b",), ("b",), (None,)))
+    assert collected(got, "n") == [("a", 1), (None, 4), ("c", 5), ("c", 6)]
+
+
 def test_matching_ids_by_filter_and_by_join(rows):
     facts = rows("k int, v string", (1, "a"), (2, "b"), (2, "c"), (None, "d"), (3, "e"))
     ids = rows("id int", (2,), (3,), (3,), (9,))

@@ -99,3 +99,38 @@ def test_only_markup_goes_through_python(spark):
         F.lit(1).alias("source_id"), F.lit(1).alias("run_id"), F.lit(1).alias("page_number"), "html")
     text = physical(extract.listing_items(pages))
     assert len(re.findall(r"ArrowEvalPython \[read\(html", text)) == 1 and "BatchEvalPython" not in text
+
+
+def test_hot_rows_of_a_reduced_join_are_split(spark, no_broadcast):
+    """A third of the rows under one key: the final plan must show a skew-split join."""
+    settings = {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(200_000, numPartitions=8).select(
+            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5_000 + 10).cast("bigint").alias("g"),
+            F.col("id").alias("n"), F.md5(F.col("id").cast("string")).alias("v"),
+        )
+        kept = dedup.take_until_stop(rows, "g", ["n"], (F.col("n") == 150_000) | (F.col("n") % 5_000 == 20))
+        got = kept.groupBy((F.col("g") == 7).alias("hot")).agg(F.count("*").alias("c"))
+        counts = {r.hot: r.c for r in got.collect()}
+        text = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    stops = {}
+    for i in range(200_000):
+        if i == 150_000 or i % 5_000 == 20:
+            stops.setdefault(7 if i % 3 == 0 else i % 5_000 + 10, i)
+    expected = {True: 0, False: 0}
+    for i in range(200_000):
+        g = 7 if i % 3 == 0 else i % 5_000 + 10
+        expected[g == 7] += g not in stops or i <= stops[g]
+    assert counts == expected
+    assert "skew=true" in text

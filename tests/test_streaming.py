@@ -81,6 +81,25 @@ def test_batches_and_replays_give_the_same_tables(spark, tmp_path, expected):
     assert batches[1].max_raw_id > batches[0].max_raw_id
 
 
+@pytest.mark.parametrize("table", ["raw_data", "cleaned_data", "batches"])
+def test_a_batch_that_broke_off_is_replayed(spark, tmp_path, expected, monkeypatch, table):
+    broken = job(spark, tmp_path)
+    load_batch(broken, frame(spark, PAGES[:2]), 0)
+    put = Warehouse.put
+
+    def fail(self, name, df, batch_id):
+        if name == table:
+            raise RuntimeError("lost")
+        put(self, name, df, batch_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "put", fail)
+        with pytest.raises(RuntimeError):
+            load_batch(broken, frame(spark, PAGES[2:]), 1)
+    load_batch(broken, frame(spark, PAGES[2:]), 1)
+    assert contents(broken.warehouse) == expected
+
+
 def test_empty_batch(spark, tmp_path):
     empty = job(spark, tmp_path)
     load_batch(empty, frame(spark, PAGES[:1]), 0)
