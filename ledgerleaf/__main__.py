@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--table", action="store_true")
     one.add_argument("--source", required=True)
     one.add_argument("--url", required=True)
+    one.add_argument("--shared", help="folder all executors reach, where spark.checkpoint.dir is not set")
     one = todo.add_parser("report", help="show a report")
     one.add_argument("name", choices=REPORTS)
     one.add_argument("--source", default="")
@@ -68,7 +69,8 @@ def main(argv: list[str] | None = None) -> None:
         print(wh.truncate(args.table))
     elif args.command == "ingest":
         read = pages.page_table if args.table else pages.page_files
-        print(jobs.run_ingest(IngestJob(wh), read(wh.spark, args.pages), args.source, args.url))
+        job = IngestJob(wh, shared_fallback=args.shared)
+        print(jobs.run_ingest(job, read(wh.spark, args.pages), args.source, args.url))
     elif args.command == "report":
         report(wh, args.name, args.source, args.status, args.term).show(100, truncate=60)
     elif args.command == "verify":

@@ -18,8 +18,11 @@ def json_text(c: Column | str, path: str) -> Column:
 
 def json_int(c: Column | str, path: str, strict: bool = False) -> Column:
     """Integer at ``path``.  ``strict`` fails on bad text (ANSI cast); otherwise NULL."""
-    t = json_text(c, path)
-    return t.cast("int") if strict else to_int(t)
+    return text_int(json_text(c, path), strict)
+
+
+def text_int(text: Column | str, strict: bool = False) -> Column:
+    return col(text).cast("int") if strict else to_int(text)
 
 
 def bad_int(c: Column | str, path: str) -> Column:

@@ -46,10 +46,9 @@ def to_int(c: Column | str) -> Column:
     """Integer value of text, NULL for anything else.
 
     The pattern keeps bad text away from the cast, which raises and catches an exception
-    per bad value.
+    per bad value; text and pattern are evaluated once.
     """
-    t = col(c)
-    return F.when(t.rlike(r"^\s*[+-]?\d+\s*$"), t).try_cast("int")
+    return F.regexp_substr(col(c), F.lit(r"^\s*[+-]?\d+\s*$")).try_cast("int")
 
 
 def is_blank(c: Column | str) -> Column:

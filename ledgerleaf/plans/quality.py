@@ -19,8 +19,8 @@ def count_by_json_int(df: DataFrame, column: str, path: str, name: str = "page",
     Text that is no integer fails the job under ``strict``; otherwise those rows form the
     NULL group, so nothing disappears from the counts.
     """
-    present = df.where(J.json_text(column, path).isNotNull())
-    counts = present.groupBy(J.json_int(column, path, strict).alias(name)).agg(F.count("*").alias("count"))
+    texts = df.select(J.json_text(column, path).alias("_text")).where(F.col("_text").isNotNull())
+    counts = texts.groupBy(J.text_int("_text", strict).alias(name)).agg(F.count("*").alias("count"))
     return counts.orderBy(F.asc_nulls_last(name))
 
 

@@ -172,13 +172,13 @@ def document_items(documents: DataFrame) -> DataFrame:
     ))
 
 
-def ingested(t, probe: bool = False) -> ingest.Ingested:
+def ingested(t) -> ingest.Ingested:
     items = document_items(t.documents)
     stored = t.documents.join(t.labels.where("quality = 1"), "doc_id", "left_semi")
     history = document_items(stored).select("hash")
     sources = t.nation.join(t.region.where("r_name <> 'AFRICA'"), F.col("n_regionkey") == F.col("r_regionkey"))
     known = sources.select(F.col("n_nationkey").cast("bigint").alias("id"))
-    return ingest.ingest(items, history, known, probe_history=probe)
+    return ingest.ingest(items, history, known)
 
 
 # Content is equal where text, language and, unless the address is dropped, source agree.
@@ -226,7 +226,7 @@ def ingest_rejects(t):
              || 'phone:missing' as errors
     from w where lang <> 'es'""")
 def ingest_cleaned(t):
-    raw = ingested(t, probe=True).raw.withColumn("id", F.lit(None).cast("bigint"))
+    raw = ingested(t).raw.withColumn("id", F.lit(None).cast("bigint"))
     rows = ingest.cleaned_rows(raw, validate.ValidationRules())
     codes = F.transform("validation_errors", lambda e: F.concat(e["field"], F.lit(":"), e["code"]))
     return rows.select(
