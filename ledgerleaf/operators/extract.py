@@ -280,7 +280,8 @@ def listing_items(pages: DataFrame, rules: EntryRules = LISTING) -> DataFrame:
     Texts are cleaned, the address is its first and last text, and the hash covers the
     whole content, page number and markup included.
     """
-    found = page_entries(pages.select("source_id", "run_id", "page_number", "html"), rules)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PAGES.fields if f.name != "url"]
+    found = page_entries(pages.select(*columns), rules)
     parts = found.withColumn("address_texts", X.strip_all("address_texts"))
     street, city = X.first_and_last("address_texts")
     content = F.struct(
@@ -290,7 +291,7 @@ def listing_items(pages: DataFrame, rules: EntryRules = LISTING) -> DataFrame:
         F.struct(street.alias("street"), city.alias("city")).alias("address"),
         X.clean_text("phone").alias("phone"),
         X.clean_text("opening_hours").alias("opening_hours"),
-        F.col("page_number").cast("int").alias("page_number"),
+        F.col("page_number"),
         F.col("html"),
     )
     return items_from_struct(

@@ -36,7 +36,10 @@ def join_reduced(facts: DataFrame, reduced: DataFrame, key: str, how: str,
     """
     other = "_key_of_reduced"
     right = reduced.withColumnRenamed(key, other)
-    on = (facts[key] == right[other]) & (F.hash(facts[key]) == F.hash(right[other]))
+    # Hashes depend on the type where equality does not: widen both keys to one type first.
+    types = facts.schema[key].dataType, right.schema[other].dataType
+    hashes = [F.hash(F.coalesce(k, *[F.lit(None).cast(t) for t in types])) for k in (facts[key], right[other])]
+    on = (facts[key] == right[other]) & (hashes[0] == hashes[1])
     if condition is not None:
         on = on & condition
     return facts.join(right, on, how).drop(other)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -71,6 +72,20 @@ def test_drop_seen_with_repeating_keys(rows):
     assert collected(got, "n") == [("a", 1), (None, 4), ("c", 5), ("c", 6)]
 
 
+@pytest.mark.parametrize("left, right", [("int", "bigint"), ("bigint", "int"), ("smallint", "decimal(12,0)"),
+                                         ("double", "int"), ("date", "timestamp")])
+def test_join_reduced_across_key_types(spark, left, right):
+    made = "date'2024-01-01' + cast(id as int)" if left == "date" else "id"
+    facts = spark.range(6).selectExpr(f"cast({made} as {left}) as k", "id as n")
+    reduced = spark.range(2, 4).selectExpr(f"cast({made} as {right}) as k", "id as m")
+    expected = [(i, i if i in (2, 3) else None) for i in range(6)]
+    for threshold in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert collected(joins.join_reduced(facts, reduced, "k", "left").select("n", "m"), "n") == expected
+        assert joins.join_reduced(facts, reduced, "k", "left_anti").count() == 4
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
+
+
 def test_matching_ids_by_filter_and_by_join(rows):
     facts = rows("k int, v string", (1, "a"), (2, "b"), (2, "c"), (None, "d"), (3, "e"))
     ids = rows("id int", (2,), (3,), (3,), (9,))
