@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
+from ledgerleaf import registry
 
 DATA = "/root/testdata/sf0.001"
 TABLES = (
@@ -39,7 +40,7 @@ def normal(df: pd.DataFrame) -> list[tuple]:
     return sorted(data, key=lambda r: [(v is None, v or "") for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_same_rows_as_sql(spark, duck, name):
     ours = entry_point.queries()[name](spark, DATA).toPandas()
     theirs = duck.sql(entry_point.oracle_sql()[name]).df()
@@ -48,7 +49,8 @@ def test_same_rows_as_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry_point.queries()) and set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
 
 def test_entry(spark):
