@@ -21,8 +21,9 @@ from .components import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: MinHash tokens of a set, of 16 bits each.
+#: MinHash tokens of a set, and their bytes: enough that different sets rarely share one by chance.
 TOKENS = 128
+TOKEN_BYTES = 4
 #: Runs, and sampled tokens per node: a run misses a pair at 0.8 with probability 0.0625 at most
 #: (the fixed point of q = (0.2 + 0.8 q)^2), seven runs with 0.0625^7 < 1e-8.
 RUNS = 7
@@ -43,7 +44,7 @@ def signatures(texts: pa.Array) -> list[bytes | None]:
     hashes, counts = shingle_hashes(buffer, offsets, SHINGLE)
     some = np.flatnonzero(counts)
     at = (np.cumsum(counts) - counts)[some]
-    out = np.zeros((len(some), TOKENS), dtype=np.uint16)
+    out = np.zeros((len(some), TOKENS), dtype=np.uint32)
     factors = mixed(np.arange(1, TOKENS + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
     if len(some):
         # stretches of shingles that stay in the processor's cache, cut between texts
@@ -53,7 +54,7 @@ def signatures(texts: pa.Array) -> list[bytes | None]:
             stop = at[b] if b < len(at) else len(hashes)
             part, inner = hashes[at[a] : stop], at[a:b] - at[a]
             for k, factor in enumerate(factors):
-                out[a:b, k] = (np.minimum.reduceat(part * factor, inner) >> U64(24)).astype(np.uint16)
+                out[a:b, k] = (np.minimum.reduceat(part * factor, inner) >> U64(16)).astype(np.uint32)
     rows: list[bytes | None] = [None] * len(texts)
     for i, row in zip(some, out):
         rows[i] = row.tobytes()
@@ -88,7 +89,7 @@ def _sampled(bucket: Column) -> Column:
 def _split(rows: DataFrame) -> DataFrame:
     """Children ``set, bucket, parent_size`` of rows ``set, bucket, size, tokens``."""
     drawn = rows.select("set", "bucket", F.col("size").alias("parent_size"), "tokens", F.explode(_sampled(F.col("bucket"))).alias("at"))
-    value = F.substring("tokens", (F.col("at") * 2 + 1).cast("int"), F.lit(2))
+    value = F.substring("tokens", (F.col("at") * TOKEN_BYTES + 1).cast("int"), F.lit(TOKEN_BYTES))
     return drawn.select("set", F.xxhash64("bucket", "at", value).alias("bucket"), "parent_size")
 
 
@@ -165,7 +166,7 @@ def near_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
             if n < 2:
                 continue
             ids = group.column("set").to_numpy()
-            tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), dtype=np.uint16).reshape(n, TOKENS)
+            tokens = np.frombuffer(b"".join(group.column("tokens").to_pylist()), dtype=np.uint32).reshape(n, TOKENS)
             if n == 2:
                 if (tokens[0] == tokens[1]).sum() >= ESTIMATE * TOKENS:
                     a.append(ids[1:])
