@@ -84,7 +84,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value; bytes of equal weight lie together, which small numbers compress well in."""
     head = json.dumps([[a.dtype.str, len(a)] for a in arrays]).encode()
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
+    return zstandard.ZstdCompressor(level=3).compress(len(head).to_bytes(4, "little") + head + b"".join(planes))
 
 
 def unpack(body: bytes) -> list[np.ndarray]:

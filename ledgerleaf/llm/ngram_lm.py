@@ -23,9 +23,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import LOWER, U64, crc_bucket, id_type, joined, pack, pieces, staged, text_column, unpack, words
 
 #: Text bytes of a block, of a part of the vocabulary, and of a part of the model.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 10 << 20
 WORD_PART_BYTES = 64 << 20
-MODEL_PART_BYTES = 14 << 20
+MODEL_PART_BYTES = 10 << 20
 #: A word that stands more often than this is dealt to several parts of the model.
 HOT = 8_000_000
 #: Codes of probabilities: steps of 1/4096 of a decade, up to 16 decades.
@@ -212,7 +212,9 @@ def word_numbers(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     starts, stops, counts = words(low, offsets)
     lengths = stops - starts
     at = np.concatenate([[0], np.cumsum(lengths)])
-    place = np.arange(at[-1]) + np.repeat(starts - at[:-1], lengths)
+    small = np.int32 if len(buffer) < 1 << 31 else np.int64
+    place = np.arange(at[-1], dtype=small)
+    place += np.repeat((starts - at[:-1]).astype(small), lengths)
     data = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(low[place])])
     encoded = data.dictionary_encode()
     vocabulary = encoded.dictionary.to_pylist() + [b""]
@@ -347,7 +349,7 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
         for a, b in zip(cuts[:-1], cuts[1:]):
             at = order[a:b]
             local, inverse = np.unique(np.concatenate([w1[at], w2[at], w3[at]]), return_inverse=True)
-            sort = np.argsort(number[local])
+            sort = np.lexsort((number[local], -count[local]))  # frequent words get small ranks, which pack well
             rank = np.empty(len(local), dtype=np.uint32)
             rank[sort] = np.arange(len(local))
             local = local[sort]
@@ -369,6 +371,7 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
         bodies = [unpack(table.column("body")[int(i)].as_py()) for i in at]
         blocks = [table.column("block")[int(i)].as_py() for i in at]
         hot_rows = table.filter(pa.array(kinds == "hot"))
+        del table
         hot_word, hot_follower, hot_count, hot_times = (hot_rows.column(c).to_numpy() for c in ("word", "follower", "follower_count", "times"))
         numbers = [np.cumsum(b[0]) for b in bodies]
         every = np.concatenate([*numbers, hot_word, hot_follower])
@@ -378,8 +381,9 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
         np.maximum.at(count, place, seen)
         del every, seen
         cuts = np.cumsum([0] + [len(n) for n in numbers])
-        w1, w2, w3 = (np.concatenate([place[a + b[k]] for a, b in zip(cuts, bodies)]) for k in (2, 3, 4))
-        flags = np.concatenate([b[6] for b in bodies]).astype(bool)
+        w1, w2, w3 = (np.concatenate([place[a + b[k].astype(np.int64)] for a, b in zip(cuts, bodies)]) for k in (2, 3, 4))
+        bodies = [(b[5], b[6]) for b in bodies]
+        flags = np.concatenate([b[1] for b in bodies]).astype(bool)
         size = len(vocabulary)
         unigram = (count + 0.5) / (n_tokens + 0.5 * (n_types + 1))
         pair, times = np.unique(w2[flags] * size + w3[flags], return_counts=True)
@@ -399,9 +403,9 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
         del context, triple, triple_times, context_words, pair, times
         rows, done = [], 0
         for block, body in zip(blocks, bodies):
-            n = len(body[2])
+            n = len(body[0])
             code = trie.ask(w1[done : done + n], w2[done : done + n], w3[done : done + n])
-            text = np.cumsum(body[5].astype(np.int64))
+            text = np.cumsum(body[0].astype(np.int64))
             heads = np.flatnonzero(np.diff(text, prepend=-1))
             rows.append(("codes", int(block), part, pack(text[heads], np.add.reduceat(code, heads)), None, None))
             done += n
