@@ -374,38 +374,46 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
         del table
         hot_word, hot_follower, hot_count, hot_times = (hot_rows.column(c).to_numpy() for c in ("word", "follower", "follower_count", "times"))
         numbers = [np.cumsum(b[0]) for b in bodies]
-        every = np.concatenate([*numbers, hot_word, hot_follower])
-        vocabulary, place = np.unique(every, return_inverse=True)
+        vocabulary, place = np.unique(np.concatenate([*numbers, hot_word, hot_follower]), return_inverse=True)
+        place = place.astype(np.int32)
         count = np.zeros(len(vocabulary), dtype=np.int64)
-        seen = np.concatenate([*(b[1] for b in bodies), np.zeros(len(hot_word), dtype=np.int64), hot_count])
-        np.maximum.at(count, place, seen)
-        del every, seen
-        cuts = np.cumsum([0] + [len(n) for n in numbers])
-        w1, w2, w3 = (np.concatenate([place[a + b[k].astype(np.int64)] for a, b in zip(cuts, bodies)]) for k in (2, 3, 4))
-        bodies = [(b[5], b[6]) for b in bodies]
-        flags = np.concatenate([b[1] for b in bodies]).astype(bool)
+        np.maximum.at(count, place, np.concatenate([*(b[1] for b in bodies), np.zeros(len(hot_word), dtype=np.int64), hot_count]))
         size = len(vocabulary)
+        cuts = np.cumsum([0] + [len(n) for n in numbers])
+        lengths = [len(b[2]) for b in bodies]
+        w1, w2, w3 = (np.empty(sum(lengths), dtype=np.int32) for _ in range(3))
+        texts_of, flags, done = [], np.empty(sum(lengths), dtype=bool), 0
+        for k, (at, n) in enumerate(zip(cuts, lengths)):  # each body is let go once it is read
+            own = bodies[k]
+            for out, ranks in zip((w1, w2, w3), own[2:5]):
+                out[done : done + n] = place[at + ranks.astype(np.int64)]
+            flags[done : done + n] = own[6]
+            texts_of.append(own[5])
+            bodies[k] = own = None
+            done += n
         unigram = (count + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-        pair, times = np.unique(w2[flags] * size + w3[flags], return_counts=True)
+        pair, times = np.unique(w2[flags] * np.int64(size) + w3[flags], return_counts=True)
         if len(hot_word):
             whole = np.zeros(size, dtype=bool)
-            hot_at, follower_at = place[cuts[-1] : cuts[-1] + len(hot_word)], place[cuts[-1] + len(hot_word) :]
+            hot_at, follower_at = (place[a : a + len(hot_word)].astype(np.int64) for a in (cuts[-1], cuts[-1] + len(hot_word)))
             whole[hot_at] = True
             keep = ~whole[pair // size]
             pair, times = np.concatenate([pair[keep], hot_at * size + follower_at]), np.concatenate([times[keep], hot_times])
             sort = np.argsort(pair)
             pair, times = pair[sort], times[sort]
-        context, inner = np.unique(w2[flags] * size + w1[flags], return_inverse=True)
-        triple, triple_times = np.unique(inner * size + w3[flags], return_counts=True)
-        del inner
+        key = w2[flags] * np.int64(size) + w1[flags]
+        context = np.unique(key)
+        key = np.searchsorted(context, key) * np.int64(size) + w3[flags]
+        triple, triple_times = np.unique(key, return_counts=True)
+        del key
         context_words = context[triple // size]
         trie = Trie(unigram, pair, times, (context_words % size, context_words // size, triple % size), triple_times)
         del context, triple, triple_times, context_words, pair, times
         rows, done = [], 0
-        for block, body in zip(blocks, bodies):
-            n = len(body[0])
-            code = trie.ask(w1[done : done + n], w2[done : done + n], w3[done : done + n])
-            text = np.cumsum(body[0].astype(np.int64))
+        for block, steps in zip(blocks, texts_of):
+            n = len(steps)
+            code = trie.ask(*(w[done : done + n].astype(np.int64) for w in (w1, w2, w3)))
+            text = np.cumsum(steps.astype(np.int64))
             heads = np.flatnonzero(np.diff(text, prepend=-1))
             rows.append(("codes", int(block), part, pack(text[heads], np.add.reduceat(code, heads)), None, None))
             done += n
