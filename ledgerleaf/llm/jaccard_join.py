@@ -36,6 +36,8 @@ DEPTH = 16
 ESTIMATE = 0.62
 #: Text bytes of the two sides of a verification task.
 TILE_BYTES = 2 << 20  # and at most BUCKET texts a side
+#: So many members, at some 100 bytes each, are sent to where the texts are; beyond, the texts are shuffled to them.
+SENT_MEMBERS = 250_000
 
 
 def signatures(texts: pa.Array) -> list[bytes | None]:
@@ -246,6 +248,7 @@ def similarity_join(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     tiles = F.greatest(F.ceil(F.sum("bytes") / TILE_BYTES), F.ceil(F.count("*") / BUCKET))
     members = staged(members.join(members.groupBy("component").agg(tiles.alias("tiles")), "component"), "members")
     wanted = members.select("text_key", F.col("rep_id").alias("wanted_id"), "component", "tiles", "set", "copies")
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT_MEMBERS else wanted
     texts = docs.select(F.md5(text_column()).alias("text_key"), F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
     found = texts.join(wanted, (texts["text_key"] == wanted["text_key"]) & texts["doc_id"].eqNullSafe(wanted["wanted_id"]))
     found = found.select("component", "tiles", "set", "copies", F.col("text").cast("binary").alias("text"))
