@@ -32,6 +32,13 @@ def report(wh: Warehouse, name: str, source: str, status: str, term: str):
 REPORTS = "overview runs sources raw cleaned masters days validation distribution".split()
 
 
+def print_rows(frame) -> None:
+    """All rows and whole values, tab separated, a partition at a time."""
+    print("\t".join(frame.columns))
+    for row in frame.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="ledgerleaf", description=__doc__)
     parser.add_argument("warehouse", help="folder of the tables")
@@ -72,11 +79,11 @@ def main(argv: list[str] | None = None) -> None:
         job = IngestJob(wh, shared_fallback=args.shared)
         print(jobs.run_ingest(job, read(wh.spark, args.pages), args.source, args.url))
     elif args.command == "report":
-        report(wh, args.name, args.source, args.status, args.term).show(100, truncate=60)
+        print_rows(report(wh, args.name, args.source, args.status, args.term))
     elif args.command == "verify":
         for name, frame in quality.quality_report(wh.read(args.table)).items():
             print(name)
-            frame.show(100, truncate=60)
+            print_rows(frame)
     else:
         export.export(wh.read(args.table), args.path, args.format)
 

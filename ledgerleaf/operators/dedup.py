@@ -18,13 +18,19 @@ def _order(order: Sequence[str]):
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def _never_null(order: Sequence[str]):
+    """An order that `min_by` never skips: NULLs behind all values."""
+    return F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
+
+
 def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Whole row of each key's earliest arrival; ``order`` must be unique within a key.
 
+    Rows without an order value come last.  Rows without a key are one group.
     ``min_by`` carries the row through one shuffle with one candidate per map task and key.
     """
     payload = F.struct(*[c for c in df.columns if c != key])
-    firsts = df.groupBy(key).agg(F.min_by(payload, _order(order)).alias("_row"))
+    firsts = df.groupBy(key).agg(F.min_by(payload, _never_null(order)).alias("_row"))
     taken = [F.col(key) if c == key else F.col("_row").getField(c).alias(c) for c in df.columns]
     return firsts.select(*taken)
 
@@ -84,12 +90,13 @@ def duplicate_texts(df: DataFrame, text: str, row_id: str, count: str = "count")
 def take_until_stop(df: DataFrame, group: str, order: Sequence[str], stop) -> DataFrame:
     """Rows of each group up to and including the first that satisfies ``stop``.
 
-    Rows in groups that never stop, or whose group is NULL, are all kept.  Only the stop rows are aggregated, to
+    Rows in groups that never stop, whose group is NULL, or that have no order value, are all
+    kept.  Only the stop rows are aggregated, to
     one row per group; the data itself is joined to that, never sorted per group.
     """
     at = _order(order)
     stops = df.where(stop).groupBy(group).agg(F.min(at).alias("_stop"))
-    kept = join_reduced(df, stops, group, "left").where(F.col("_stop").isNull() | (at <= F.col("_stop")))
+    kept = join_reduced(df, stops, group, "left").where(F.col("_stop").isNull() | at.isNull() | (at <= F.col("_stop")))
     return kept.select(*df.columns)
 
 

@@ -22,7 +22,7 @@ from .validate import ValidationRules
 ARRIVAL = ["run_id", "page_number", "entry_pos", "source_id", "url"]
 
 #: Width of the partition slot in generated ids.
-ID_SLOTS = 1 << 20
+ID_SLOTS = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -162,7 +162,7 @@ def cleaned_rows(raw: DataFrame, rules: ValidationRules | None = None,
 def with_ids(df: DataFrame, after: int = 0, name: str = "id") -> DataFrame:
     """Unique bigint ids above ``after`` without a global sort; gaps are normal.
 
-    Partition p numbers its rows p, p + 2^20, p + 2*2^20, ...  Write the frame before
+    Partition p numbers its rows p, p + 2^24, p + 2*2^24, ...  Write the frame before
     using the ids: a second evaluation may number the rows differently.
     """
     m = F.monotonically_increasing_id()

@@ -6,22 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Most ids an `id_filter` may carry into a scan; beyond it a join is planned.
-MAX_IDS = 1_000
 
-
-def with_matching_ids(facts: DataFrame, key: str, ids: DataFrame, max_ids: int = MAX_IDS) -> DataFrame:
-    """Facts whose ``key`` is among ``ids`` (one id column).
-
-    Up to ``max_ids`` ids go into the fact scan as an ``IN`` filter, which reaches Parquet
-    row-group statistics and moves no fact row.  The look-up reads at most that many rows
-    plus one; with more, the same rows come from a semi join.
-    """
-    found = ids.distinct().limit(max_ids + 1).collect()
-    if len(found) <= max_ids:
-        return facts.where(F.col(key).isin([r[0] for r in found]))
-    id_col = ids.columns[0]
-    return facts.join(ids.select(F.col(id_col).alias(key)), key, "left_semi")
+def with_matching_ids(facts: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Facts whose ``key`` is among ``ids`` (one id column); planned, not run, when called."""
+    return join_reduced(facts, ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
 
 
 def join_reduced(facts: DataFrame, reduced: DataFrame, key: str, how: str,
@@ -57,8 +45,19 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 
 
 def insert_if_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Existing rows plus incoming rows with a new key; columns are matched by name."""
+    """Existing rows plus incoming rows with a new key; columns are matched by name.
+
+    A new key that arrives several times is inserted once, with the least of its rows.  Rows
+    without a key are all inserted.
+    """
     fresh = join_reduced(incoming, existing.select(key).distinct(), key, "left_anti")
+    rest = [c for c in incoming.columns if c != key]
+    if rest:
+        once = fresh.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+        once = once.select(*[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in incoming.columns])
+    else:
+        once = fresh.where(F.col(key).isNotNull()).distinct()
+    fresh = once.unionByName(fresh.where(F.col(key).isNull()))
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -6,7 +6,7 @@ and every limit has the id as tie-breaker.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerleaf.operators.joins import per_key, with_matching_ids
 
@@ -123,5 +123,5 @@ def status_distribution(cleaned: DataFrame, status: str = "validation_status") -
 def status_share(cleaned: DataFrame, status: str = "validation_status") -> DataFrame:
     """`status_distribution` with each status's share of all rows."""
     counts = status_distribution(cleaned, status)
-    total = cleaned.agg(F.count("*")).scalar()
+    total = F.sum("count").over(Window.partitionBy())  # over one row per status
     return counts.withColumn("share", F.col("count") / total.cast("double"))

@@ -14,13 +14,16 @@ def page_table(spark: SparkSession, path: str, schema: T.StructType = schemas.PA
 
 def page_files(spark: SparkSession, path: str, source_id: int | None = None,
                run_id: int | None = None, page_pattern: str = r"(\d+)[^/\d]*$") -> DataFrame:
-    """One row per file under ``path``; the page number is read from the file name."""
+    """One row per file under ``path``; the page number is read from the file name.
+
+    The start page has no number in its name: it is page 1.
+    """
     files = spark.read.text(path, wholetext=True)
     name = F.col("_metadata.file_path")
     return files.select(
         F.lit(source_id).cast("bigint").alias("source_id"),
         F.lit(run_id).cast("bigint").alias("run_id"),
-        to_int(F.regexp_extract(name, page_pattern, 1)).alias("page_number"),
+        F.coalesce(to_int(F.regexp_extract(name, page_pattern, 1)), F.lit(1)).alias("page_number"),
         name.alias("url"),
         F.col("value").alias("html"),
     )

@@ -16,9 +16,6 @@ from ledgerleaf.operators.ledger import run_state
 
 PART = T.StructField("batch_id", T.LongType())
 
-#: Parquet options per table: hash look-ups can skip row groups by bloom filter.
-WRITE_OPTIONS = {"raw_data": {"parquet.bloom.filter.enabled#hash": "true"}}
-
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -79,8 +76,7 @@ class Warehouse:
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in declared.fields
         ])
-        writer = fitted.write.mode("overwrite").options(**WRITE_OPTIONS.get(table, {}))
-        writer.parquet(f"{self.path(table)}/{PART.name}={batch_id}")
+        fitted.write.mode("overwrite").parquet(f"{self.path(table)}/{PART.name}={batch_id}")
 
     def next_batch(self, table: str) -> int:
         last = self.read(table).agg(F.max(PART.name)).first()[0]

@@ -8,6 +8,7 @@ a lost executor costs a task, not the batch.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -30,13 +31,19 @@ class IngestJob:
     #: Counts only where the session names no shared folder.
     shared_fallback: str | None = None
 
+    def shared(self, name: str) -> str:
+        """A shared folder of this warehouse alone."""
+        own = hashlib.sha256(self.warehouse.root.rstrip("/").encode()).hexdigest()[:16]
+        return f"{session.shared_dir(self.warehouse.spark, self.shared_fallback)}/{name}/{own}"
+
     def staging(self, batch_id: int) -> str:
-        folder = session.shared_dir(self.warehouse.spark, self.shared_fallback)
-        return f"{folder}/staged_items/batch_id={batch_id}"
+        return f"{self.shared('staged_items')}/batch_id={batch_id}"
 
 
 def load_batch(job: IngestJob, pages: DataFrame, batch_id: int, at: datetime | None = None) -> None:
-    """Ingest pages as batch ``batch_id``; running the same batch again changes nothing."""
+    """Ingest pages as batch ``batch_id``; a finished batch is left as it is."""
+    if not job.warehouse.batch("batches", batch_id).isEmpty():
+        return
     items = extract.listing_items(pages, job.rules)
     load_items(job, items, batch_id, at)
 
@@ -95,15 +102,25 @@ def _summary(wh: Warehouse, staged: DataFrame, batch_id: int, last_raw: int, las
     )
 
 
+def _stream_start(job: IngestJob, folder: str, wanted: int | None) -> int:
+    """First batch id of the stream with this checkpoint, decided once."""
+    spark, path = job.warehouse.spark, f"{folder.rstrip('/')}_first_batch"
+    start = job.warehouse.next_batch("batches") if wanted is None else wanted
+    spark.createDataFrame([(start,)], "first_batch bigint").write.mode("ignore").parquet(path)
+    return spark.read.schema("first_batch bigint").parquet(path).first()[0]
+
+
 def start_ingest(job: IngestJob, pages: DataFrame, checkpoint: str | None = None,
-                 first_batch: int = 0, **trigger) -> StreamingQuery:
+                 first_batch: int | None = None, **trigger) -> StreamingQuery:
     """Run `load_batch` for every micro-batch of a page stream.
 
-    A restart replays the unfinished micro-batch under its old id.  ``first_batch`` shifts
-    the ids past batches loaded before the stream existed.  ``trigger`` is passed on, e.g.
-    ``availableNow=True``.
+    A restart replays the unfinished micro-batch under its old id.  The ids of the stream follow
+    those of the batches loaded before it first started (or begin at ``first_batch``); where they
+    begin is kept beside the checkpoint.  No other writer may load batches while it runs.
+    ``trigger`` is passed on, e.g. ``availableNow=True``.
     """
-    folder = checkpoint or f"{session.shared_dir(job.warehouse.spark, job.shared_fallback)}/ingest_stream"
+    folder = checkpoint or job.shared("ingest_stream")
+    first_batch = _stream_start(job, folder, first_batch)
     writer = pages.writeStream.option("checkpointLocation", folder)
     if trigger:
         writer = writer.trigger(**trigger)

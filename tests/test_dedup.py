@@ -86,12 +86,11 @@ def test_join_reduced_across_key_types(spark, left, right):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
 
 
-def test_matching_ids_by_filter_and_by_join(rows):
+def test_matching_ids(rows):
     facts = rows("k int, v string", (1, "a"), (2, "b"), (2, "c"), (None, "d"), (3, "e"))
     ids = rows("id int", (2,), (3,), (3,), (9,))
-    for cap in (1_000, 2):
-        got = joins.with_matching_ids(facts, "k", ids, max_ids=cap)
-        assert collected(got.select("k", "v")) == [(2, "b"), (2, "c"), (3, "e")]
+    got = joins.with_matching_ids(facts, "k", ids)
+    assert collected(got.select("k", "v")) == [(2, "b"), (2, "c"), (3, "e")]
     assert joins.with_matching_ids(facts, "k", ids.limit(0)).count() == 0
 
 
@@ -120,3 +119,17 @@ def test_defaults(rows):
     now = F.lit("2024-01-02 03:04:05").cast("timestamp")
     got = joins.fill_defaults(df, {"a": 1, "b": True}, now, ["t"])
     assert [(r.a, r.b, r.t.year) for r in got.orderBy("a").collect()] == [(1, True, 2024), (5, True, 2024)]
+
+
+def test_a_new_key_is_inserted_once(rows):
+    old = rows("k int, v string", (1, "a"))
+    new = rows("k int, v string", (1, "z"), (2, "c"), (2, "b"), (None, "x"), (None, "x"))
+    assert collected(joins.insert_if_absent(old, new, "k").where("k is not null")) == [(1, "a"), (2, "b")]
+    assert joins.insert_if_absent(old, new, "k").where("k is null").count() == 2
+
+
+def test_rows_without_an_order(rows):
+    df = rows("k int, n int, v string", (1, None, "only"), (2, None, "late"), (2, 5, "early"))
+    assert collected(dedup.first_wins(df, "k", ["n"]).select("k", "v")) == [(1, "only"), (2, "early")]
+    pages = rows("source_id int, page_number int, n_entries int", (1, 1, 3), (1, 2, 0), (1, 3, 4), (1, None, 5))
+    assert collected(dedup.pages_until_empty(pages).select("n_entries")) == [(0,), (3,), (5,)]

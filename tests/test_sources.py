@@ -23,7 +23,7 @@ def test_page_files(spark, tmp_path):
     got = pages.page_files(spark, str(tmp_path), source_id=1, run_id=2)
     assert got.columns == schemas.PAGES.fieldNames()
     assert collected(got.select("source_id", "run_id", "page_number", "html")) == [
-        (1, 2, None, "start"), (1, 2, 12, "<p>\nzwölf</p>"),
+        (1, 2, 1, "start"), (1, 2, 12, "<p>\nzwölf</p>"),
     ]
 
 
