@@ -32,7 +32,8 @@ def bad_int(c: Column | str, path: str) -> Column:
 
 
 def variant(c: Column | str) -> Column:
-    return F.try_parse_json(col(c))
+    """The document as a variant, NULL for text that is no JSON; strings may have any length."""
+    return F.from_json(col(c), "variant", {"maxStringLen": str((1 << 31) - 1)})
 
 
 def get_default(v: Column, path: str, default: str = "") -> Column:
@@ -65,9 +66,16 @@ def sorted_struct(c: Column, dtype: T.DataType) -> Column:
             for f in sorted(dtype.fields, key=lambda f: f.name)
         ]
         return F.when(c.isNotNull(), F.struct(*parts))
+    if isinstance(dtype, T.ArrayType) and _holds_struct(dtype.elementType):
+        return F.transform(c, lambda e: sorted_struct(e, dtype.elementType))
     return c
 
 
+def _holds_struct(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.StructType) or (
+        isinstance(dtype, T.ArrayType) and _holds_struct(dtype.elementType))
+
+
 def canonical_json(c: Column, dtype: T.StructType) -> Column:
     """Sorted-key JSON with NULL fields kept, so ``{a: null}`` and ``{}`` stay apart."""
     return F.to_json(sorted_struct(c, dtype), {"ignoreNullFields": "false"})

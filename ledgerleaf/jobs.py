@@ -42,7 +42,7 @@ def run_ingest(job: IngestJob, pages: DataFrame, name: str, url: str, config: di
     note(lambda seq: ledger.open_run(wh.spark, run, source, config, seq=seq))
     tagged = pages.withColumns({"source_id": F.lit(source), "run_id": F.lit(run)})
     try:
-        load_batch(job, tagged, wh.next_batch("batches"))
+        load_batch(job, tagged, wh.batch_id("run", run))
     except Exception as error:
         message = str(error)
         note(lambda seq: ledger.record_error(wh.spark, run, seq, message))

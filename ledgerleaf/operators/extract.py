@@ -255,33 +255,60 @@ def _end_of_text(page: str, tag: str, pos: int) -> tuple[int, int]:
 
 
 def entries_column(html: Column | str, rules: EntryRules) -> Column:
-    """``array<struct>`` of a page's entries (Arrow batches in, Arrow batches out)."""
+    """``struct<entries, error>`` of a page (Arrow batches in, Arrow batches out).
 
-    reader, out = EntryReader(rules), to_arrow_type(T.ArrayType(rules.row_type()))
-
-    @F.arrow_udf(T.ArrayType(rules.row_type()))
+    A page that cannot be read has no entries and its error's text; it does not end the job.
+    """
+    shape = T.StructType([
+        T.StructField("entries", T.ArrayType(rules.row_type())), T.StructField("error", T.StringType()),
+    ])
+    reader, out = EntryReader(rules), to_arrow_type(shape)
+
+    def one(page: str | None) -> dict:
+        try:
+            return {"entries": [] if page is None else reader.read(page), "error": None}
+        except Exception as error:  # whatever a page holds, the others go on
+            return {"entries": [], "error": f"{type(error).__name__}: {error}"}
+
+    @F.arrow_udf(shape)
     def read(pages: pa.Array) -> pa.Array:
-        return pa.array(([] if p is None else reader.read(p) for p in pages.to_pylist()), out)
+        return pa.array((one(p) for p in pages.to_pylist()), out)
 
     return read(X.col(html))
 
 
-def page_entries(pages: DataFrame, rules: EntryRules, html: str = "html") -> DataFrame:
-    """One row per entry: the page's other columns, ``entry_pos`` and the rule columns."""
+def page_entries(pages: DataFrame, rules: EntryRules, html: str = "html", errors: str | None = None) -> DataFrame:
+    """One row per entry: the page's other columns, ``entry_pos`` and the rule columns.
+
+    ``errors`` names one more column, for a row per page that cannot be read, NULL in other rows.
+    """
     keep = [F.col(c) for c in pages.columns if c != html]
-    split = pages.select(*keep, F.posexplode(entries_column(html, rules)).alias("entry_pos", "entry"))
+    read = pages.select(*keep, entries_column(html, rules).alias("_page"))
+    names = [c for c in pages.columns if c != html]
+    # An outer explode, as Catalyst would read every page twice to skip the empty ones before.
+    split = read.select(*names, F.col("_page.error").alias("_error"),
+                        F.posexplode_outer("_page.entries").alias("entry_pos", "entry"))
+    if errors is None:
+        split = split.where(F.col("entry").isNotNull())
+    else:
+        split = split.where(F.col("entry").isNotNull() | F.col("_error").isNotNull())
+        split = split.withColumnRenamed("_error", errors)
+        names.append(errors)
     taken = [F.col("entry").getField(f.name).alias(f.name) for f in rules.row_type().fields]
-    return split.select(*[c for c in pages.columns if c != html], "entry_pos", *taken)
+    return split.select(*names, "entry_pos", *taken)
 
 
-def listing_items(pages: DataFrame, rules: EntryRules = LISTING) -> DataFrame:
+def listing_items(pages: DataFrame, rules: EntryRules = LISTING, errors: str | None = None) -> DataFrame:
     """Pages (source_id, run_id, page_number, html) to items ready for `ingest`.
 
     Texts are cleaned, the address is its first and last text, and the hash covers the
-    whole content, page number and markup included.
+    whole content, page number and markup included.  ``errors`` is that of `page_entries`;
+    the row of an unreadable page has its address, where pages have a ``url``, and no content.
     """
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PAGES.fields if f.name != "url"]
-    found = page_entries(pages.select(*columns), rules)
+    address = F.col("url") if "url" in pages.columns else F.lit(None)
+    columns.append(address.cast("string").alias("_page_url"))
+    found = page_entries(pages.select(*columns), rules, errors=errors)
     parts = found.withColumn("address_texts", X.strip_all("address_texts"))
     street, city = X.first_and_last("address_texts")
     content = F.struct(
@@ -294,9 +321,13 @@ def listing_items(pages: DataFrame, rules: EntryRules = LISTING) -> DataFrame:
         F.col("page_number"),
         F.col("html"),
     )
-    return items_from_struct(
-        parts.select("source_id", "run_id", "page_number", "entry_pos", "url", content.alias("raw_content"))
-    )
+    if errors is None:
+        return items_from_struct(parts.withColumn("raw_content", content))
+    read = F.col(errors).isNull()
+    return items_from_struct(parts.withColumns({
+        "raw_content": F.when(read, content),
+        "url": F.when(read, F.col("url")).otherwise(F.col("_page_url")),
+    }), errors)
 
 
 ITEM_COLUMNS = [
@@ -305,7 +336,7 @@ ITEM_COLUMNS = [
 ]
 
 
-def items_from_struct(df: DataFrame) -> DataFrame:
+def items_from_struct(df: DataFrame, *keep: str) -> DataFrame:
     """Items whose content already has the fixed shape (address NULL counts as failed)."""
     content = F.col("raw_content")
     return df.select(
@@ -313,6 +344,7 @@ def items_from_struct(df: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("raw_json"),
         J.content_hash(content, schemas.RAW_CONTENT).alias("hash"),
         F.when(content["address"].isNull(), ADDRESS_ERROR["null"]).alias("address_error"),
+        *keep,
     )
 
 

@@ -58,17 +58,27 @@ def _roll_up(level: DataFrame, below: DataFrame, count: str, sums: list[str]) ->
 
 def lineage_rows(sources: DataFrame, runs: DataFrame, raw: DataFrame, cleaned: DataFrame,
                  enriched: DataFrame) -> DataFrame:
-    """The chain as rows: every source with its runs, raw, cleaned and enriched ids."""
-    pick = lambda df, key, parent: df.select(
-        F.col("id").alias(key), F.col(parent).alias(f"_{key}_parent"))
-    out = sources.select(F.col("id").alias("source_id"), F.col("name").alias("source"))
+    """The chain as rows: every source with its runs, raw, cleaned and enriched ids.
+
+    Built from the bottom up.  At each level the rows below meet their parents in an inner join
+    with the rows on the left, whose hot partitions AQE splits; parents without rows below are
+    found against the distinct keys of the level below, and added.
+    """
     chain = (
-        (runs, "run_id", "source_id", "source_id"),
-        (raw, "raw_data_id", "run_id", "run_id"),
-        (cleaned, "cleaned_data_id", "raw_data_id", "raw_data_id"),
-        (enriched, "enriched_data_id", "cleaned_data_id", "cleaned_data_id"),
+        (cleaned, "cleaned_data_id", "raw_data_id", enriched),
+        (raw, "raw_data_id", "run_id", cleaned),
+        (runs, "run_id", "source_id", raw),
+        (sources, "source_id", "name", runs),
+    )
+    rows = enriched.select(F.col("cleaned_data_id").alias("_parent"), F.col("id").alias("enriched_data_id"))
+    for parents, key, above, children in chain:
+        level = parents.select(F.col("id").alias(key), F.col(above).alias("_above"))
+        taken = [c for c in rows.columns if c != "_parent"]
+        matched = rows.join(level, F.col("_parent") == F.col(key)).select("_above", key, *taken)
+        held = children.select(F.col(key).alias("_parent")).distinct()
+        childless = level.join(held, F.col(key) == F.col("_parent"), "left_anti")
+        rows = matched.unionByName(childless, allowMissingColumns=True).withColumnRenamed("_above", "_parent")
+    return rows.select(
+        "source_id", F.col("_parent").alias("source"),
+        "run_id", "raw_data_id", "cleaned_data_id", "enriched_data_id",
     )
-    for df, key, parent, above in chain:
-        level = pick(df, key, parent)
-        out = out.join(level, F.col(above) == F.col(f"_{key}_parent"), "left").drop(f"_{key}_parent")
-    return out

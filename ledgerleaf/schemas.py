@@ -74,6 +74,8 @@ RUN_CHANGES = _struct(
 )
 RUN_PROGRESS = _struct(id=BIGINT, items_seen=BIGINT, items_new=BIGINT)
 
+#: One row per batch, written first: who loads it, and its number among that writer's batches.
+BATCH_STARTS = _struct(seq=BIGINT, writer=TEXT, number=BIGINT, started_at=TIME)
 #: One row per finished batch, written last: it marks the batch as complete.
 BATCHES = _struct(
     seq=BIGINT, items_seen=BIGINT, raw_rows=BIGINT, cleaned_rows=BIGINT, rejected_rows=BIGINT,
@@ -84,6 +86,7 @@ TABLES = {
     "data_sources": DATA_SOURCES,
     "run_changes": RUN_CHANGES,
     "run_progress": RUN_PROGRESS,
+    "batch_starts": BATCH_STARTS,
     "batches": BATCHES,
     "raw_data": RAW_DATA,
     "cleaned_data": CLEANED_DATA,
@@ -94,6 +97,9 @@ TABLES = {
     "website_data": WEBSITE_DATA,
 }
 
+#: Tables that batches are loaded into; what a batch that has not finished wrote is not read.
+LOADED_TABLES = ("run_progress", "raw_data", "cleaned_data", "rejected_items")
+
 #: Column lengths of the relational schema; longer values reject the item.
 LENGTH_LIMITS = {"name": 255, "category": 255}
 

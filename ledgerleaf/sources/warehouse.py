@@ -1,8 +1,9 @@
 """The tables as Parquet folders, one sub-folder per batch.
 
 A batch is written by overwriting its own sub-folder, so a replayed batch leaves no
-second copy, and readers prune on ``batch_id``.  Nothing is ever read and overwritten
-in one plan.
+second copy, and readers prune on ``batch_id``.  A batch has a row in ``batch_starts`` before
+it writes anything and one in ``batches`` after it wrote everything; readers see no row of a
+batch in between.  Nothing is ever read and overwritten in one plan.
 """
 
 from __future__ import annotations
@@ -45,20 +46,62 @@ class Warehouse:
 
     def truncate(self, table: str) -> dict[str, int]:
         """Empty one table and report the counts before and after."""
-        before = self.read(table).count()
+        before = self.stored(table).count()
+        if table == "batches":  # or all that was loaded would count as unfinished
+            self._write_empty("batch_starts", "overwrite")
         self._write_empty(table, "overwrite")
-        after = self.read(table).count()
+        after = self.stored(table).count()
         return {"before": before, "after": after, "deleted": before - after}
 
-    def read(self, table: str) -> DataFrame:
+    def stored(self, table: str) -> DataFrame:
+        """All rows in the folder, those of unfinished batches included."""
         return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
 
+    def unfinished(self) -> DataFrame:
+        """Ids of batches that were started and not finished."""
+        finished = self.stored("batches").select(PART.name)
+        return self.stored("batch_starts").select(PART.name).join(finished, PART.name, "left_anti")
+
+    def read(self, table: str) -> DataFrame:
+        """The table as readers see it, without the rows of unfinished batches."""
+        rows = self.stored(table)
+        if table not in schemas.LOADED_TABLES:
+            return rows
+        return rows.join(self.unfinished(), PART.name, "left_anti").select(*rows.columns)
+
     def batch(self, table: str, batch_id: int) -> DataFrame:
-        return self.read(table).where(F.col(PART.name) == batch_id)
+        """What one batch wrote, finished or not."""
+        return self.stored(table).where(F.col(PART.name) == batch_id)
 
     def before(self, table: str, batch_id: int) -> DataFrame:
         return self.read(table).where(F.col(PART.name) < batch_id)
 
+    def others(self, table: str, batch_id: int) -> DataFrame:
+        """The rows of all finished batches but this one."""
+        return self.read(table).where(F.col(PART.name) != batch_id)
+
+    def batch_id(self, writer: str, number: int) -> int:
+        """Id of a writer's batch: the one it had before, or the next that nobody has.
+
+        All loads take their ids from here, so writers that take turns never share one.
+        """
+        mine = (F.col("writer") == writer) & (F.col("number") == number)
+        known = self.stored("batch_starts").where(mine).select(PART.name).first()
+        if known is not None:
+            return known[0]
+        new = max(self.next_batch("batch_starts"), self.next_batch("batches"))
+        self.start_batch(new, writer, number)
+        return new
+
+    def start_batch(self, batch_id: int, writer: str | None = None, number: int | None = None) -> None:
+        """Note that a batch is about to write; one that was noted before stays as it is."""
+        if self.batch("batch_starts", batch_id).isEmpty():
+            row = self.spark.range(1).select(
+                F.lit(batch_id).alias("seq"), F.lit(writer).alias("writer"), F.lit(number).alias("number"),
+                F.current_timestamp().alias("started_at"),
+            )
+            self.put("batch_starts", row, batch_id)
+
     def runs(self) -> DataFrame:
         """The run ledger, one current row per run."""
         return run_state(self.read("run_changes"), self.read("run_progress"))
@@ -79,7 +122,7 @@ class Warehouse:
         fitted.write.mode("overwrite").parquet(f"{self.path(table)}/{PART.name}={batch_id}")
 
     def next_batch(self, table: str) -> int:
-        last = self.read(table).agg(F.max(PART.name)).first()[0]
+        last = self.stored(table).agg(F.max(PART.name)).first()[0]
         return 0 if last is None else last + 1
 
     def register_views(self, prefix: str = "") -> None:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerleaf import session
 from ledgerleaf.operators import extract, ingest as I, ledger
+from ledgerleaf.operators.joins import join_reduced
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
 
@@ -26,7 +27,7 @@ class IngestJob:
     warehouse: Warehouse
     rules: extract.EntryRules = extract.LISTING
     validation: ValidationRules | None = None
-    #: Probe the history with the batch's hashes: right for batches much smaller than it.
+    #: Reduce the history to the batch's hashes once: right for batches much smaller than it.
     probe_history: bool = True
     #: Counts only where the session names no shared folder.
     shared_fallback: str | None = None
@@ -44,27 +45,39 @@ def load_batch(job: IngestJob, pages: DataFrame, batch_id: int, at: datetime | N
     """Ingest pages as batch ``batch_id``; a finished batch is left as it is."""
     if not job.warehouse.batch("batches", batch_id).isEmpty():
         return
-    items = extract.listing_items(pages, job.rules)
+    items = extract.listing_items(pages, job.rules, errors="page_error")
     load_items(job, items, batch_id, at)
 
 
 def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | None = None) -> None:
+    """Ingest items as batch ``batch_id``; readers see it when it is whole.
+
+    Rows with a text in ``page_error``, where items have that column, stand for pages that could
+    not be read: each becomes a failed raw row, and the other pages go on.
+    """
     wh, now = job.warehouse, F.lit(at or ledger.utc_now())
+    wh.start_batch(batch_id)
+    if "page_error" not in items.columns:
+        items = items.withColumn("page_error", F.lit(None).cast("string"))
     numbered = I.with_ids(items, name="item_id")
-    numbered.write.mode("overwrite").parquet(job.staging(batch_id))
-    staged = wh.spark.read.schema(numbered.schema).parquet(job.staging(batch_id))
+    read = _staged(numbered, job.staging(batch_id))
+    failed = read.where(F.col("page_error").isNotNull()).withColumn("error", F.col("page_error"))
+    staged = read.where(F.col("page_error").isNull()).drop("page_error")
 
     last_raw, last_cleaned = _last_ids(wh, batch_id)
+    history = wh.others("raw_data", batch_id).select("hash")
+    if job.probe_history:
+        history = _seen(job, staged, history, batch_id)
     done = I.ingest(
         staged,
-        wh.before("raw_data", batch_id).select("hash"),
+        history,
         sources=wh.read("data_sources"),
         runs=wh.read("run_changes"),
         now=now,
-        probe_history=job.probe_history,
         item_id="item_id",
     )
-    wh.put("raw_data", I.with_ids(done.raw, last_raw), batch_id)
+    raw_rows = done.raw.unionByName(I.failure_rows(failed, now))
+    wh.put("raw_data", I.with_ids(raw_rows, last_raw), batch_id)
     wh.put("rejected_items", done.rejects, batch_id)
 
     raw = wh.batch("raw_data", batch_id)
@@ -72,13 +85,30 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     wh.put("cleaned_data", I.with_ids(cleaned, last_cleaned), batch_id)
     wh.put("run_progress", ledger.run_counts(staged, raw).where("id is not null"), batch_id)
     wh.put("batches", _summary(wh, staged, batch_id, last_raw, last_cleaned, now), batch_id)
-    nothing = wh.spark.createDataFrame([], numbered.schema)
-    nothing.write.mode("overwrite").parquet(job.staging(batch_id))  # free the space
+    _staged(numbered.limit(0), job.staging(batch_id))  # free the space
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _seen(job: IngestJob, staged: DataFrame, history: DataFrame, batch_id: int) -> DataFrame:
+    """The batch's hashes that the history holds, stored.
+
+    The batch's distinct hashes are stored first, so that the look-up is planned on their true
+    size: while that is below the broadcast threshold the history is only scanned, once for
+    all that asks for it, and does not move.
+    """
+    batch = staged.select("hash").where(F.col("hash").isNotNull()).distinct()
+    own = _staged(batch, f"{job.shared('batch_hashes')}/batch_id={batch_id}")
+    hits = join_reduced(history, own, "hash", "left_semi").distinct()
+    return _staged(hits, f"{job.shared('seen_hashes')}/batch_id={batch_id}")
 
 
 def _last_ids(wh: Warehouse, batch_id: int) -> tuple[int, int]:
-    """Highest ids handed out by earlier batches, from the one-row-per-batch table."""
-    row = wh.before("batches", batch_id).agg(F.max("max_raw_id"), F.max("max_cleaned_id")).first()
+    """Highest ids handed out by other batches, from the one-row-per-batch table."""
+    row = wh.others("batches", batch_id).agg(F.max("max_raw_id"), F.max("max_cleaned_id")).first()
     return row[0] or 0, row[1] or 0
 
 
@@ -102,28 +132,18 @@ def _summary(wh: Warehouse, staged: DataFrame, batch_id: int, last_raw: int, las
     )
 
 
-def _stream_start(job: IngestJob, folder: str, wanted: int | None) -> int:
-    """First batch id of the stream with this checkpoint, decided once."""
-    spark, path = job.warehouse.spark, f"{folder.rstrip('/')}_first_batch"
-    start = job.warehouse.next_batch("batches") if wanted is None else wanted
-    spark.createDataFrame([(start,)], "first_batch bigint").write.mode("ignore").parquet(path)
-    return spark.read.schema("first_batch bigint").parquet(path).first()[0]
-
-
-def start_ingest(job: IngestJob, pages: DataFrame, checkpoint: str | None = None,
-                 first_batch: int | None = None, **trigger) -> StreamingQuery:
+def start_ingest(job: IngestJob, pages: DataFrame, checkpoint: str | None = None, **trigger) -> StreamingQuery:
     """Run `load_batch` for every micro-batch of a page stream.
 
-    A restart replays the unfinished micro-batch under its old id.  The ids of the stream follow
-    those of the batches loaded before it first started (or begin at ``first_batch``); where they
-    begin is kept beside the checkpoint.  No other writer may load batches while it runs.
-    ``trigger`` is passed on, e.g. ``availableNow=True``.
+    The checkpoint names the stream as a writer, so that a restart replays the unfinished
+    micro-batch under its old id, and other loads before or between its runs have ids of their
+    own.  No other writer may load batches while it runs.  ``trigger`` is passed on, e.g.
+    ``availableNow=True``.
     """
-    folder = checkpoint or job.shared("ingest_stream")
-    first_batch = _stream_start(job, folder, first_batch)
+    folder = (checkpoint or job.shared("ingest_stream")).rstrip("/")
     writer = pages.writeStream.option("checkpointLocation", folder)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.foreachBatch(
-        lambda batch, batch_id: load_batch(job, batch, first_batch + batch_id)
+        lambda batch, number: load_batch(job, batch, job.warehouse.batch_id(f"stream {folder}", number))
     ).start()

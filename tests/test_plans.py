@@ -88,17 +88,19 @@ def test_reports_reduce_facts_before_the_join(spark, no_broadcast, rows):
     assert "partial_count(id" in text[join:]
 
 
-def test_many_ids_become_a_join(rows):
-    facts, ids = rows("k int", (1,), (2,)), rows("id int", (1,), (2,), (3,))
-    assert "Join" not in physical(with_matching_ids(facts, "k", ids))
-    assert "Join" in physical(with_matching_ids(facts, "k", ids, max_ids=2))
+def test_matching_ids_are_planned_not_collected(rows):
+    facts, ids = rows("k int", (1,), (2,), (9,)), rows("id int", (1,), (2,), (3,))
+    kept = with_matching_ids(facts, "k", ids)
+    assert "Join" in physical(kept)
+    assert sorted(r.k for r in kept.collect()) == [1, 2]
 
 
 def test_only_markup_goes_through_python(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet").select(
         F.lit(1).alias("source_id"), F.lit(1).alias("run_id"), F.lit(1).alias("page_number"), "html")
-    text = physical(extract.listing_items(pages))
-    assert len(re.findall(r"ArrowEvalPython \[read\(html", text)) == 1 and "BatchEvalPython" not in text
+    for errors in (None, "page_error"):
+        text = physical(extract.listing_items(pages, errors=errors))
+        assert len(re.findall(r"ArrowEvalPython \[read\(html", text)) == 1 and "BatchEvalPython" not in text
 
 
 def test_hot_rows_of_a_reduced_join_are_split(spark, no_broadcast):

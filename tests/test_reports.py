@@ -138,3 +138,33 @@ def test_lineage(rows, sources):
         (1, "a", 1, 1, 1, 1), (1, "a", 1, 1, 1, 2), (1, "a", 1, 2, None, None), (1, "a", 2, None, None, None),
         (2, "b", 3, 3, 2, None), (3, "a", None, None, None, None), (4, "empty", None, None, None, None),
     ]
+
+
+def test_hot_source_of_lineage_rows_is_split(spark):
+    """A third of the raw rows under one run: the final plan must show a skew-split join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ids = spark.range(300_000, numPartitions=8)
+        sources = spark.range(10).select("id", F.concat(F.lit("s"), "id").alias("name"))
+        runs = spark.range(2_000).select("id", (F.col("id") % 10).alias("source_id"))
+        raw = ids.select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1_500).alias("run_id"))
+        cleaned = ids.where("id % 2 = 0").select("id", F.col("id").alias("raw_data_id"))
+        enriched = spark.range(5).select("id", F.col("id").alias("cleaned_data_id"))
+        rows = metrics.lineage_rows(sources, runs, raw, cleaned, enriched)
+        counted = rows.agg(*[F.count(c).alias(c) for c in rows.columns], F.count("*").alias("n"))
+        got = counted.collect()[0]
+        text = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert (got.n, got.raw_data_id, got.cleaned_data_id, got.enriched_data_id) == (301_000, 300_000, 150_000, 3)
+    assert "skew=true" in text

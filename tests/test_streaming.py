@@ -1,16 +1,17 @@
 from __future__ import annotations
 
+import dataclasses
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import collected, listing
-from ledgerleaf import schemas
-from ledgerleaf.operators import ledger
+from ledgerleaf import jobs, schemas
+from ledgerleaf.operators import extract, ledger
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
-from ledgerleaf.streaming import dedup, progress
+from ledgerleaf.streaming import dedup, ingest as ingest_module, progress
 from ledgerleaf.streaming.ingest import IngestJob, load_batch, start_ingest
 
 PAGES = [
@@ -100,6 +101,100 @@ def test_a_batch_that_broke_off_is_replayed(spark, tmp_path, expected, monkeypat
     assert contents(broken.warehouse) == expected
 
 
+@pytest.mark.parametrize("table", ["cleaned_data", "run_progress", "batches"])
+def test_an_unfinished_batch_is_not_read(spark, tmp_path, monkeypatch, table):
+    broken = job(spark, tmp_path)
+    load_batch(broken, frame(spark, PAGES[:2]), 0)
+    seen = contents(broken.warehouse)
+    put = Warehouse.put
+
+    def fail(self, name, df, batch_id):
+        if name == table:
+            raise RuntimeError("lost")
+        put(self, name, df, batch_id)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "put", fail)
+        with pytest.raises(RuntimeError):
+            load_batch(broken, frame(spark, PAGES[2:]), broken.warehouse.batch_id("run", 1))
+    assert broken.warehouse.batch("raw_data", 1).count() == 1
+    assert contents(broken.warehouse) == seen
+    # another writer goes on under an id of its own, and the same content is new to it
+    assert broken.warehouse.batch_id("run", 2) == 2
+    load_batch(broken, frame(spark, PAGES[2:]), 2)
+    assert [r[2] for r in contents(broken.warehouse)["raw"]] == ["A", "B", "C", "new"]
+    # the replay under the old id then finds it in the later batch
+    load_batch(broken, frame(spark, PAGES[2:]), broken.warehouse.batch_id("run", 1))
+    assert [r[2] for r in contents(broken.warehouse)["raw"]] == ["A", "B", "C", "new"]
+    ids = [r.id for r in broken.warehouse.read("raw_data").collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_a_stream_and_runs_take_turns(spark, tmp_path):
+    inbox, shared = str(tmp_path / "inbox"), job(spark, tmp_path)
+    names = lambda: [r[2] for r in contents(shared.warehouse)["raw"]]
+
+    def stream(name):
+        frame(spark, [(1, 1, 1, "p", listing((name, "S", "C")))]).coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(schemas.PAGES).parquet(inbox)
+        assert start_ingest(shared, source, str(tmp_path / "cp"), availableNow=True).awaitTermination(300)
+
+    def run(name):
+        pages = spark.createDataFrame([(1, listing((name, "S", "C")))], "page_number int, html string")
+        jobs.run_ingest(shared, pages, "dir", "u")
+
+    run("a")
+    stream("b")
+    run("c")
+    stream("d")
+    assert sorted(names()) == ["a", "b", "c", "d"]
+    assert [r.seq for r in shared.warehouse.read("batches").orderBy("seq").collect()] == [0, 1, 2, 3]
+
+
+def test_two_warehouses_at_once(spark, tmp_path):
+    one, two = job(spark, tmp_path / "one"), job(spark, tmp_path / "two")
+    assert one.staging(0) != two.staging(0) and one.shared("ingest_stream") != two.shared("ingest_stream")
+
+
+def test_a_page_that_raises_becomes_a_failed_row(spark, tmp_path, monkeypatch):
+    class Fragile(extract.EntryReader):
+        def read(self, page):
+            if "torn" in page:
+                raise ValueError("unreadable")
+            return super().read(page)
+
+    monkeypatch.setattr(extract, "EntryReader", Fragile)
+    failing = job(spark, tmp_path)
+    pages = [(1, 1, 1, "p1", listing(("A", "S", "C"))), (1, 1, 2, "p2", listing(("torn", "S", "C"))),
+             (1, 1, 3, "p3", "<html></html>"), (1, 1, 4, "p4", listing(("B", "S", "C")))]
+    load_batch(failing, frame(spark, pages), 0)
+    rows = failing.warehouse.read("raw_data").where("error is not null").collect()
+    assert [(r.source_id, r.run_id, r.url, r.error, r.processing_status, r.hash) for r in rows] == [
+        (1, 1, "p2", "ValueError: unreadable", "failed", None)]
+    assert [r[0] for r in contents(failing.warehouse)["cleaned"]] == ["A", "B"]
+    assert contents(failing.warehouse)["runs"] == [(1, 2, 2)]
+
+
+def test_the_history_does_not_move(spark, tmp_path):
+    one = job(spark, tmp_path)
+    load_batch(one, frame(spark, PAGES[:2]), 0)
+    items = spark.range(50_000).select(F.md5(F.col("id").cast("string")).alias("hash"))
+    history = one.warehouse.others("raw_data", 7).select("hash")
+    plans = []
+
+    def explained(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, path)
+
+    stored = ingest_module._staged
+    try:
+        ingest_module._staged = explained
+        assert ingest_module._seen(one, items, history, 7).count() == 0
+    finally:
+        ingest_module._staged = stored
+    assert "BroadcastHashJoin" in plans[1] and "SortMergeJoin" not in plans[1]
+
+
 def test_empty_batch(spark, tmp_path):
     empty = job(spark, tmp_path)
     load_batch(empty, frame(spark, PAGES[:1]), 0)

@@ -100,6 +100,21 @@ def test_open_documents_are_equal_when_python_says_so(spark, docs):
     assert [(a == b) for a in forms for b in forms] == [(a == b) for a in hashes for b in hashes]
 
 
+def test_strings_of_any_length_are_hashed(spark):
+    limit = 20_000_000  # where the plain parse function gives up
+    texts = F.expr(f"explode(array({limit}, {limit + 1}, {limit + 1}))")
+    docs = spark.range(1).select(texts.alias("n")).select(F.expr("""'{"b":1,"a":"' || repeat('x', n) || '"}'""").alias("d"))
+    hashes = [r.h for r in docs.select(F.md5(J.canonical_variant(J.variant("d"))).alias("h")).collect()]
+    assert None not in hashes and len(set(hashes)) == 2
+    assert hashes[1] == hashlib.md5(('{"a":"' + "x" * (limit + 1) + '","b":1}').encode()).hexdigest()
+
+
+def test_structs_in_arrays_are_sorted(spark):
+    df = spark.sql("select named_struct('b', array(named_struct('z', 1, 'a', 2), null), 'a', array(3)) s")
+    got = df.select(J.canonical_json(F.col("s"), df.schema["s"].dataType)).first()[0]
+    assert got == '{"a":[3],"b":[{"a":2,"z":1},null]}'
+
+
 def test_null_and_missing_fields_differ(rows):
     df = rows("d string", ('{"n": null}',), ("{}",), ('{"n": ""}',))
     assert len({r[0] for r in df.select(F.md5(J.canonical_variant(J.variant("d")))).collect()}) == 3
