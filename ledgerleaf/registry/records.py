@@ -87,32 +87,31 @@ def source_rules(t):
 
 
 def places(t) -> DataFrame:
-    """A reference table that does not know every nation."""
-    known = t.region.where("r_name <> 'AFRICA'")
-    return t.nation.join(known, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    """All nations as a reference table; customers ask for twice their nation, which not all hold."""
+    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return nations.select("n_nationkey", "n_name", "r_name")
 
 
-PLACES = """(select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey
-             where r_name <> 'AFRICA')"""
+PLACES = "(select n_nationkey, n_name, r_name from nation join region on n_regionkey = r_regionkey)"
 
 
 @query("enrich_geo", f"""
     select c_custkey, n_name, r_name, case when n_nationkey is not null then cast(1.0 as double) end
              as confidence_score
-    from customer left join {PLACES} on c_nationkey = n_nationkey""")
+    from customer left join {PLACES} on 2 * c_nationkey = n_nationkey""")
 def enrich_geo(t):
-    people = t.customer.select("c_custkey", "c_nationkey")
-    return enrich.look_up(people, places(t), "c_nationkey", "n_nationkey", ["n_name", "r_name"]).drop("c_nationkey")
+    people = t.customer.select("c_custkey", (2 * F.col("c_nationkey")).alias("asked"))
+    return enrich.look_up(people, places(t), "asked", "n_nationkey", ["n_name", "r_name"]).drop("asked")
 
 
 @query("enriched_rows", f"""
     select c_custkey as cleaned_data_id, 'geolocation' as enrichment_type,
            cast(to_json({{'n_name': n_name, 'r_name': r_name}}) as varchar) as data, 'nation table' as source,
            cast(1.0 as double) as confidence_score
-    from customer join {PLACES} on c_nationkey = n_nationkey""")
+    from customer join {PLACES} on 2 * c_nationkey = n_nationkey""")
 def enriched_rows(t):
     people = t.customer.select(F.col("c_custkey").alias("id"), "c_nationkey")
-    rows = enrich.enriched_rows(people, places(t), F.col("c_nationkey"), "n_nationkey", ["n_name", "r_name"],
+    rows = enrich.enriched_rows(people, places(t), 2 * F.col("c_nationkey"), "n_nationkey", ["n_name", "r_name"],
                                 "geolocation", "nation table")
     return rows.drop("enriched_at")
 
@@ -211,6 +210,49 @@ def master_records(t):
     )
 
 
+# Customers in raw form, standardised, looked up, and merged by market segment and balance class
+# (as name and city); records that the look-up knows come first.
+BEST = "conf desc nulls last, done desc, c_custkey"
+
+
+@query("master_enriched", f"""
+    with p as (select c.*, cast(cast(floor(c_acctbal / 1000) as bigint) as varchar) as city,
+                      case when n_nationkey is not null then cast(1.0 as double) end as conf,
+                      cast(floor(c_acctbal) as bigint) + 100000 as done
+               from customer c left join nation on 2 * c_nationkey = n_nationkey)
+    select md5(lower(c_mktsegment) || '|' || city) as external_id, c_mktsegment as name, city,
+           first(c_name order by {BEST}) as type,
+           first(regexp_replace(c_name, '[^0-9]', '', 'g') order by {BEST}) as phone,
+           cast(to_json({{'id': first(c_custkey order by {BEST}), 'raw_data_id': first(c_custkey order by {BEST}),
+                          'source_id': first(cast(c_nationkey as bigint) order by {BEST})}}) as varchar)
+             as primary_data,
+           array_to_string(list_sort(list(distinct c_nationkey)), ',') as sources,
+           min(done) as created_at, max(done) as updated_at, max(conf) as confidence_score
+    from p group by c_mktsegment, city""")
+def master_enriched(t):
+    blank = F.lit("")
+    records = validate.standardize(t.customer.select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_custkey").alias("raw_data_id"),
+        F.col("c_nationkey").cast("bigint").alias("source_id"),
+        F.concat(F.lit("  "), "c_mktsegment", F.lit("\n")).alias("name"),
+        F.col("c_name").alias("category"),
+        F.struct(blank.alias("street"), F.floor(F.col("c_acctbal") / 1000).cast("string").alias("city")).alias("address"),
+        F.struct(F.col("c_name").alias("phone"), blank.alias("hours")).alias("contact"),
+        F.timestamp_seconds(F.floor("c_acctbal") + 100000).alias("cleaned_at"),
+    ))
+    found = enrich.enriched_rows(records, t.nation, 2 * F.col("source_id"), "n_nationkey", ["n_name"],
+                                 "geolocation", "nation table")
+    masters = consolidate.master_records(records, found.select("cleaned_data_id", "confidence_score"))
+    return masters.select(
+        "external_id", "name", "type", "address.city", "contact.phone", "primary_data",
+        F.array_join("sources", ",").alias("sources"),
+        F.unix_timestamp("created_at").alias("created_at"),
+        F.unix_timestamp("updated_at").alias("updated_at"),
+        "confidence_score",
+    )
+
+
 @query("retry_list", """
     select event_id, user_id, ts from events e where event_type = 'error'
       and not exists (select 1 from events p where p.event_type = 'purchase' and p.user_id = e.user_id
