@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import functions as F
 
 from ledgerleaf import jobs, schemas
 from ledgerleaf.plans import quality, reports
@@ -46,6 +47,13 @@ def main(argv: list[str] | None = None) -> None:
     todo.add_parser("create", help="create missing tables")
     todo.add_parser("reset", help="empty every table")
     todo.add_parser("consolidate", help="rebuild the master records")
+    one = todo.add_parser("enrich", help="look the cleaned records up in a reference table")
+    one.add_argument("reference", help="Parquet folder of the reference table")
+    one.add_argument("--key", required=True, help="SQL expression over a cleaned record, e.g. address.city")
+    one.add_argument("--reference-key", required=True)
+    one.add_argument("--take", required=True, help="columns of the reference to keep, comma separated")
+    one.add_argument("--kind", required=True, help="enrichment type")
+    one.add_argument("--source", required=True, help="name of the reference")
     one = todo.add_parser("truncate", help="empty one table and report the counts")
     one.add_argument("table", choices=sorted(schemas.TABLES))
     one = todo.add_parser("ingest", help="ingest listing pages as one run of a source")
@@ -72,6 +80,9 @@ def main(argv: list[str] | None = None) -> None:
         wh.create_tables() if args.command == "create" else wh.reset()
     elif args.command == "consolidate":
         jobs.rebuild_masters(IngestJob(wh))
+    elif args.command == "enrich":
+        jobs.enrich_records(IngestJob(wh), wh.spark.read.parquet(args.reference), F.expr(args.key),
+                            args.reference_key, args.take.split(","), args.kind, args.source)
     elif args.command == "truncate":
         print(wh.truncate(args.table))
     elif args.command == "ingest":

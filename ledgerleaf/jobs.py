@@ -1,11 +1,13 @@
-"""Whole runs: open the ledger entry, ingest, close it."""
+"""Whole runs: open the ledger entry, ingest, close it; enrich and consolidate what is stored."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerleaf import schemas
-from ledgerleaf.operators import consolidate, ingest as I, ledger
+from ledgerleaf.operators import consolidate, enrich, ingest as I, ledger, validate
 from ledgerleaf.streaming.ingest import IngestJob, load_batch
 
 
@@ -51,9 +53,30 @@ def run_ingest(job: IngestJob, pages: DataFrame, name: str, url: str, config: di
     return run
 
 
+def enrich_records(job: IngestJob, reference: DataFrame, key: Column, reference_key: str,
+                   take: Sequence[str], kind: str, source: str) -> None:
+    """Look all cleaned records up in a reference table; their rows of that kind and source are replaced.
+
+    ``key`` is a column of the standardised records, e.g. ``F.col("address.city")``.
+    """
+    wh = job.warehouse
+    wh.create_tables()
+    stored = wh.read("enriched_data")
+    mine = (F.col("enrichment_type") == kind) & (F.col("source") == source)
+    known = stored.where(mine).select("batch_id").first()
+    batch = wh.next_batch("enriched_data") if known is None else known[0]
+    last = stored.where(F.col("batch_id") != batch).agg(F.max("id")).first()[0] or 0
+    records = validate.standardize(wh.read("cleaned_data"))
+    rows = enrich.enriched_rows(records, reference, key, reference_key, take, kind, source)
+    wh.put("enriched_data", I.with_ids(rows, last), batch)
+
+
 def rebuild_masters(job: IngestJob) -> None:
-    """Consolidate all cleaned records into master_records, as its only batch."""
+    """Standardise and consolidate all cleaned records into master_records, as its only batch.
+
+    The confidence of records that were looked up decides which fields a master row takes.
+    """
     wh = job.warehouse
     scores = wh.read("enriched_data").select("cleaned_data_id", "confidence_score")
-    masters = consolidate.master_records(wh.read("cleaned_data"), scores)
+    masters = consolidate.master_records(validate.standardize(wh.read("cleaned_data")), scores)
     wh.put("master_records", I.with_ids(masters), 0)

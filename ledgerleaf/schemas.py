@@ -100,8 +100,18 @@ TABLES = {
 #: Tables that batches are loaded into; what a batch that has not finished wrote is not read.
 LOADED_TABLES = ("run_progress", "raw_data", "cleaned_data", "rejected_items")
 
-#: Column lengths of the relational schema; longer values reject the item.
-LENGTH_LIMITS = {"name": 255, "category": 255}
+#: Column lengths of the relational schema.  A longer value is refused on writing.
+WIDTHS = {
+    "data_sources": {"name": 255},
+    "run_changes": {"status": 50},
+    "raw_data": {"processing_status": 50},
+    "cleaned_data": {"name": 255, "category": 255, "validation_status": 50},
+    "enriched_data": {"enrichment_type": 255, "source": 255},
+    "master_records": {"external_id": 255, "name": 255, "type": 255, "status": 50},
+}
+
+#: Lengths that are looked at before, item by item: longer values reject the item.
+LENGTH_LIMITS = {c: WIDTHS["cleaned_data"][c] for c in ("name", "category")}
 
 #: Status domains as stored.
 PROCESSING_STATUSES = ("pending", "processed", "failed")

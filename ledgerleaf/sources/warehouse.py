@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerleaf import schemas
+from ledgerleaf.functions import text as X
 from ledgerleaf.operators.ledger import run_state
 
 PART = T.StructField("batch_id", T.LongType())
@@ -109,14 +110,22 @@ class Warehouse:
     def put(self, table: str, df: DataFrame, batch_id: int) -> None:
         """Write one batch of a table, in place of whatever that batch wrote before.
 
-        Rows are fitted to the declared schema: missing columns are NULL, others fail.
+        Rows are fitted to the declared schema: missing columns are NULL, others fail, and so does
+        a text that is longer than its column.
         """
-        declared = schemas.TABLES[table]
+        declared, widths = schemas.TABLES[table], schemas.WIDTHS.get(table, {})
+
+        def fits(column: Column, name: str) -> Column:
+            if name not in widths:
+                return column
+            refused = F.raise_error(F.lit(f"{table}.{name} is longer than {widths[name]} characters"))
+            return F.when(X.too_long(column, widths[name]), refused.cast("string")).otherwise(column)
+
         unknown = set(df.columns) - set(declared.fieldNames())
         if unknown:
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
         fitted = df.select(*[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            fits((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType), f.name).alias(f.name)
             for f in declared.fields
         ])
         fitted.write.mode("overwrite").parquet(f"{self.path(table)}/{PART.name}={batch_id}")
