@@ -3,11 +3,14 @@
 Each block of vectors keeps one sorted array per random projection.  A query opens a window
 around its own projection in every array and counts how often each vector falls inside; virtual
 rehashing widens the windows round by round.  Vectors that collide often enough are verified
-with exact inner products on the original values.
+with exact inner products on the original values.  A query ends when the best verified so far are
+so near that anything nearer would have collided often enough too.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -22,8 +25,8 @@ PROJECTIONS = 64
 WIDTHS = (1.0, 1.4, 2.0, 3.0, 5.0)
 #: A vector is verified once it has collided in this share of the projections.
 THRESHOLD = 0.547
-#: A query ends once this share of its block, and more than NEAREST vectors, were verified.
-ENOUGH = 0.25
+#: Standard deviations by which the collisions expected of the last neighbour must exceed THRESHOLD.
+SURE = 3.0
 
 
 class ProjectionIndex:
@@ -43,19 +46,38 @@ class ProjectionIndex:
         self.spread = places.std(0) + 1e-12
         self.order = np.argsort(places, axis=0, kind="stable").T.copy()
         self.sorted = np.take_along_axis(places, self.order.T, 0).T.copy()
+        self.norm = norms.max()
+        self.trusted = [self._trusted(width * self.spread) for width in WIDTHS]
+
+    @staticmethod
+    def _trusted(reach: np.ndarray) -> float:
+        """The largest distance whose vectors collide often enough within ``reach`` but for ``SURE`` deviations.
 
-    def candidates(self, query: np.ndarray) -> np.ndarray:
+        Along an axis two vectors differ by a normal number with their distance as its deviation.
+        """
+        low, high = 0.0, 10 * float(reach.max())
+        for _ in range(40):
+            middle = (low + high) / 2
+            p = np.array([math.erf(r / (middle * math.sqrt(2))) for r in reach])
+            sure = p.sum() - SURE * math.sqrt((p * (1 - p)).sum()) >= THRESHOLD * PROJECTIONS
+            low, high = (middle, high) if sure else (low, middle)
+        return low
+
+    def candidates(self, query: np.ndarray, k: int = NEAREST) -> np.ndarray:
         """Rows of the block that collide with the query often enough to be verified.
 
-        The windows widen until ``ENOUGH`` rows reached the threshold; at the last width all
-        rows are verified if fewer than NEAREST did.
+        The windows widen until the best ``k`` verified, and the query itself, lie within the
+        distance that the width is trusted with; if the last width is not, all rows are verified.
         """
         n = len(self.vectors)
-        needed = max(min(NEAREST + 1, n), int(ENOUGH * n))
+        if n <= k + 1:
+            return np.arange(n)
         centre = self.axes[:, :-1] @ query
+        away = query @ query + self.norm
         counts = np.zeros(n, dtype=np.int64)
+        products = np.full(n, -np.inf)
         low = high = None
-        for width in WIDTHS:
+        for width, trusted in zip(WIDTHS, self.trusted):
             reach = width * self.spread
             a = [int(np.searchsorted(s, c - r, "left")) for s, c, r in zip(self.sorted, centre, reach)]
             b = [int(np.searchsorted(s, c + r, "right")) for s, c, r in zip(self.sorted, centre, reach)]
@@ -65,14 +87,17 @@ class ProjectionIndex:
                 fresh = [o[x:y] for o, x, y in zip(self.order, a, low)] + [o[x:y] for o, x, y in zip(self.order, high, b)]
             counts += np.bincount(np.concatenate(fresh), minlength=n)
             low, high = a, b
-            hit = np.flatnonzero(counts >= THRESHOLD * PROJECTIONS)
-            if len(hit) >= needed:
-                return hit
-        return hit if len(hit) > NEAREST else np.arange(n)
+            hit = counts >= THRESHOLD * PROJECTIONS
+            new = np.flatnonzero(hit & np.isinf(products))
+            products[new] = self.vectors[new] @ query
+            last = np.partition(products, n - k - 1)[n - k - 1]
+            if away - 2 * last <= trusted * trusted:
+                return np.flatnonzero(hit)
+        return np.arange(n)
 
     def nearest(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and exact scores of the best ``k`` verified rows but the query's own, ties to the smaller id."""
-        rows = self.candidates(query)
+        rows = self.candidates(query, k)
         if len(rows) > k + 1:  # single precision with room for its error leaves few for the exact measure
             rough = self.small[rows] @ (query / np.sqrt(query @ query)).astype(np.float32)
             rows = rows[rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - 1e-4]

@@ -276,3 +276,20 @@ def test_vectors_that_take_no_part(spark):
     got = sorted(tuple(r) for r in collision_search.nearest_vectors(vectors).collect())
     assert got == [(0, 1, 20, 2.0), (0, 2, 1, 0.5), (0, 3, 7, 0.5), (0, 4, 9, 0.5), (20, 1, 0, 2.0), (20, 2, 1, 1.0), (20, 3, 7, 1.0), (20, 4, 9, 1.0)]
     assert collision_search.nearest_vectors(vectors.limit(0)).collect() == []
+
+
+def test_recall_on_other_tables_and_seeds(table):
+    """Small blocks, other seeds and a table without neighbourhoods find their neighbours too."""
+    isotropic = np.random.default_rng(0).normal(size=(8192, 64))
+    sets = [(isotropic / np.linalg.norm(isotropic, axis=1)[:, None], 11, 400)]
+    for sf, seeds in (("sf0.01", (11, 1, 2)), ("sf0.1", (1, 2))):
+        rows = table("embeddings", f"/root/testdata/{sf}").orderBy("vec_id").collect()
+        sets += [(np.array([r.embedding for r in rows], dtype=np.float64), seed, 20) for seed in seeds]
+    for x, seed, every in sets:
+        ids = np.arange(len(x))
+        index = collision_search.ProjectionIndex(x, seed)
+        want = plain_nearest(ids, x, every, 20)
+        hits = sum(len({w[0] for w in near} & set(index.nearest(x[q], ids, q, 20)[0].tolist())) for q, near in want.items())
+        assert hits / (20 * len(want)) >= 0.98
+    index = collision_search.ProjectionIndex(x)
+    assert len(index.nearest(x[0], ids, 0, 100)[0]) == 100
