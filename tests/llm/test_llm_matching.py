@@ -153,6 +153,21 @@ def test_leaks_equal_brute_force(documents, spark, table, prose):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - {k[0] for k in want}
 
 
+def test_edited_passages_of_every_item(documents, table):
+    """Items with words at an end replaced or cut off, however far that moves the fingerprint."""
+    benchmark = table("benchmark", "/root/testdata/sf0.1")
+    items = {r.item_id: r.text for r in benchmark.collect()}
+    r, pool, texts = random.Random(4), [w for t in items.values() for w in tidy(t)], []
+    for i, words in enumerate(map(tidy, items.values())):
+        n = 1 + i % 5
+        other = r.sample(pool, n)
+        texts += [" ".join(t) for t in (other + words[n:], words[:-n] + other, words[n:], words[:-n])]
+    want = plain_leaks(dict(enumerate(texts)), items)
+    found = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontaminate.contaminated(documents(texts), benchmark).collect()}
+    assert len(want) > 400
+    assert found == {k: round(v[0], 9) for k, v in want.items()}
+
+
 def test_no_benchmark(documents, spark):
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.contaminated(documents(["a b c d e f"]), benchmark).collect() == []
