@@ -33,8 +33,8 @@ STEPS = 4096
 #: Discounts expected before anything is seen, and how many n-grams that belief weighs.
 DISCOUNTS = {2: 0.85, 3: 0.92}
 BELIEF = 4.0
-#: Trigrams seen less often are left to the bigrams; the mass of their contexts stays whole.
-LEAST_TRIGRAM = 2
+#: Every trigram that training saw is kept; the plain model of the tests reads this too.
+LEAST_TRIGRAM = 1
 START = -1
 
 
@@ -155,24 +155,18 @@ class Trie:
         total = np.bincount(inverse, triple_count, len(contexts))
         once, twice = np.bincount(inverse, triple_count == 1, len(contexts)), np.bincount(inverse, triple_count == 2, len(contexts))
         discount = self._discount(3, once, twice)
-        kept = triple_count >= LEAST_TRIGRAM
-        live = np.zeros(len(contexts), dtype=bool)
-        live[inverse[kept]] = True
-        new = np.cumsum(live) - 1
-        contexts = contexts[live]
-        ctx, w2, w3, count = new[inverse[kept]], w2[kept], w3[kept], triple_count[kept]
-        discount, total = discount[live], total[live]
-        seen = np.bincount(ctx, count - discount[ctx], len(contexts))
-        mass = 1 - seen / np.maximum(total, 1)
+        del context_of, once, twice
+        mass = 1 - np.bincount(inverse, triple_count - discount[inverse], len(contexts)) / np.maximum(total, 1)
         self.contexts = EliasFano(contexts, size * size)
         width = np.diff(begin)[contexts // size] if len(contexts) else np.zeros(0, dtype=np.int64)
         base = np.concatenate([[0], np.cumsum(width)])
         self.base = EliasFano(base, int(base[-1]) + 1)
         at2 = self.successors.find(w2 * size + w3)
-        value = base[ctx] + at2 - begin[w2]
+        value = base[inverse] + at2 - begin[w2]
         order = np.argsort(value, kind="stable")
         self.relative = EliasFano(value[order], int(base[-1]) + 1)
-        p3 = (count - discount[ctx]) / total[ctx] + mass[ctx] * p2[at2]
+        del value, w1, w2, w3
+        p3 = (triple_count - discount[inverse]) / total[inverse] + mass[inverse] * p2[at2]
         self.p3, self.backoff3 = _codes(p3[order]), _codes(mass)
 
     @staticmethod

@@ -102,6 +102,16 @@ def test_model_equals_a_plain_one(documents, corpus):
         assert abs(sum(p3(*context, w) for w in vocabulary) - 1) < 1e-9
 
 
+def test_trigrams_seen_once_are_kept():
+    """``1 2 -> 3`` stands once, so its context foretells 3 better than the bigrams do."""
+    unigram = np.full(6, 1 / 6)
+    w1, w2, w3 = np.array([1, 4, 4]), np.array([2, 2, 2]), np.array([3, 0, 5])
+    order = np.argsort((w2 * 6 + w1) * 6 + w3)
+    trie = ngram_lm.Trie(unigram, np.sort(w2 * 6 + w3), np.ones(3, dtype=np.int64), (w1[order], w2[order], w3[order]), np.ones(3, dtype=np.int64))
+    seen, other = trie.ask(np.array([1, 5]), np.array([2, 2]), np.array([3, 3]))
+    assert seen < other - 100
+
+
 def test_elias_fano_round_trip():
     r = np.random.default_rng(1)
     for n, universe in ((0, 5), (1, 1), (50, 60), (1000, 10**12), (5000, 6000)):
