@@ -8,7 +8,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from pyspark.sql import DataFrame, functions as F  # noqa: E402
+from pyspark.sql import DataFrame  # noqa: E402
 
 from ledgerleaf import schemas  # noqa: E402
 from ledgerleaf.operators import extract  # noqa: E402
@@ -38,12 +38,6 @@ def rows(spark):
     return make
 
 
-def content(name="A", street="S", city="C", page=1, html="<div/>", category="", phone="1", hours="",
-            subtitle=""):
-    """A raw_content value."""
-    return (name, subtitle, category, (street, city), phone, hours, page, html)
-
-
 ITEM_TYPE = (
     "source_id bigint, run_id bigint, page_number int, entry_pos int, url string, raw_content "
     + schemas.RAW_CONTENT.simpleString()
@@ -75,22 +69,3 @@ def json_items(spark):
 @pytest.fixture
 def no_history(spark):
     return spark.createDataFrame([], "hash string")
-
-
-def listing(*entries, extra: str = "") -> str:
-    """A directory page with the given (name, street, city) entries."""
-    hits = "".join(
-        f'<div class="hit clearfix"><h2><a class="hitlnk_name" href="/d/{n}">{n}</a></h2>'
-        f'<div class="subline">sub\n {n}</div><div class="category">Cat</div>'
-        f"<address>\n {s}<br> {c} </address>"
-        f'<div class="phoneblock"><span>0{i} 12</span></div><div class="hitlnk_times">Mo&#8211;Fr</div></div>'
-        for i, (n, s, c) in enumerate(entries)
-    )
-    return f"<html><body><div class='list'>{hits}{extra}</div></body></html>"
-
-
-def collected(df: DataFrame, *order: str) -> list[tuple]:
-    return [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
-
-
-__all__ = ["F", "collected", "content", "listing"]

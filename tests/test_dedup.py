@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf.operators import dedup, joins
 
 

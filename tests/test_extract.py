@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import collected, listing
+from support import collected, listing
 from ledgerleaf.functions import html as H
 from ledgerleaf.operators import extract
 from ledgerleaf.registry.extraction import NAV_RULES

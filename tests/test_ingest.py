@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected, content
+from support import collected, content
 from ledgerleaf.operators import ingest as I
 from ledgerleaf.operators.validate import ValidationRules
 

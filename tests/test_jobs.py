@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import collected, listing
+from support import collected, listing
 from ledgerleaf import __main__ as cli, jobs
 from ledgerleaf.plans import reports
 from ledgerleaf.sources.warehouse import Warehouse

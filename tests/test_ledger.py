@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf.operators import ledger
 
 T0 = datetime(2024, 5, 1, 10, 0, tzinfo=timezone.utc)

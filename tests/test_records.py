@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf.functions import text as X
 from ledgerleaf.operators import consolidate, enrich, validate
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf.plans import metrics, quality, reports
 
 TS = "timestamp_ntz"

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf import schemas, session
 from ledgerleaf.operators import ledger
 from ledgerleaf.sources import export, jdbc, pages

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected, listing
+from support import collected, listing
 from ledgerleaf import jobs, schemas
 from ledgerleaf.operators import extract, ledger
 from ledgerleaf.operators.validate import ValidationRules

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import collected
+from support import collected
 from ledgerleaf import schemas
 from ledgerleaf.functions import html as H, json as J, text as X, url as U
 
