@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    collision_search, decontaminate, jaccard_join, license_scan, ngram_lm, personal_data, quality_mil, source_mix, suffix_dedup,
-    token_counts,
+    collision_search, decontaminate, filter_audit, jaccard_join, license_scan, ngram_lm, personal_data, quality_mil, source_mix,
+    spelling_variants, suffix_dedup, token_counts, url_filter,
 )
 
 #: Vocabulary of the token counts; another place is set with ``token_counts.token_counts(model_path=...)``.
@@ -45,8 +45,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": _documents(jaccard_join.op8),
     "op9_suffix_dedup": _documents(suffix_dedup.op9),
     "op10_token_counts": _token_counts,
+    "op11_filter_audit": _documents(filter_audit.op11, "labels"),
+    "op12_spelling_variants": _documents(spelling_variants.op12),
+    "op13_url_filter": lambda spark, folder: url_filter.op13(_read(spark, folder, "pages")),
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op4_source_mix": source_mix.OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op4_source_mix": source_mix.OP4_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
+    "op12_spelling_variants": spelling_variants.OP12_SQL,
+    "op13_url_filter": url_filter.OP13_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
