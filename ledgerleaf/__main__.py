@@ -54,8 +54,15 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--take", required=True, help="columns of the reference to keep, comma separated")
     one.add_argument("--kind", required=True, help="enrichment type")
     one.add_argument("--source", required=True, help="name of the reference")
-    one = todo.add_parser("truncate", help="empty one table and report the counts")
-    one.add_argument("table", choices=sorted(schemas.TABLES))
+    one = todo.add_parser("truncate", help="empty tables in one step and report the counts")
+    one.add_argument("tables", nargs="+", choices=sorted(schemas.TABLES))
+    one.add_argument("--cascade", action="store_true", help="also the tables that refer to them")
+    one = todo.add_parser("compact", help="merge small files of tables, of all if none is named")
+    one.add_argument("tables", nargs="*")
+    one.add_argument("--target-mb", type=int, default=512)
+    one = todo.add_parser("vacuum", help="delete old versions and the files only they name")
+    one.add_argument("--keep", type=int, default=10, help="newest versions to keep")
+    one.add_argument("--min-age", type=float, default=24.0, help="hours after which an unnamed file may go")
     one = todo.add_parser("ingest", help="ingest listing pages as one run of a source")
     one.add_argument("pages", help="folder of page files, or of Parquet with --table")
     one.add_argument("--table", action="store_true")
@@ -84,7 +91,13 @@ def main(argv: list[str] | None = None) -> None:
         jobs.enrich_records(IngestJob(wh), wh.spark.read.parquet(args.reference), F.expr(args.key),
                             args.reference_key, args.take.split(","), args.kind, args.source)
     elif args.command == "truncate":
-        print(wh.truncate(args.table))
+        for table, counts in wh.truncate(*args.tables, cascade=args.cascade).items():
+            print(table, counts)
+    elif args.command == "compact":
+        for table, (before, after) in wh.compact(*args.tables, target_bytes=args.target_mb << 20).items():
+            print(f"{table}: {before} files, now {after}")
+    elif args.command == "vacuum":
+        print(wh.vacuum(args.keep, args.min_age * 3600))
     elif args.command == "ingest":
         read = pages.page_table if args.table else pages.page_files
         job = IngestJob(wh, shared_fallback=args.shared)

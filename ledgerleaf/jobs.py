@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,11 +18,10 @@ def source_id(job: IngestJob, name: str, url: str, **details) -> int:
     known = wh.read("data_sources")
     found = known.where(F.col("name") == name).select("id").orderBy("id").first()
     if found is None:
-        highest = known.agg(F.max("id")).first()[0] or 0
         row = {f.name: details.get(f.name) for f in schemas.DATA_SOURCES.fields if f.name in details}
         one = wh.spark.createDataFrame([{"name": name, "url": url, **row}],
                                        "name string, url string" + "".join(f", {c} string" for c in row))
-        wh.put("data_sources", ledger.new_sources(known, one, after=highest), wh.next_batch("data_sources"))
+        wh.put("data_sources", ledger.new_sources(known, one, after=wh.last_id("data_sources")), wh.next_batch("data_sources"))
         return source_id(job, name, url)
     return found[0]
 
@@ -35,7 +35,7 @@ def run_ingest(job: IngestJob, pages: DataFrame, name: str, url: str, config: di
     wh = job.warehouse
     wh.create_tables()
     source = source_id(job, name, url)
-    run = (wh.read("run_changes").agg(F.max("id")).first()[0] or 0) + 1
+    run = wh.last_id("run_changes") + 1
 
     def note(change) -> None:
         seq = wh.next_batch("run_changes")
@@ -44,7 +44,7 @@ def run_ingest(job: IngestJob, pages: DataFrame, name: str, url: str, config: di
     note(lambda seq: ledger.open_run(wh.spark, run, source, config, seq=seq))
     tagged = pages.withColumns({"source_id": F.lit(source), "run_id": F.lit(run)})
     try:
-        load_batch(job, tagged, wh.batch_id("run", run))
+        load_batch(job, tagged, wh.batch_id(f"run {uuid.uuid4().hex}", run))  # run ids restart, batches do not
     except Exception as error:
         message = str(error)
         note(lambda seq: ledger.record_error(wh.spark, run, seq, message))

@@ -76,7 +76,7 @@ RUN_PROGRESS = _struct(id=BIGINT, items_seen=BIGINT, items_new=BIGINT)
 
 #: One row per batch, written first: who loads it, and its number among that writer's batches.
 BATCH_STARTS = _struct(seq=BIGINT, writer=TEXT, number=BIGINT, started_at=TIME)
-#: One row per finished batch, written last: it marks the batch as complete.
+#: One row per finished batch, visible with its rows.
 BATCHES = _struct(
     seq=BIGINT, items_seen=BIGINT, raw_rows=BIGINT, cleaned_rows=BIGINT, rejected_rows=BIGINT,
     max_raw_id=BIGINT, max_cleaned_id=BIGINT, finished_at=TIME,
@@ -97,9 +97,19 @@ TABLES = {
     "website_data": WEBSITE_DATA,
 }
 
-#: Tables that batches are loaded into; what a batch that has not finished wrote is not read.
+#: Tables that batches are loaded into; all of a batch becomes visible in one step.
 LOADED_TABLES = ("run_progress", "raw_data", "cleaned_data", "rejected_items")
 
+#: Tables whose rows refer to rows of a table; the loaded tables need the record of their batches.
+REFERRED_BY = {
+    "data_sources": ("run_changes", "raw_data", "cleaned_data", "rejected_items"),
+    "run_changes": ("run_progress", "raw_data", "rejected_items"),
+    "raw_data": ("cleaned_data",),
+    "cleaned_data": ("enriched_data",),
+    "batches": ("batch_starts", *LOADED_TABLES),
+    "batch_starts": ("batches", *LOADED_TABLES),
+}
+
 #: Column lengths of the relational schema.  A longer value is refused on writing.
 WIDTHS = {
     "data_sources": {"name": 255},

@@ -64,7 +64,7 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     failed = read.where(F.col("page_error").isNotNull()).withColumn("error", F.col("page_error"))
     staged = read.where(F.col("page_error").isNull()).drop("page_error")
 
-    last_raw, last_cleaned = _last_ids(wh, batch_id)
+    last_raw, last_cleaned = wh.last_id("raw_data"), wh.last_id("cleaned_data")
     history = wh.others("raw_data", batch_id).select("hash")
     if job.probe_history:
         history = _seen(job, staged, history, batch_id)
@@ -77,14 +77,23 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         item_id="item_id",
     )
     raw_rows = done.raw.unionByName(I.failure_rows(failed, now))
-    wh.put("raw_data", I.with_ids(raw_rows, last_raw), batch_id)
-    wh.put("rejected_items", done.rejects, batch_id)
-
-    raw = wh.batch("raw_data", batch_id)
-    cleaned = I.cleaned_rows(raw, job.validation, now)
-    wh.put("cleaned_data", I.with_ids(cleaned, last_cleaned), batch_id)
-    wh.put("run_progress", ledger.run_counts(staged, raw).where("id is not null"), batch_id)
-    wh.put("batches", _summary(wh, staged, batch_id, last_raw, last_cleaned, now), batch_id)
+    raw = wh.write("raw_data", I.with_ids(raw_rows, last_raw), batch_id)
+    rejected = wh.write("rejected_items", done.rejects, batch_id)
+    cleaned_rows = I.cleaned_rows(wh.rows(raw), job.validation, now)
+    cleaned = wh.write("cleaned_data", I.with_ids(cleaned_rows, last_cleaned), batch_id)
+    counts = ledger.run_counts(staged, wh.rows(raw)).where("id is not null")
+    progress = wh.write("run_progress", counts, batch_id)
+    row = wh.spark.range(1).select(
+        F.lit(batch_id).alias("seq"),
+        F.lit(staged.count()).alias("items_seen"),
+        F.lit(raw.rows).alias("raw_rows"),
+        F.lit(cleaned.rows).alias("cleaned_rows"),
+        F.lit(rejected.rows).alias("rejected_rows"),
+        F.lit(raw.max_id or last_raw).alias("max_raw_id"),
+        F.lit(cleaned.max_id or last_cleaned).alias("max_cleaned_id"),
+        now.alias("finished_at"),
+    )
+    wh.commit(raw, rejected, cleaned, progress, wh.write("batches", row, batch_id))
     _staged(numbered.limit(0), job.staging(batch_id))  # free the space
 
 
@@ -106,32 +115,6 @@ def _seen(job: IngestJob, staged: DataFrame, history: DataFrame, batch_id: int)
     return _staged(hits, f"{job.shared('seen_hashes')}/batch_id={batch_id}")
 
 
-def _last_ids(wh: Warehouse, batch_id: int) -> tuple[int, int]:
-    """Highest ids handed out by other batches, from the one-row-per-batch table."""
-    row = wh.others("batches", batch_id).agg(F.max("max_raw_id"), F.max("max_cleaned_id")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def _summary(wh: Warehouse, staged: DataFrame, batch_id: int, last_raw: int, last_cleaned: int, now):
-    """The batch's one row; every count is a scalar subquery over what was written."""
-    def rows(df: DataFrame):
-        return df.agg(F.count("*")).scalar()
-
-    def highest(table: str, floor: int):
-        return F.coalesce(wh.batch(table, batch_id).agg(F.max("id")).scalar(), F.lit(floor))
-
-    return wh.spark.range(1).select(
-        F.lit(batch_id).alias("seq"),
-        rows(staged).alias("items_seen"),
-        rows(wh.batch("raw_data", batch_id)).alias("raw_rows"),
-        rows(wh.batch("cleaned_data", batch_id)).alias("cleaned_rows"),
-        rows(wh.batch("rejected_items", batch_id)).alias("rejected_rows"),
-        highest("raw_data", last_raw).alias("max_raw_id"),
-        highest("cleaned_data", last_cleaned).alias("max_cleaned_id"),
-        now.alias("finished_at"),
-    )
-
-
 def start_ingest(job: IngestJob, pages: DataFrame, checkpoint: str | None = None, **trigger) -> StreamingQuery:
     """Run `load_batch` for every micro-batch of a page stream.
 

@@ -43,7 +43,9 @@ def test_command_line_round(spark, tmp_path, capsys):
         cli.main([root, "report", name, "--source", "dir"])
     cli.main([root, "verify", "listing_pages"])
     cli.main([root, "export", "cleaned_data", str(tmp_path / "out")])
-    cli.main([root, "truncate", "raw_data"])
+    with pytest.raises(ValueError, match="cleaned_data"):
+        cli.main([root, "truncate", "raw_data"])
+    cli.main([root, "truncate", "raw_data", "--cascade"])
     assert "{'before': 3, 'after': 0, 'deleted': 3}" in capsys.readouterr().out
     cli.main([root, "reset"])
     cli.main([root, "create"])

@@ -79,8 +79,8 @@ def test_truncate_and_reset(warehouse, rows):
     one = rows("id bigint, url string", (1, "u"), (2, "v"))
     for table in ("listing_pages", "website_data"):
         warehouse.put(table, one, 0)
-    assert warehouse.truncate("listing_pages") == {"before": 2, "after": 0, "deleted": 2}
-    assert warehouse.truncate("listing_pages") == {"before": 0, "after": 0, "deleted": 0}
+    assert warehouse.truncate("listing_pages") == {"listing_pages": {"before": 2, "after": 0, "deleted": 2}}
+    assert warehouse.truncate("listing_pages") == {"listing_pages": {"before": 0, "after": 0, "deleted": 0}}
     assert warehouse.read("website_data").count() == 2
     warehouse.put("listing_pages", one, 0)
     for _ in range(2):
