@@ -93,14 +93,15 @@ def content_hash(c: Column, dtype: T.StructType | None = None) -> Column:
 
 @F.pandas_udf(T.StringType())
 def spaced_json_md5(docs: pd.Series) -> pd.Series:
-    """MD5 of ``json.dumps(doc, sort_keys=True)`` for JSON text.
+    """MD5 of ``json.dumps(doc, sort_keys=True)`` for JSON text; NULL for text that is none.
 
     Only for matching digests that another tool stored in that byte form; equality
     inside our own tables uses :func:`content_hash`, which stays in the JVM.
     """
     def digest(doc: str | None) -> str | None:
-        if doc is None:
+        try:
+            return hashlib.md5(json.dumps(json.loads(doc), sort_keys=True).encode()).hexdigest()
+        except (TypeError, ValueError, RecursionError):
             return None
-        return hashlib.md5(json.dumps(json.loads(doc), sort_keys=True).encode()).hexdigest()
 
     return docs.map(digest, na_action="ignore")

@@ -1,39 +1,17 @@
 """Listing pages to entry rows.
 
-Markup is read by one small per-page helper behind an Arrow batched UDF that sees the
-``html`` column only.  Every other column, the text cleaning, the address rule and the
-record layout stay native.
+Pages are cut by the column functions of :mod:`ledgerleaf.functions.markup`; nothing leaves the
+JVM, from the markup to the record layout.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from dataclasses import dataclass, field
-from html import unescape
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerleaf import schemas
-from ledgerleaf.functions import json as J, text as X
-
-#: Fixed values of the markup rules: elements without content, elements a sibling of the
-#: same name closes, containers that a stray inline end tag cannot close, and elements
-#: whose content is text only.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SELF_CLOSING = frozenset("p li td th tr option dt dd".split())
-CONTAINERS = frozenset("div table td th tr ul ol section article main body html".split())
-RAW = ("script", "style", "textarea", "title")
-
-# Quantifiers are possessive and nothing fails at the end of a page, so that it is scanned
-# once, however broken its markup is.
-COMMENT = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
-INSIDE_TAG = r"""(?:[^>=]|=\s*+(?:"[^"]*+"|'[^']*+')?)*+"""
-TAG = rf"<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>{INSIDE_TAG})(?:>|\Z)"
-TOKEN = re.compile(f"{COMMENT}|{TAG}", re.I | re.S)
-ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"']*+)))?""")
+from ledgerleaf.functions import json as J, markup as M, text as X
 
 
 @dataclass(frozen=True)
@@ -74,241 +52,52 @@ LISTING = EntryRules(
 )
 
 
-def _steps(selector: str) -> list[tuple[str, frozenset[str]]]:
-    steps = []
-    for part in selector.split():
-        tag, *classes = part.split(".")
-        steps.append((tag, frozenset(classes)))
-    return steps
-
-
-def _step_hits(step, element) -> bool:
-    return (not step[0] or step[0] == element[0]) and step[1] <= element[1]
-
-
-def _attributes(text: str) -> dict[str, str]:
-    """Attributes of a start tag; the first of repeated ones counts."""
-    found: dict[str, str] = {}
-    if "=" not in text and not text.strip():
-        return found
-    for m in ATTRIBUTE.finditer(text):
-        value = m[2] or m[3] or m[4] or ""
-        found.setdefault(m[1].lower(), unescape(value) if "&" in value else value)
-    return found
-
-
-class _Entry:
-    """An open entry: its row and, per open element from the entry on, how far the path
-    down to it satisfies each selector, which selectors match it, and which it lies below."""
-
-    def __init__(self, rules: EntryReader, depth: int, start: int):
-        self.rules, self.depth, self.start = rules, depth, start
-        self.row: dict = dict.fromkeys(("html", *rules.texts, *rules.attrs))
-        self.row.update((name, []) for name in rules.parts)
-        self.levels: list[tuple[list[int], list[str], frozenset[str]]] = []
-
-    def push(self, element, values: dict[str, str]) -> None:
-        rules = self.rules
-        done, _, below = self.levels[-1] if self.levels else ([0] * len(rules.steps), [], frozenset())
-        now, hits = [], []
-        for n, (name, steps) in zip(done, rules.steps):
-            if n == len(steps) - 1:
-                if _step_hits(steps[-1], element):
-                    hits.append(name)
-            elif _step_hits(steps[n], element):
-                n += 1
-            now.append(n)
-        for name in hits:
-            attr = rules.attrs.get(name)
-            if attr in values and self.row[name] is None:
-                self.row[name] = values[attr]
-        if self.levels:  # parts lie below the entry, they cannot be the entry itself
-            below = below.union(name for name in hits if name in rules.parts)
-        self.levels.append((now, hits, below))
-
-    def take(self, text: str) -> None:
-        _, hits, below = self.levels[-1]
-        for name in hits:
-            if name in self.rules.texts and self.row[name] is None:
-                self.row[name] = text
-        for name in below:
-            self.row[name].append(text)
-
-
-class EntryReader:
-    """Reads the entries of pages under one rule set.
-
-    Between entries only comments, text-only elements and possible entry tags are looked
-    at; inside an entry every tag is.
-    """
-
-    def __init__(self, rules: EntryRules):
-        (self.entry,) = _steps(rules.entry)
-        self.texts = frozenset(rules.texts)
-        self.attrs = {name: attr for name, (_, attr) in rules.attrs.items()}
-        self.parts = frozenset(rules.parts)
-        selectors = {**rules.texts, **{k: s for k, (s, _) in rules.attrs.items()}, **rules.parts}
-        self.steps = [(name, _steps(s)) for name, s in selectors.items()]
-        tag = re.escape(self.entry[0]) or r"[a-z][^\s/>]*+"
-        self.between = re.compile(
-            rf"{COMMENT}|<(?P<tag>{tag})(?=[\s/>])(?P<attrs>{INSIDE_TAG})(?:>|\Z)|<(?P<raw>{'|'.join(RAW)})\b",
-            re.I | re.S,
-        )
-
-    def read(self, page: str) -> list[dict]:
-        """Entry rows of one page in document order."""
-        rows: list[dict] = []
-        pos = 0
-        while m := self.between.search(page, pos):
-            pos = m.end()
-            if m["raw"]:
-                pos = _end_of_text(page, m["raw"], pos)[1]
-            elif m["tag"]:
-                values = _attributes(m["attrs"])
-                element = (m["tag"].lower(), frozenset(values.get("class", "").split()))
-                if _step_hits(self.entry, element):
-                    pos = self._read_entry(page, m.start(), rows)
-                elif element[0] in RAW:
-                    pos = _end_of_text(page, element[0], pos)[1]
-        return rows
-
-    def _read_entry(self, page: str, pos: int, rows: list[dict]) -> int:
-        """Read the entry whose start tag is at ``pos``; return where it ends."""
-        path: list[tuple[str, frozenset[str]]] = []
-        entries: list[_Entry] = []
-        unclosed: Counter[str] = Counter()
-
-        def close(depth: int, end: int) -> None:
-            while entries and entries[-1].depth > depth:
-                entry = entries.pop()
-                entry.row["html"] = page[entry.start:end]
-            unclosed.subtract(tag for tag, _ in path[depth:])
-            del path[depth:]
-            for entry in entries:
-                del entry.levels[depth - entry.depth + 1:]
-
-        def take(text: str) -> None:
-            """One text node; it belongs to the innermost open element."""
-            if "&" in text and path[-1][0] not in ("script", "style"):
-                text = unescape(text)
-            for entry in entries:
-                entry.take(text)
-
-        while m := TOKEN.search(page, pos):
-            if m.start() > pos:
-                take(page[pos:m.start()])
-            pos = m.end()
-            tag = (m["tag"] or "").lower()
-            if not tag:
-                continue
-            if m["end"]:
-                depth = _closes(tag, path) if unclosed[tag] else None
-                if depth is not None:
-                    close(depth + 1, m.start())
-                    close(depth, pos)
-                elif tag in CONTAINERS and path[0][0] in SELF_CLOSING:
-                    pos = m.start()  # the end of what holds the entry
-                    close(0, pos)
-            else:
-                if tag in SELF_CLOSING and path and path[-1][0] == tag:
-                    close(len(path) - 1, m.start())
-                    if not path:
-                        return m.start()
-                values = _attributes(m["attrs"])
-                path.append((tag, frozenset(values.get("class", "").split())))
-                unclosed[tag] += 1
-                if _step_hits(self.entry, path[-1]):
-                    entries.append(_Entry(self, len(path), m.start()))
-                    rows.append(entries[-1].row)
-                for entry in entries:
-                    entry.push(path[-1], values)
-                if tag in VOID:
-                    close(len(path) - 1, pos)
-                elif tag in RAW:
-                    end, after = _end_of_text(page, tag, pos)
-                    if end > pos:
-                        take(page[pos:end])
-                    pos = after
-                    close(len(path) - 1, pos)
-            if not path:
-                return pos
-        if pos < len(page):
-            take(page[pos:])
-        close(0, len(page))
-        return len(page)
-
-
-def _closes(tag: str, path: list) -> int | None:
-    """Index of the open element an end tag closes, None for a stray one."""
-    for depth in range(len(path) - 1, -1, -1):
-        if path[depth][0] == tag:
-            return depth
-        if tag not in CONTAINERS and path[depth][0] in CONTAINERS:
-            return None
-    return None
-
-
-def _end_of_text(page: str, tag: str, pos: int) -> tuple[int, int]:
-    """Where the content of a text-only element ends and where its end tag does."""
-    m = re.compile(rf"</{tag}\b[^>]*+>?", re.I).search(page, pos)
-    return (m.start(), m.end()) if m else (len(page), len(page))
-
-
-def entries_column(html: Column | str, rules: EntryRules) -> Column:
-    """``struct<entries, error>`` of a page (Arrow batches in, Arrow batches out).
-
-    A page that cannot be read has no entries and its error's text; it does not end the job.
-    """
-    shape = T.StructType([
-        T.StructField("entries", T.ArrayType(rules.row_type())), T.StructField("error", T.StringType()),
-    ])
-    reader, out = EntryReader(rules), to_arrow_type(shape)
+#: Columns that were built before: the expression of a rule set is long and the same for each batch.
+_BUILT: dict[tuple[str, str], Column] = {}
 
-    def one(page: str | None) -> dict:
-        try:
-            return {"entries": [] if page is None else reader.read(page), "error": None}
-        except Exception as error:  # whatever a page holds, the others go on
-            return {"entries": [], "error": f"{type(error).__name__}: {error}"}
 
-    @F.arrow_udf(shape)
-    def read(pages: pa.Array) -> pa.Array:
-        return pa.array((one(p) for p in pages.to_pylist()), out)
+def entries_column(html: str, rules: EntryRules) -> Column:
+    """The entries of a page in document order, as an array of ``rules.row_type()``.
 
-    return read(X.col(html))
+    A NULL page has none, and no page fails.
+    """
+    known = (html, repr(rules))
+    if known not in _BUILT:
+        _BUILT[known] = _entries(F.col(html), rules)
+    return _BUILT[known]
+
+
+def _entries(html: Column, rules: EntryRules) -> Column:
+    def entry(block: Column) -> Column:
+        return F.struct(
+            M.outer(block).alias("html"),
+            *[M.first_text(block, selector).alias(name) for name, selector in rules.texts.items()],
+            *[M.first_attribute(block, selector, attr).alias(name) for name, (selector, attr) in rules.attrs.items()],
+            *[M.texts_below(block, selector).alias(name) for name, selector in rules.parts.items()],
+        )
 
+    page = F.coalesce(html.cast("string"), F.lit(""))
+    return M.let(M.tokens(page), lambda t: F.transform(M.blocks(t, rules.entry), entry))
 
-def page_entries(pages: DataFrame, rules: EntryRules, html: str = "html", errors: str | None = None) -> DataFrame:
-    """One row per entry: the page's other columns, ``entry_pos`` and the rule columns.
 
-    ``errors`` names one more column, for a row per page that cannot be read, NULL in other rows.
-    """
-    keep = [F.col(c) for c in pages.columns if c != html]
-    read = pages.select(*keep, entries_column(html, rules).alias("_page"))
+def page_entries(pages: DataFrame, rules: EntryRules, html: str = "html") -> DataFrame:
+    """One row per entry: the page's other columns, ``entry_pos`` and the rule columns."""
     names = [c for c in pages.columns if c != html]
+    read = pages.select(*names, entries_column(html, rules).alias("_entries"))
     # An outer explode, as Catalyst would read every page twice to skip the empty ones before.
-    split = read.select(*names, F.col("_page.error").alias("_error"),
-                        F.posexplode_outer("_page.entries").alias("entry_pos", "entry"))
-    if errors is None:
-        split = split.where(F.col("entry").isNotNull())
-    else:
-        split = split.where(F.col("entry").isNotNull() | F.col("_error").isNotNull())
-        split = split.withColumnRenamed("_error", errors)
-        names.append(errors)
+    split = read.select(*names, F.posexplode_outer("_entries").alias("entry_pos", "entry")).where(F.col("entry").isNotNull())
     taken = [F.col("entry").getField(f.name).alias(f.name) for f in rules.row_type().fields]
     return split.select(*names, "entry_pos", *taken)
 
 
-def listing_items(pages: DataFrame, rules: EntryRules = LISTING, errors: str | None = None) -> DataFrame:
+def listing_items(pages: DataFrame, rules: EntryRules = LISTING) -> DataFrame:
     """Pages (source_id, run_id, page_number, html) to items ready for `ingest`.
 
     Texts are cleaned, the address is its first and last text, and the hash covers the
-    whole content, page number and markup included.  ``errors`` is that of `page_entries`;
-    the row of an unreadable page has its address, where pages have a ``url``, and no content.
+    whole content, page number and markup included.
     """
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.PAGES.fields if f.name != "url"]
-    address = F.col("url") if "url" in pages.columns else F.lit(None)
-    columns.append(address.cast("string").alias("_page_url"))
-    found = page_entries(pages.select(*columns), rules, errors=errors)
+    found = page_entries(pages.select(*columns), rules)
     parts = found.withColumn("address_texts", X.strip_all("address_texts"))
     street, city = X.first_and_last("address_texts")
     content = F.struct(
@@ -321,13 +110,7 @@ def listing_items(pages: DataFrame, rules: EntryRules = LISTING, errors: str | N
         F.col("page_number"),
         F.col("html"),
     )
-    if errors is None:
-        return items_from_struct(parts.withColumn("raw_content", content))
-    read = F.col(errors).isNull()
-    return items_from_struct(parts.withColumns({
-        "raw_content": F.when(read, content),
-        "url": F.when(read, F.col("url")).otherwise(F.col("_page_url")),
-    }), errors)
+    return items_from_struct(parts.withColumn("raw_content", content))
 
 
 ITEM_COLUMNS = [

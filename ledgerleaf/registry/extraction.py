@@ -15,8 +15,14 @@ LINK = """'<li><a href="([^"]*)">([^<]*)</a></li>'"""
 HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
 
 
+#: Fixed values, spelled out for the SQL alone: the entities of the pages, ampersand last.
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"),
+)
+
+
 def unescaped(sql: str) -> str:
-    for entity, char in H.ENTITIES:
+    for entity, char in ENTITIES:
         sql = f"replace({sql}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return sql
 
@@ -77,6 +83,15 @@ def parsed_blocks(t):
     return extract.page_entries(t.pages.select("page_id", "html"), ARTICLE_RULES)
 
 
+FOOTER_RULES = extract.EntryRules(entry="footer", texts={"text": "footer"})
+
+
+@query("page_footers", f"""
+    select page_id, {unescaped("regexp_extract(html, '<footer>([^<]*)', 1)")} as text from pages where html like '%<footer>%'""")
+def page_footers(t):
+    return extract.page_entries(t.pages.select("page_id", "html"), FOOTER_RULES).select("page_id", "text")
+
+
 @query("page_first_last", f"""
     with l as (select page_id, regexp_extract_all(html, {LINK}, 2) as raw from pages),
          a as (select page_id, list_filter(list_transform(raw, lambda x: trim({unescaped("x")})),

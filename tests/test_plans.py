@@ -14,7 +14,7 @@ from ledgerleaf.operators.joins import with_matching_ids
 from ledgerleaf.plans import reports
 
 DATA = "/root/testdata/sf0.001"
-PYTHON = {"parsed_entries", "parsed_blocks", "spaced_json_hash"}
+PYTHON = {"spaced_json_hash"}
 #: Row-wise queries: nothing may be shuffled.
 NO_SHUFFLE = {
     "clean_text", "content_hash", "domain_filter", "json_default", "length_rejects", "page_entries",
@@ -95,12 +95,12 @@ def test_matching_ids_are_planned_not_collected(rows):
     assert sorted(r.k for r in kept.collect()) == [1, 2]
 
 
-def test_only_markup_goes_through_python(spark):
+def test_pages_are_read_once_and_natively(spark):
     pages = spark.read.parquet(f"{DATA}/pages.parquet").select(
         F.lit(1).alias("source_id"), F.lit(1).alias("run_id"), F.lit(1).alias("page_number"), "html")
-    for errors in (None, "page_error"):
-        text = physical(extract.listing_items(pages, errors=errors))
-        assert len(re.findall(r"ArrowEvalPython \[read\(html", text)) == 1 and "BatchEvalPython" not in text
+    text = physical(extract.listing_items(pages))
+    assert not re.search("EvalPython|MapInArrow|PythonUDF", text) and text.count("FileScan") == 1
+    assert text.count("regexp_extract_all(html") <= 1
 
 
 def test_hot_rows_of_a_reduced_join_are_split(spark, no_broadcast):

@@ -128,7 +128,7 @@ def test_key_order_does_not_matter(rows):
 def test_spaced_digest(spark):
     doc = {"name": "Zoë \U0001f600", "address": {"street": None, "city": "a\\b\"c"}, "n": 3}
     digest = hashlib.md5(json.dumps(doc, sort_keys=True).encode()).hexdigest()
-    assert column(spark, [json.dumps(doc), None], J.spaced_json_md5("c")) == [digest, None]
+    assert column(spark, [json.dumps(doc), None, "{bad", ""], J.spaced_json_md5("c")) == [digest, None, None, None]
 
 
 def test_domains(spark):
