@@ -26,8 +26,8 @@ from .common import LOWER, U64, crc_bucket, id_type, joined, pack, pieces, stage
 BLOCK_BYTES = 10 << 20
 WORD_PART_BYTES = 64 << 20
 MODEL_PART_BYTES = 10 << 20
-#: A word that stands more often than this is dealt to several parts of the model.
-HOT = 8_000_000
+#: Text bytes to a token, roughly: a word that follows more tokens than one part's text has is dealt to several parts.
+TOKEN_BYTES = 6
 #: Codes of probabilities: steps of 1/4096 of a decade, up to 16 decades.
 STEPS = 4096
 #: Discounts expected before anything is seen, and how many n-grams that belief weighs.
@@ -55,7 +55,9 @@ class EliasFano:
 
     Each value is split into low bits, packed, and high bits, written in unary: value ``i`` sets
     bit ``high + i`` of a bit vector.  The places of the zeros say where the values of each high
-    part begin, so a value is looked up among the few that share its high part.
+    part begin, so a value is looked up among the few that share its high part.  Beside the bits
+    only the number of ones before every word of 64 is kept; the place of a one or zero is found
+    from it and within its word, so a sequence that is asked takes no more room than one that is not.
     """
 
     def __init__(self, values: np.ndarray, universe: int):
@@ -63,11 +65,12 @@ class EliasFano:
         self.n, self.bits = n, max(0, int(universe // max(n, 1)).bit_length() - 1)
         high = (values >> self.bits) + np.arange(n)
         self.size = int(universe >> self.bits) + n + 1
-        unary = np.zeros(self.size, dtype=np.uint8)
+        unary = np.zeros(-(-(self.size + 1) // 64) * 64, dtype=np.uint8)
         unary[high] = 1
-        self.upper = mapped(np.packbits(unary, bitorder="little"))
+        self.upper = mapped(np.packbits(unary, bitorder="little").view(np.uint64))
+        before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.upper), dtype=np.int64)])
+        self.before = mapped(before.astype(np.uint32 if n < 1 << 32 else np.int64))
         self.lower = mapped(self._packed(values & ((1 << self.bits) - 1)))
-        self._zeros = self._ones = None
 
     def _packed(self, low: np.ndarray) -> np.ndarray:
         out = np.zeros((len(low) * self.bits + 7) // 8 + 8, dtype=np.uint8)
@@ -85,23 +88,38 @@ class EliasFano:
         at = i * self.bits
         return ((window[at >> 3] >> (at & 7).astype(U64)) & U64((1 << self.bits) - 1)).astype(np.int64)
 
-    def _bounds(self) -> np.ndarray:
-        """Index of the first value of every high part, from the places of the zeros."""
-        if self._zeros is None:
-            zeros = np.flatnonzero(np.unpackbits(self.upper, count=self.size, bitorder="little") == 0)
-            self._zeros = np.concatenate([[0], zeros - np.arange(len(zeros))])
-        return self._zeros
+    def _place(self, i: np.ndarray, ones: bool) -> np.ndarray:
+        """Places of the ones, or zeros, of the numbers ``i``, counted from 0."""
+        before = self.before if ones else np.arange(0, 64 * len(self.before), 64) - self.before
+        word = np.searchsorted(before, i, side="right") - 1
+        left = (i - before[word]).astype(np.uint8)
+        bits = self.upper[word] if ones else ~self.upper[word]
+        place = word * 64
+        for width in (32, 16, 8, 4, 2, 1):  # into the half of the word that holds it
+            count = np.bitwise_count(bits & U64((1 << width) - 1))
+            further = left >= count
+            left -= np.where(further, count, 0).astype(np.uint8)
+            bits = np.where(further, bits >> U64(width), bits)
+            place += further * width
+        return place
+
+    def _start(self, high: np.ndarray) -> np.ndarray:
+        """Index of the first value of every high part: the ones before the zero that opens it."""
+        zero = np.maximum(high - 1, 0)
+        return np.where(high > 0, self._place(zero, False) - zero, 0)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
-        if self._ones is None:
-            self._ones = np.flatnonzero(np.unpackbits(self.upper, count=self.size, bitorder="little"))
-        return ((self._ones[i] - i) << self.bits) | self._low(i)
+        return ((self._place(i, True) - i) << self.bits) | self._low(i)
+
+    def nbytes(self) -> int:
+        return self.upper.nbytes + self.before.nbytes + self.lower.nbytes
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Index of each value, or -1: search for the first successor within its high part."""
-        bounds = self._bounds()
+        if not self.n:
+            return np.full(len(values), -1, dtype=np.int64)
         high, low = values >> self.bits, values & ((1 << self.bits) - 1)
-        a, b = bounds[high].copy(), bounds[high + 1]
+        a, b = self._start(high), self._start(high + 1)
         stop = b.copy()
         while True:  # all binary searches take a step together
             open_ = np.flatnonzero(a < b)
@@ -190,7 +208,7 @@ class Trie:
 
     def nbytes(self) -> int:
         parts = (self.successors, self.children, self.contexts, self.base, self.relative)
-        return sum(p.upper.nbytes + p.lower.nbytes for p in parts) + sum(a.nbytes for a in (self.unigram, self.p2, self.backoff2, self.p3, self.backoff3))
+        return sum(p.nbytes() for p in parts) + sum(a.nbytes for a in (self.unigram, self.p2, self.backoff2, self.p3, self.backoff3))
 
 
 # ---- blocks and parts --------------------------------------------------------------------
@@ -218,7 +236,7 @@ def word_numbers(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return tokens, vocabulary, counts + 1
 
 
-def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MODEL_PART_BYTES) -> DataFrame:
+def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part: int = MODEL_PART_BYTES) -> DataFrame:
     """``doc_id, trains, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     The model is learned from the rows for which ``trains`` holds (null: not), and scores all.
@@ -226,13 +244,15 @@ def scored(docs: DataFrame, trains: Column, hot: int = HOT, model_part: int = MO
     probability under single words with half a count added, one unknown word included; ``score``
     under the trigram model, whose last resort is the base.  A null or empty text is one end.
     Repeated rows are trained on and scored each; null ids are kept; other columns are not read.
-    Without training rows all tokens are unknown and every score is the base's.
+    Without training rows all tokens are unknown and every score is the base's; an empty table
+    gives an empty one.
 
-    Words that follow very many tokens (``hot``) are dealt to several parts by the word before
-    them; the successors of such a word are counted first, by plain aggregates, and every one of
+    Words that follow more tokens than a part's share of the text has (``hot``) are dealt to several
+    parts by the word before them; the successors of such a word are counted first, by plain aggregates, and every one of
     its parts gets them all, so its probabilities are the same as in a single part.
     """
     ids = id_type(docs)
+    hot = max(1, model_part // TOKEN_BYTES) if hot is None else hot
     total = docs.select(F.sum(F.octet_length(text_column()))).first()[0] or 0
     word_parts = max(1, -(-total // WORD_PART_BYTES))
     model_parts = max(1, -(-total // model_part))

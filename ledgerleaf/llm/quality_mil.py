@@ -203,6 +203,10 @@ def train(docs: DataFrame, labels: DataFrame, trainable: Column, sample: int = S
     return fit(features, passages, y) if len(y) else None
 
 
+#: Digits of a score behind the point.
+DIGITS = 9
+
+
 def scorer(model: Model | None) -> Callable[[Column], Column]:
     """A column function from whole texts to the probability of label 1 (0.5 without a model)."""
 
@@ -210,7 +214,8 @@ def scorer(model: Model | None) -> Callable[[Column], Column]:
     def score(texts: pa.Array) -> pa.Array:
         if model is None:
             return pa.array(np.full(len(texts), 0.5))
-        return pa.array(model.score(*encode(texts)).astype(np.float64))
+        # sums of a batch depend on its rows in their last bits; equal texts must score alike
+        return pa.array(np.round(model.score(*encode(texts)).astype(np.float64), DIGITS))
 
     return score
 

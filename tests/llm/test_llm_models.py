@@ -123,6 +123,23 @@ def test_elias_fano_round_trip():
         assert ef.find(asked).tolist() == [want.get(int(x), -1) for x in asked]
 
 
+def test_a_trie_that_was_asked_is_no_larger():
+    r = np.random.default_rng(4)
+    size, n = 3_000, 200_000
+    pair = np.unique(r.integers(0, size * size, n))
+    at = r.integers(0, len(pair), n)
+    triple = np.unique(pair[at] * size + r.integers(0, size, n))
+    w2, w3, w1 = triple // size // size, triple // size % size, triple % size
+    trie = ngram_lm.Trie(np.full(size, 1 / size), pair, np.ones(len(pair), dtype=np.int64), (w1, w2, w3), np.ones(len(triple), dtype=np.int64))
+    stated = trie.nbytes()
+    trie.ask(w1, w2, w3)
+
+    def held(x) -> int:
+        return x.nbytes if isinstance(x, np.ndarray) else sum(map(held, vars(x).values())) if hasattr(x, "__dict__") else 0
+
+    assert held(trie) <= 1.5 * stated and stated < 12 * len(triple)
+
+
 def test_scores_without_training_rows(documents):
     rows = ngram_lm.scored(documents(["a b", None]), F.lit(False)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in sorted(rows, key=lambda r: r.doc_id)] == [(3, 0, 0), (1, 0, 0)]
