@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: Settings the plans in this package are written for.  Joins carry no broadcast
-#: hints: Catalyst (from file sizes) and AQE (from shuffle sizes) broadcast a side
+#: Settings the plans in this package are written for.  Joins outside ``llm`` carry no
+#: broadcast hints: Catalyst (from file sizes) and AQE (from shuffle sizes) broadcast a side
 #: only while it is under the thresholds and fall back to a shuffle join beyond.
 SCALE_CONFS = {
     "spark.sql.session.timeZone": "UTC",
