@@ -18,7 +18,7 @@ def _order(order: Sequence[str]):
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def _never_null(order: Sequence[str]):
+def never_null(order: Sequence[str]):
     """An order that `min_by` never skips: NULLs behind all values."""
     return F.struct(*[part for c in order for part in (F.col(c).isNull(), F.col(c))])
 
@@ -30,7 +30,7 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     ``min_by`` carries the row through one shuffle with one candidate per map task and key.
     """
     payload = F.struct(*[c for c in df.columns if c != key])
-    firsts = df.groupBy(key).agg(F.min_by(payload, _never_null(order)).alias("_row"))
+    firsts = df.groupBy(key).agg(F.min_by(payload, never_null(order)).alias("_row"))
     taken = [F.col(key) if c == key else F.col("_row").getField(c).alias(c) for c in df.columns]
     return firsts.select(*taken)
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerleaf import schemas
 from ledgerleaf.functions import text as X
 
-from .dedup import drop_seen, drop_seen_probing, drop_seen_repeating, first_wins
+from .dedup import drop_seen, drop_seen_probing, first_wins, never_null
 from .joins import join_reduced
 from .validate import ValidationRules
 
@@ -63,23 +63,61 @@ def ingest(items: DataFrame, history: DataFrame, sources: DataFrame | None = Non
     The winners' shuffle on ``hash`` also serves the look-up against the history.
 
     ``item_id`` names a unique column of items that are stored, i.e. cheap to read twice.
-    Winners are then picked and looked up on hashes and ids alone, and the contents of the
-    new items, markup and all, are fetched by id: without moving them while the new items
+    :func:`decisions` are then taken on hashes and ids alone, and the contents of what is
+    stored, markup and all, are fetched by id: without moving them while the decided items
     are few enough to broadcast, in one shuffle on a unique key otherwise.  Without it the
     contents travel with the hashes, one candidate per map task and hash.
     """
     now = F.current_timestamp() if now is None else now
+    if item_id is not None:
+        return fetched(items, decisions(items, history, sources, runs, limits, item_id), item_id, now)
     unseen = drop_seen_probing if probe_history else drop_seen
     flagged = flag(items, sources, runs, limits)
     sound = flagged.where(F.col("reason").isNull()).drop("reason")
-    if item_id is None:
-        fresh = unseen(first_wins(sound, "hash", ARRIVAL), history)
-    else:
-        narrow = sound.select("hash", item_id, *ARRIVAL)
-        winners = unseen(first_wins(narrow, "hash", [*ARRIVAL, item_id]), history)
-        fresh = items.join(winners.select(item_id), item_id, "left_semi")
-    bad = flagged.where(F.col("reason").isNotNull())
-    return Ingested(raw_rows(fresh, now), rejected_rows(bad, sound, history, now))
+    fresh = unseen(first_wins(sound, "hash", ARRIVAL), history)
+    bad = _kept(flagged, history).where(F.col("reason").isNotNull())
+    return Ingested(raw_rows(fresh, now), rejected_rows(bad, now))
+
+
+def decisions(items: DataFrame, history: DataFrame, sources: DataFrame | None = None,
+              runs: DataFrame | None = None, limits: dict[str, int] | None = None,
+              item_id: str = "item_id") -> DataFrame:
+    """(item_id, reason) of the items that are to be stored: rejected ones have a reason, new ones none.
+
+    One pass over hashes, ids and what the rules look at decides on both.  Store it before
+    :func:`fetched` reads it twice.
+    """
+    flagged = flag(items, sources, runs, limits).select("hash", item_id, *ARRIVAL, "reason")
+    return _kept(flagged, history, item_id).select(item_id, "reason")
+
+
+def fetched(items: DataFrame, decided: DataFrame, item_id: str, now: Column) -> Ingested:
+    """The rows of decided items, whose contents are fetched by id."""
+    new, bad = decided.where(F.col("reason").isNull()), decided.where(F.col("reason").isNotNull())
+    fresh = items.join(new.select(item_id), item_id, "left_semi")
+    return Ingested(raw_rows(fresh, now), rejected_rows(items.join(bad, item_id), now))
+
+
+def _kept(flagged: DataFrame, history: DataFrame, item_id: str | None = None) -> DataFrame:
+    """Flagged items that are new, and violating ones that repeat nothing stored or accepted before them.
+
+    One aggregate per hash finds the first sound arrival and carries every violating item beside it
+    as a row of its own.  The accepted hashes are cut out of that same aggregate, so that
+    both sides of the last join share its shuffle, and the items are read once.  For this both
+    must need the same of it: the key is never NULL and all else is one struct, lest the optimizer
+    push a filter or a narrower projection into one of them.
+    """
+    own = F.monotonically_increasing_id() if item_id is None else F.col(item_id)
+    arrival = never_null(ARRIVAL if item_id is None else [*ARRIVAL, item_id])
+    keyed = flagged.select("*", F.coalesce("hash", F.lit("")).alias("_key"), arrival.alias("_arrival"),
+                           F.when(F.col("reason").isNotNull(), own).alias("_own"))
+    row = F.min_by(F.struct(*flagged.columns, "_arrival"), "_arrival")
+    reduced = keyed.groupBy("_key", "_own").agg(row.alias("_row"))
+    seen = history.select(F.col("hash").alias("_key")).where(F.col("_key").isNotNull()).distinct()
+    accepted = reduced.where(F.col("_row.reason").isNull()).select("_key", F.col("_row._arrival").alias("_first"))
+    repeats = F.col("_row.reason").isNotNull() & (F.col("_first") < F.col("_row._arrival"))
+    unseen = join_reduced(reduced, seen, "_key", "left_anti")
+    return join_reduced(unseen, accepted, "_key", "left_anti", repeats).select("_row.*").drop("_arrival")
 
 
 def raw_rows(fresh: DataFrame, now: Column) -> DataFrame:
@@ -101,13 +139,8 @@ def raw_rows(fresh: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def rejected_rows(bad: DataFrame, sound: DataFrame, history: DataFrame, now: Column) -> DataFrame:
-    """Violating items, less those that repeat content already stored or accepted earlier."""
-    arrival = F.struct(*ARRIVAL)
-    accepted = sound.groupBy("hash").agg(F.min(arrival).alias("_first"))
-    unseen = drop_seen_repeating(bad, history).withColumn("_arrival", arrival)
-    kept = join_reduced(unseen, accepted, "hash", "left_anti", F.col("_first") < F.col("_arrival"))
-    return kept.select(
+def rejected_rows(bad: DataFrame, now: Column) -> DataFrame:
+    return bad.select(
         "source_id", "run_id", "url", "raw_content", "raw_json", "hash", "reason",
         now.alias("rejected_at"),
     )

@@ -1,7 +1,7 @@
 """Pages arrive, entries are extracted, compared with history and appended.
 
 `load_batch` is the whole path for one set of pages, in batch or inside ``foreachBatch``.
-Items are staged once in the shared folder, because four plans read them and extraction
+Items are staged once in the shared folder, because several plans read them and extraction
 is the expensive step; after that, every step reads tables other steps have written, so
 a lost executor costs a task, not the batch.
 """
@@ -9,6 +9,7 @@ a lost executor costs a task, not the batch.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -20,6 +21,7 @@ from ledgerleaf.operators import extract, ingest as I, ledger
 from ledgerleaf.operators.joins import join_reduced
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
+from ledgerleaf.streaming import progress
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,9 @@ class IngestJob:
     validation: ValidationRules | None = None
     #: Reduce the history to the batch's hashes once: right for batches much smaller than it.
     probe_history: bool = True
+    #: Called with the number of items of all batches whenever a batch takes it past a multiple of the step.
+    report: Callable[[int], None] = progress.log_items
+    report_every: int = 100
     #: Counts only where the session names no shared folder.
     shared_fallback: str | None = None
 
@@ -60,7 +65,9 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     if "page_error" not in items.columns:
         items = items.withColumn("page_error", F.lit(None).cast("string"))
     numbered = I.with_ids(items, name="item_id")
-    read = _staged(numbered, job.staging(batch_id))
+    watched, watch = progress.observed(numbered, f"batch {batch_id}", "page_error is null")
+    read = _staged(watched, job.staging(batch_id))
+    items_seen = watch.get["rows"]
     failed = read.where(F.col("page_error").isNotNull()).withColumn("error", F.col("page_error"))
     staged = read.where(F.col("page_error").isNull()).drop("page_error")
 
@@ -68,24 +75,21 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     history = wh.others("raw_data", batch_id).select("hash")
     if job.probe_history:
         history = _seen(job, staged, history, batch_id)
-    done = I.ingest(
-        staged,
-        history,
-        sources=wh.read("data_sources"),
-        runs=wh.read("run_changes"),
-        now=now,
-        item_id="item_id",
+    decided = _staged(
+        I.decisions(staged, history, sources=wh.read("data_sources"), runs=wh.read("run_changes")),
+        f"{job.shared('decisions')}/batch_id={batch_id}",
     )
+    done = I.fetched(staged, decided, "item_id", now)
     raw_rows = done.raw.unionByName(I.failure_rows(failed, now))
     raw = wh.write("raw_data", I.with_ids(raw_rows, last_raw), batch_id)
     rejected = wh.write("rejected_items", done.rejects, batch_id)
     cleaned_rows = I.cleaned_rows(wh.rows(raw), job.validation, now)
     cleaned = wh.write("cleaned_data", I.with_ids(cleaned_rows, last_cleaned), batch_id)
     counts = ledger.run_counts(staged, wh.rows(raw)).where("id is not null")
-    progress = wh.write("run_progress", counts, batch_id)
+    per_run = wh.write("run_progress", counts, batch_id)
     row = wh.spark.range(1).select(
         F.lit(batch_id).alias("seq"),
-        F.lit(staged.count()).alias("items_seen"),
+        F.lit(items_seen).alias("items_seen"),
         F.lit(raw.rows).alias("raw_rows"),
         F.lit(cleaned.rows).alias("cleaned_rows"),
         F.lit(rejected.rows).alias("rejected_rows"),
@@ -93,7 +97,9 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         F.lit(cleaned.max_id or last_cleaned).alias("max_cleaned_id"),
         now.alias("finished_at"),
     )
-    wh.commit(raw, rejected, cleaned, progress, wh.write("batches", row, batch_id))
+    earlier = wh.read("batches").agg(F.sum("items_seen")).first()[0] or 0
+    wh.commit(raw, rejected, cleaned, per_run, wh.write("batches", row, batch_id))
+    progress.report_steps(earlier, items_seen, job.report_every, job.report)
     _staged(numbered.limit(0), job.staging(batch_id))  # free the space
 
 

@@ -11,10 +11,20 @@ from pyspark.sql.streaming import StreamingQueryListener
 log = logging.getLogger(__name__)
 
 
-def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """The frame with a row counter that fills in while any action runs over it."""
+def log_items(n: int) -> None:
+    log.info("processed %d items", n)
+
+
+def report_steps(before: int, more: int, step: int, report: Callable[[int], None]) -> None:
+    """Report the total where ``more`` takes it past a multiple of ``step``."""
+    if before // step != (before + more) // step:
+        report(before + more)
+
+
+def observed(df: DataFrame, name: str, counted: str = "true") -> tuple[DataFrame, Observation]:
+    """The frame with a counter of the rows that fulfil a condition; the next action over it fills it in."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count_if(F.expr(counted)).alias("rows")), seen
 
 
 def counted(df: DataFrame, name: str = "progress") -> DataFrame:
@@ -26,7 +36,7 @@ class ProgressListener(StreamingQueryListener):
     """Adds up a stream's row counts and reports every ``step`` rows."""
 
     def __init__(self, name: str = "progress", step: int = 100,
-                 report: Callable[[int], None] = lambda n: log.info("processed %d items", n)):
+                 report: Callable[[int], None] = log_items):
         self.name, self.step, self.report = name, step, report
         self.total = 0
 
@@ -38,8 +48,7 @@ class ProgressListener(StreamingQueryListener):
         if row is None or not row.rows:
             return
         before, self.total = self.total, self.total + row.rows
-        if before // self.step != self.total // self.step:
-            self.report(self.total)
+        report_steps(before, row.rows, self.step, self.report)
 
     def onQueryIdle(self, event):
         pass

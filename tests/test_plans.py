@@ -136,3 +136,21 @@ def test_hot_rows_of_a_reduced_join_are_split(spark, no_broadcast):
         expected[g == 7] += g not in stops or i <= stops[g]
     assert counts == expected
     assert "skew=true" in text
+
+
+@pytest.mark.parametrize("key", ["ingest_raw", "ingest_rejects"])
+def test_an_ingest_reads_each_input_once(spark, no_broadcast, key):
+    """The batch and the history (documents that have labels) are parsed once each, sources read once."""
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry_point.queries()[key](spark, DATA)
+        df.collect()
+        final = physical(df).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold") if old is None else spark.conf.set(
+            "spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+    scans = re.findall(r"FileScan parquet .*?/(\w+)\.parquet", final)
+    assert sorted(scans) == ["documents", "documents", "labels", "nation"]
+    if key == "ingest_rejects":
+        assert "ReusedExchange" in final

@@ -189,6 +189,15 @@ def test_the_history_does_not_move(spark, tmp_path):
     assert "BroadcastHashJoin" in plans[1] and "SortMergeJoin" not in plans[1]
 
 
+def test_items_of_all_batches_are_reported(spark, tmp_path):
+    told = []
+    watched = job(spark, tmp_path, report=told.append, report_every=3)
+    for batch, data in enumerate((PAGES[:1], PAGES[:2])):  # 2 and 3 items
+        load_batch(watched, frame(spark, data), batch)
+    assert told == [5]
+    assert [r.items_seen for r in watched.warehouse.read("batches").orderBy("seq").collect()] == [2, 3]
+
+
 def test_empty_batch(spark, tmp_path):
     empty = job(spark, tmp_path)
     load_batch(empty, frame(spark, PAGES[:1]), 0)
