@@ -103,3 +103,33 @@ def take_until_stop(df: DataFrame, group: str, order: Sequence[str], stop) -> Da
 def pages_until_empty(pages: DataFrame, counts: str = "n_entries") -> DataFrame:
     """Listing pages a sequential reader sees: it stops after the first empty page."""
     return take_until_stop(pages, "source_id", ["page_number"], F.col(counts) == 0)
+
+
+#: A listing is one run's reading of one source; either may be NULL.
+LISTING = ["source_id", "run_id"]
+
+
+def _listing(df: DataFrame) -> DataFrame:
+    return df.withColumn("_listing", F.to_json(F.struct(*LISTING)))
+
+
+def listing_stops(pages: DataFrame, items: DataFrame, known: DataFrame) -> DataFrame:
+    """(source_id, run_id, page_number): each listing's first page without items, where it lies before the known one.
+
+    Page numbers and ids alone are read.  ``items`` includes pages that could not be read, if
+    they have a page number: those are not empty.
+    """
+    one = F.to_json(F.struct(*LISTING, "page_number"))
+    filled = items.select(one.alias("_page")).distinct()
+    asked = pages.where(F.col("page_number").isNotNull()).select(*LISTING, "page_number", one.alias("_page"))
+    first = join_reduced(asked, filled, "_page", "left_anti").groupBy(*LISTING).agg(F.min("page_number").alias("page_number"))
+    before = _listing(known).groupBy("_listing").agg(F.min("page_number").alias("_stop"))
+    new = join_reduced(_listing(first), before, "_listing", "left_anti", F.col("_stop") <= F.col("page_number"))
+    return new.select(*LISTING, "page_number")
+
+
+def up_to_stop(items: DataFrame, stops: DataFrame) -> DataFrame:
+    """Items on pages that are not behind their listing's stop; items without a page number all stay."""
+    firsts = _listing(stops).groupBy("_listing").agg(F.min("page_number").alias("_stop"))
+    late = F.col("_stop") < F.col("page_number")
+    return join_reduced(_listing(items), firsts, "_listing", "left_anti", late).select(*items.columns)

@@ -16,7 +16,7 @@ from ledgerleaf.functions import text as X
 
 from .dedup import drop_seen, drop_seen_probing, first_wins, never_null
 from .joins import join_reduced
-from .validate import ValidationRules
+from .validate import ValidationRules, apply_stored_rules
 
 #: Arrival order of items: runs follow one another, a run reads its pages in order.
 ARRIVAL = ["run_id", "page_number", "entry_pos", "source_id", "url"]
@@ -161,11 +161,12 @@ def failure_rows(failures: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 def cleaned_rows(raw: DataFrame, rules: ValidationRules | None = None,
-                 now: Column | None = None) -> DataFrame:
+                 now: Column | None = None, sources: DataFrame | None = None) -> DataFrame:
     """Cleaned rows of processed raw rows.
 
     Read ``raw`` back from the stored table, so that both tables agree on the ids.
-    Without ``rules`` every record counts as valid.
+    Without ``rules`` every record counts as valid.  The rules that ``sources`` have in their
+    configuration are applied before.
     """
     now = F.current_timestamp() if now is None else now
     content = F.col("raw_content")
@@ -184,6 +185,8 @@ def cleaned_rows(raw: DataFrame, rules: ValidationRules | None = None,
         ).alias("data_json"),
         now.alias("cleaned_at"),
     )
+    if sources is not None:
+        cleaned = apply_stored_rules(cleaned, sources)
     if rules is None:
         return cleaned.withColumns({
             "validation_status": F.lit("valid"),

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerleaf import schemas
 from ledgerleaf.functions import text as X
 
+from .joins import join_reduced
+
 
 def _label(path: str) -> str:
     return path.rsplit(".", 1)[-1]
@@ -85,3 +87,59 @@ def apply_source_rules(df: DataFrame, rules: SourceRules, source: str = "source"
         for c, change in changes.items():
             out[c] = F.when(F.col(source) == name, change(F.col(c))).otherwise(out.get(c, F.col(c)))
     return df.withColumns(out) if out else df
+
+
+#: What a stored rule may do to a text; ``step`` has the fields ``op``, ``pattern`` and ``value``.
+STEPS: Mapping[str, Callable[[Column, Mapping], Column]] = {
+    "clean": lambda c, step: X.clean_text(c),
+    "upper": lambda c, step: F.upper(c),
+    "lower": lambda c, step: F.lower(c),
+    "phone": lambda c, step: X.standard_phone(c),
+    "replace": lambda c, step: F.regexp_replace(c, step["pattern"] or "", step["value"] or ""),
+    "extract": lambda c, step: F.nullif(F.regexp_extract(c, step["pattern"] or "", 0), F.lit("")),
+    "constant": lambda c, step: F.lit(step["value"]),
+    "default": lambda c, step: F.when(X.is_blank(c), F.lit(step["value"])).otherwise(c),
+    "null_if": lambda c, step: F.nullif(c, F.lit(step["value"])),
+}
+CONFIG = "rules map<string, array<struct<op: string, pattern: string, value: string>>>"
+
+
+def apply_stored_rules(df: DataFrame, sources: DataFrame, key: str = "source_id", source_key: str = "id",
+                       config: str = "config") -> DataFrame:
+    """Records with the rules of their source applied, all sources in one projection.
+
+    A source's configuration is JSON text: ``{"rules": {"address.city": [{"op": "clean"}, ...]}}``, a
+    list of `STEPS` per text column, in order.  Only the different lists come to the driver, where they
+    are compiled to column expressions; which source has which stays a joined column.  Sources without
+    readable rules, unknown sources and NULL ones change nothing.  Unknown steps and columns fail
+    here, before any row is read.
+    """
+    rules = F.from_json(F.col(config), CONFIG)["rules"]
+    mine = sources.groupBy(F.col(source_key).alias(key)).agg(F.min(config).alias(config)).select(
+        key, F.map_filter(rules, lambda c, steps: F.size(steps) > 0).alias("_rules")).where(F.size("_rules") > 0)
+    lists = mine.select(F.explode("_rules").alias("path", "steps")).distinct().collect()
+    if not lists:
+        return df
+    texts = _text_paths(df)
+    chosen: dict[str, Column] = {}
+    for path, steps in sorted(lists):
+        wrong = [s["op"] for s in steps if s["op"] not in STEPS]
+        if path not in texts or wrong:
+            raise ValueError(f"source rules name {f'the step {wrong[0]}' if wrong else f'{path}, which is no text column'}")
+        value = F.col(path)
+        for step in steps:
+            value = STEPS[step["op"]](value, step)
+        same = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in s.asDict().items()]) for s in steps])
+        chosen[path] = F.when(F.col("_rules")[path] == same, value).otherwise(chosen.get(path, F.col(path)))
+    out: dict[str, Column] = {}
+    for path, value in chosen.items():
+        column, _, inner = path.partition(".")
+        out[column] = out.get(column, F.col(column)).withField(inner, value) if inner else value
+    return join_reduced(df, mine, key, "left").withColumns(out).select(*df.columns)
+
+
+def _text_paths(df: DataFrame) -> set[str]:
+    """Text columns, and the text fields of struct columns as ``column.field``."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    structs = [f for f in df.schema if isinstance(f.dataType, T.StructType)]
+    return texts | {f"{f.name}.{g.name}" for f in structs for g in f.dataType if isinstance(g.dataType, T.StringType)}

@@ -82,8 +82,10 @@ def validation_errors(t):
 def source_rules(t):
     rows = t.pages.select("page_id", U.host("url").alias("host"),
                           F.try_parse_url("url", F.lit("PATH")).alias("path"))
-    rules = {"blog.ththan.example.net": {"path": F.upper}, "spam-farm.example.org": {"path": lambda c: F.lit("")}}
-    return validate.apply_source_rules(rows, rules, "host")
+    stored = [("blog.ththan.example.net", '{"rules": {"path": [{"op": "upper"}]}}'),
+              ("spam-farm.example.org", '{"rules": {"path": [{"op": "constant", "value": ""}]}}')]
+    sources = rows.sparkSession.createDataFrame(stored, "name string, config string")
+    return validate.apply_stored_rules(rows, sources, "host", "name")
 
 
 def places(t) -> DataFrame:

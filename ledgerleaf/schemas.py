@@ -73,6 +73,8 @@ RUN_CHANGES = _struct(
     error=RUN_ERROR, config_snapshot=TEXT,
 )
 RUN_PROGRESS = _struct(id=BIGINT, items_seen=BIGINT, items_new=BIGINT)
+#: First empty pages of listings, as batches meet them; the least one of a listing counts.
+PAGE_STOPS = _struct(source_id=BIGINT, run_id=BIGINT, page_number=INT)
 
 #: One row per batch, written first: who loads it, and its number among that writer's batches.
 BATCH_STARTS = _struct(seq=BIGINT, writer=TEXT, number=BIGINT, started_at=TIME)
@@ -86,6 +88,7 @@ TABLES = {
     "data_sources": DATA_SOURCES,
     "run_changes": RUN_CHANGES,
     "run_progress": RUN_PROGRESS,
+    "page_stops": PAGE_STOPS,
     "batch_starts": BATCH_STARTS,
     "batches": BATCHES,
     "raw_data": RAW_DATA,
@@ -98,12 +101,12 @@ TABLES = {
 }
 
 #: Tables that batches are loaded into; all of a batch becomes visible in one step.
-LOADED_TABLES = ("run_progress", "raw_data", "cleaned_data", "rejected_items")
+LOADED_TABLES = ("run_progress", "page_stops", "raw_data", "cleaned_data", "rejected_items")
 
 #: Tables whose rows refer to rows of a table; the loaded tables need the record of their batches.
 REFERRED_BY = {
-    "data_sources": ("run_changes", "raw_data", "cleaned_data", "rejected_items"),
-    "run_changes": ("run_progress", "raw_data", "rejected_items"),
+    "data_sources": ("run_changes", "page_stops", "raw_data", "cleaned_data", "rejected_items"),
+    "run_changes": ("run_progress", "page_stops", "raw_data", "rejected_items"),
     "raw_data": ("cleaned_data",),
     "cleaned_data": ("enriched_data",),
     "batches": ("batch_starts", *LOADED_TABLES),

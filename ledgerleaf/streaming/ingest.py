@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerleaf import session
-from ledgerleaf.operators import extract, ingest as I, ledger
+from ledgerleaf.operators import dedup, extract, ingest as I, ledger
 from ledgerleaf.operators.joins import join_reduced
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
@@ -31,6 +31,8 @@ class IngestJob:
     validation: ValidationRules | None = None
     #: Reduce the history to the batch's hashes once: right for batches much smaller than it.
     probe_history: bool = True
+    #: Leave out the pages behind the first empty one of their source and run, whichever batch that was in.
+    stop_at_empty: bool = False
     #: Called with the number of items of all batches whenever a batch takes it past a multiple of the step.
     report: Callable[[int], None] = progress.log_items
     report_every: int = 100
@@ -51,14 +53,18 @@ def load_batch(job: IngestJob, pages: DataFrame, batch_id: int, at: datetime | N
     if not job.warehouse.batch("batches", batch_id).isEmpty():
         return
     items = extract.listing_items(pages, job.rules)
-    load_items(job, items, batch_id, at)
+    load_items(job, items, batch_id, at, pages if job.stop_at_empty else None)
 
 
-def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | None = None) -> None:
+def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | None = None,
+               pages: DataFrame | None = None) -> None:
     """Ingest items as batch ``batch_id``; readers see it when it is whole.
 
     Rows with a text in ``page_error``, where items have that column, stand for pages that could
-    not be read: each becomes a failed raw row, and the other pages go on.
+    not be read: each becomes a failed raw row, and the other pages go on.  With ``pages``, those
+    the items were read from, a listing ends at its first empty page (`dedup.listing_stops`): items
+    behind it are left out, in this batch and in later ones.  What was stored before the
+    empty page arrived stays.
     """
     wh, now = job.warehouse, F.lit(at or ledger.utc_now())
     wh.start_batch(batch_id)
@@ -71,6 +77,13 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     failed = read.where(F.col("page_error").isNotNull()).withColumn("error", F.col("page_error"))
     staged = read.where(F.col("page_error").isNull()).drop("page_error")
 
+    stops = []
+    if pages is not None:
+        known = wh.others("page_stops", batch_id)
+        new = wh.write("page_stops", dedup.listing_stops(pages, read, known), batch_id)
+        staged = dedup.up_to_stop(staged, known.unionByName(wh.rows(new)))
+        stops, items_seen = [new], staged.count()
+
     last_raw, last_cleaned = wh.last_id("raw_data"), wh.last_id("cleaned_data")
     history = wh.others("raw_data", batch_id).select("hash")
     if job.probe_history:
@@ -83,7 +96,7 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     raw_rows = done.raw.unionByName(I.failure_rows(failed, now))
     raw = wh.write("raw_data", I.with_ids(raw_rows, last_raw), batch_id)
     rejected = wh.write("rejected_items", done.rejects, batch_id)
-    cleaned_rows = I.cleaned_rows(wh.rows(raw), job.validation, now)
+    cleaned_rows = I.cleaned_rows(wh.rows(raw), job.validation, now, wh.read("data_sources"))
     cleaned = wh.write("cleaned_data", I.with_ids(cleaned_rows, last_cleaned), batch_id)
     counts = ledger.run_counts(staged, wh.rows(raw)).where("id is not null")
     per_run = wh.write("run_progress", counts, batch_id)
@@ -98,7 +111,7 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         now.alias("finished_at"),
     )
     earlier = wh.read("batches").agg(F.sum("items_seen")).first()[0] or 0
-    wh.commit(raw, rejected, cleaned, per_run, wh.write("batches", row, batch_id))
+    wh.commit(raw, rejected, cleaned, per_run, *stops, wh.write("batches", row, batch_id))
     progress.report_steps(earlier, items_seen, job.report_every, job.report)
     _staged(numbered.limit(0), job.staging(batch_id))  # free the space
 

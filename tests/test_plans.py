@@ -19,7 +19,7 @@ PYTHON = {"spaced_json_hash"}
 NO_SHUFFLE = {
     "clean_text", "content_hash", "domain_filter", "json_default", "length_rejects", "page_entries",
     "page_first_last", "page_links", "page_title", "parsed_entries", "search", "search_pattern", "source_names",
-    "source_rules", "spaced_json_hash", "standardize", "union_rejects", "url_host_page", "validate",
+    "spaced_json_hash", "standardize", "union_rejects", "url_host_page", "validate",
     "validation_errors", "recent_records", "latest_json_sample",
 }
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from support import collected
@@ -49,6 +51,31 @@ def test_source_rules(rows):
     assert validate.apply_source_rules(df, {}) is df
 
 
+STORED_RULES = """{"rules": {"name": [{"op": "replace", "pattern": "-+", "value": " "}, {"op": "upper"}],
+                             "place.city": [{"op": "default", "value": "nowhere"}]}}"""
+
+
+def test_stored_rules(rows):
+    df = rows("source_id bigint, name string, place struct<city: string, zip: string>",
+              (1, "a--b", (None, "z")), (2, "a--b", ("X", "z")), (None, "c-d", None), (3, None, None), (4, "e", (" ", "q")))
+    sources = rows("id bigint, config string", (1, STORED_RULES), (4, STORED_RULES), (2, "no json"), (3, None),
+                   (2, '{"rules": {"name": []}}'), (9, '{"rules": {"name": [{"op": "lower"}]}}'))
+    got = validate.apply_stored_rules(df, sources)
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([
+        (1, "A B", ("nowhere", "z")), (2, "a--b", ("X", "z")), (None, "c-d", None), (3, None, None), (4, "E", ("nowhere", "q")),
+    ], key=str)
+    assert validate.apply_stored_rules(df, sources.where("id = 3")) is df
+    assert validate.apply_stored_rules(df.limit(0), sources).count() == 0
+
+
+@pytest.mark.parametrize("rules", ['{"name": [{"op": "drop"}]}', '{"title": [{"op": "upper"}]}', '{"place": [{"op": "upper"}]}'])
+def test_stored_rules_that_cannot_be_meant(rows, rules):
+    df = rows("source_id bigint, name string, place struct<city: string>", (1, "a", None))
+    with pytest.raises(ValueError, match="source rules name"):
+        validate.apply_stored_rules(df, rows("id bigint, config string", (1, '{"rules": %s}' % rules)))
+
+
 def test_look_up_and_enriched_rows(rows):
     df = rows("id bigint, zip string", (1, "10115"), (2, "99999"), (3, None))
     ref = rows("code string, lat double", ("10115", 52.5), ("10117", 52.6))

@@ -198,6 +198,28 @@ def test_items_of_all_batches_are_reported(spark, tmp_path):
     assert [r.items_seen for r in watched.warehouse.read("batches").orderBy("seq").collect()] == [2, 3]
 
 
+def test_an_empty_page_ends_a_listing_for_later_batches(spark, tmp_path):
+    stopping = job(spark, tmp_path, stop_at_empty=True)
+    wh = stopping.warehouse
+    page = lambda run, number, name: (1, run, number, "p", listing((name, "S", "C")) if name else "<html></html>")
+    load_batch(stopping, frame(spark, [page(1, 1, "a"), page(1, 3, None), page(1, 4, "late"), page(2, 4, "b")]), 0)
+    load_batch(stopping, frame(spark, [page(1, 2, "c"), page(1, 9, "suppressed"), page(2, 9, "d"), page(1, 5, None)]), 1)
+    assert [r[0] for r in contents(wh)["cleaned"]] == ["a", "b", "c", "d"]
+    assert collected(wh.read("page_stops").select("source_id", "run_id", "page_number")) == [(1, 1, 3)]
+    assert [r.items_seen for r in wh.read("batches").orderBy("seq").collect()] == [2, 2]
+
+
+def test_rules_of_a_stored_source_change_what_is_written(spark, tmp_path):
+    ruled = job(spark, tmp_path)
+    config = '{"rules": {"name": [{"op": "upper"}], "address.city": [{"op": "constant", "value": "Town"}]}}'
+    ruled.warehouse.put("data_sources", spark.createDataFrame(
+        [(1, "dir", "u", config), (2, "other", "v", None)], "id bigint, name string, url string, config string"), 0)
+    load_batch(ruled, frame(spark, [(1, 1, 1, "p", listing(("abc", "S", "C"))), (2, 1, 1, "p", listing(("def", "S", "C")))]), 0)
+    rows = ruled.warehouse.read("cleaned_data").select("source_id", "name", "address.city", "address.street")
+    assert collected(rows) == [(1, "ABC", "Town", "S"), (2, "def", "C", "S")]
+    assert collected(ruled.warehouse.read("raw_data").select("raw_content.name")) == [("abc",), ("def",)]
+
+
 def test_empty_batch(spark, tmp_path):
     empty = job(spark, tmp_path)
     load_batch(empty, frame(spark, PAGES[:1]), 0)
