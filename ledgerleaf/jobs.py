@@ -26,6 +26,12 @@ def source_id(job: IngestJob, name: str, url: str, **details) -> int:
     return found[0]
 
 
+def change_sources(job: IngestJob, changes: DataFrame) -> None:
+    """Change stored sources by name, e.g. their configuration, and add those that are new."""
+    job.warehouse.create_tables()
+    job.warehouse.upsert("data_sources", changes, "name")
+
+
 def run_ingest(job: IngestJob, pages: DataFrame, name: str, url: str, config: dict | None = None) -> int:
     """Ingest a page frame (page_number, html) as one run of a source; returns the run id.
 

@@ -12,12 +12,16 @@ import math
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerleaf import schemas
 from ledgerleaf.functions import text as X
-from ledgerleaf.operators.ledger import run_state
+from ledgerleaf.operators import joins
+from ledgerleaf.operators.ingest import with_ids
+from ledgerleaf.operators.joins import fill_defaults, join_reduced
+from ledgerleaf.operators.ledger import run_state, utc_now
 from ledgerleaf.sources import manifest
 from ledgerleaf.sources.manifest import File
 
@@ -113,6 +117,12 @@ class Warehouse:
         Rows are fitted to the declared schema: missing columns are NULL, others fail, and so does
         a text that is longer than its column.
         """
+        fitted = self._fitted(table, df)
+        files = self._store(table, fitted.withColumn(PART.name, F.lit(batch_id).cast(PART.dataType)))
+        return Written(table, tuple(files), batch_id)
+
+    def _fitted(self, table: str, df: DataFrame, *keep: str) -> DataFrame:
+        """The declared columns of a table, cast and checked, and those to keep as they are."""
         declared, widths = schemas.TABLES[table], schemas.WIDTHS.get(table, {})
 
         def fits(column: Column, name: str) -> Column:
@@ -121,15 +131,46 @@ class Warehouse:
             refused = F.raise_error(F.lit(f"{table}.{name} is longer than {widths[name]} characters"))
             return F.when(X.too_long(column, widths[name]), refused.cast("string")).otherwise(column)
 
-        unknown = set(df.columns) - set(declared.fieldNames())
+        unknown = set(df.columns) - set(declared.fieldNames()) - set(keep)
         if unknown:
             raise ValueError(f"{table} has no columns {sorted(unknown)}")
-        fitted = df.select(*[
+        return df.select(*[
             fits((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType), f.name).alias(f.name)
             for f in declared.fields
-        ])
-        files = self._store(table, fitted.withColumn(PART.name, F.lit(batch_id).cast(PART.dataType)))
-        return Written(table, tuple(files), batch_id)
+        ], *keep)
+
+    def upsert(self, table: str, changes: DataFrame, key: str = "id", at: datetime | None = None) -> int:
+        """Lay changes over the rows that have their key, add the others, and return the version's number.
+
+        ``changes`` holds one row per key, never a NULL key, and gives the same rows whenever it is read.  NULL
+        keeps the old value.  ``updated_at`` becomes the time of the change on changed rows and
+        on no others.  Only files that hold a changed key are written again; the keys alone are
+        read to find them, and what comes to the driver is their names, which the list of files
+        holds anyway.  Added rows take the table's defaults, a batch of their own, and where the key is
+        not ``id``, an id.
+        """
+        now = F.lit(at or utc_now())
+        live = self.files(table)
+        stored, keys = self._open(table, live), changes.select(key)
+        file = F.regexp_extract("_metadata.file_path", "([^/]+/[^/]+)$", 1).alias("_file")
+        hit = set()
+        if live:
+            found = join_reduced(stored.select(key, file), keys.distinct(), key, "left_semi")
+            hit = {f"{table}/{r['_file']}" for r in found.select("_file").distinct().collect()}
+        touched = [f for f in live if f.path in hit]
+        old = self._open(table, touched)
+        mine = join_reduced(changes, old.select(key).distinct(), key, "left_semi")
+        added = join_reduced(changes, old.select(key).distinct(), key, "left_anti")
+        added = fill_defaults(added, schemas.DEFAULTS.get(table, {}), now, schemas.TIMESTAMP_DEFAULTS.get(table, ()))
+        if key != "id" and "id" in schemas.TABLES[table].fieldNames():
+            added = with_ids(added.drop("id"), self.last_id(table))
+        new = self.write(table, added, self.next_batch(table))
+        files = [f for f in new.files if f.rows]
+        if touched:
+            changed = joins.upsert(old, mine, key, touch=now)
+            rows = self._fitted(table, changed.withColumnRenamed(PART.name, "_batch"), "_batch")
+            files += self._store(table, rows.withColumnRenamed("_batch", PART.name))
+        return self.commit(Written(table, tuple(files), None), merged=touched)
 
     def put(self, table: str, df: DataFrame, batch_id: int) -> Written:
         """Write one batch of a table, in place of whatever the table holds of that batch."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,3 +137,25 @@ def test_a_stored_table_moves_with_its_folder(run, warehouse, spark, tmp_path):
     run("A", "B")
     os.rename(warehouse.root, tmp_path / "moved")
     assert names(Warehouse(spark, str(tmp_path / "moved"))) == ["A", "B"]
+
+
+def test_a_stored_upsert_touches_changed_rows_and_their_files_alone(spark, tmp_path):
+    job = IngestJob(Warehouse(spark, str(tmp_path / "wh")))
+    wh, old, new = job.warehouse, datetime(2020, 1, 1), datetime(2021, 1, 1)
+    ddl = "id bigint, name string, url string, config string, created_at timestamp, updated_at timestamp"
+    wh.put("data_sources", spark.createDataFrame([(1, "a", "u", "x", old, old), (2, "b", "u", "x", old, old)], ddl).coalesce(1), 0)
+    wh.put("data_sources", spark.createDataFrame([(3, "c", "u", "x", old, old)], ddl), 1)
+    before = {f.path for f in wh.files("data_sources") if f.first_batch == 1}
+    changes = spark.createDataFrame([("b", None, "y"), ("d", "v", None)], "name string, url string, config string")
+    wh.upsert("data_sources", changes, "name", at=new)
+    got = {r.name: r for r in wh.read("data_sources").collect()}
+    assert {n: (r.id, r.url, r.config, r.updated_at) for n, r in got.items() if n != "d"} == {
+        "a": (1, "u", "x", old), "b": (2, "u", "y", new), "c": (3, "u", "x", old)}
+    assert got["b"].created_at == old and (got["d"].created_at, got["d"].updated_at, got["d"].is_active) == (new, new, True)
+    assert got["d"].id > 3 and [got[n].batch_id for n in "abcd"] == [0, 0, 1, 2]
+    assert before < {f.path for f in wh.files("data_sources")}
+    jobs.change_sources(job, changes.where("name = 'nobody'"))
+    assert wh.read("data_sources").count() == 4
+    empty = IngestJob(Warehouse(spark, str(tmp_path / "empty")))
+    jobs.change_sources(empty, changes.where("name = 'd'"))
+    assert empty.warehouse.read("data_sources").count() == 1
