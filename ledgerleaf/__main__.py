@@ -68,7 +68,14 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--table", action="store_true")
     one.add_argument("--source", required=True)
     one.add_argument("--url", required=True)
+    one.add_argument("--resume", action="store_true", help="go on behind an unfinished run, with the pages that are due again")
+    one.add_argument("--pages-per-batch", type=int, help="page numbers that are loaded at a time")
     one.add_argument("--shared", help="folder all executors reach, where spark.checkpoint.dir is not set")
+    one = todo.add_parser("retry", help="list the pages of a source that are to be tried again, as `Page N: URL`")
+    one.add_argument("--source", required=True)
+    one.add_argument("--all", action="store_true", help="also those that wait or were given up")
+    one.add_argument("--note", help="first note the pages that a file lists so as failed")
+    one.add_argument("--url", default="", help="URL of the source, where it is new")
     one = todo.add_parser("report", help="show a report")
     one.add_argument("name", choices=REPORTS)
     one.add_argument("--source", default="")
@@ -99,9 +106,16 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "vacuum":
         print(wh.vacuum(args.keep, args.min_age * 3600))
     elif args.command == "ingest":
-        read = pages.page_table if args.table else pages.page_files
+        found = pages.page_table(wh.spark, args.pages, schemas.FETCHED_PAGES) if args.table else pages.page_files(wh.spark, args.pages)
         job = IngestJob(wh, shared_fallback=args.shared)
-        print(jobs.run_ingest(job, read(wh.spark, args.pages), args.source, args.url))
+        print(jobs.run_ingest(job, found, args.source, args.url, resume=args.resume, pages_per_batch=args.pages_per_batch))
+    elif args.command == "retry":
+        job = IngestJob(wh)
+        if args.note:
+            jobs.note_failures(job, pages.failed_urls(wh.spark, args.note), args.source, args.url)
+        listed = jobs.open_pages(job, args.source) if args.all else jobs.retry_pages(job, args.source)
+        for row in listed.orderBy("page_number", "url").toLocalIterator():
+            print(f"Page {row.page_number}: {row.url}")
     elif args.command == "report":
         print_rows(report(wh, args.name, args.source, args.status, args.term))
     elif args.command == "verify":

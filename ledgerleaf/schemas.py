@@ -24,6 +24,8 @@ RUN_ERROR = _struct(timestamp=TEXT, error=TEXT)
 RUN_ERRORS = T.ArrayType(RUN_ERROR)
 
 PAGES = _struct(source_id=BIGINT, run_id=BIGINT, page_number=INT, url=TEXT, html=TEXT)
+#: Pages with how their fetch ended; both columns are NULL for pages that came.
+FETCHED_PAGES = T.StructType([*PAGES.fields, *_struct(status=INT, error=TEXT).fields])
 
 DATA_SOURCES = _struct(
     required=("name", "url"),
@@ -75,6 +77,10 @@ RUN_CHANGES = _struct(
 RUN_PROGRESS = _struct(id=BIGINT, items_seen=BIGINT, items_new=BIGINT)
 #: First empty pages of listings, as batches meet them; the least one of a listing counts.
 PAGE_STOPS = _struct(source_id=BIGINT, run_id=BIGINT, page_number=INT)
+#: One row per page and batch: how the attempt at the page ended (done, failed, refused).
+PAGE_ATTEMPTS = _struct(
+    source_id=BIGINT, run_id=BIGINT, page_number=INT, url=TEXT, state=TEXT, error=TEXT, attempted_at=TIME,
+)
 
 #: One row per batch, written first: who loads it, and its number among that writer's batches.
 BATCH_STARTS = _struct(seq=BIGINT, writer=TEXT, number=BIGINT, started_at=TIME)
@@ -89,6 +95,7 @@ TABLES = {
     "run_changes": RUN_CHANGES,
     "run_progress": RUN_PROGRESS,
     "page_stops": PAGE_STOPS,
+    "page_attempts": PAGE_ATTEMPTS,
     "batch_starts": BATCH_STARTS,
     "batches": BATCHES,
     "raw_data": RAW_DATA,
@@ -101,12 +108,12 @@ TABLES = {
 }
 
 #: Tables that batches are loaded into; all of a batch becomes visible in one step.
-LOADED_TABLES = ("run_progress", "page_stops", "raw_data", "cleaned_data", "rejected_items")
+LOADED_TABLES = ("run_progress", "page_stops", "page_attempts", "raw_data", "cleaned_data", "rejected_items")
 
 #: Tables whose rows refer to rows of a table; the loaded tables need the record of their batches.
 REFERRED_BY = {
-    "data_sources": ("run_changes", "page_stops", "raw_data", "cleaned_data", "rejected_items"),
-    "run_changes": ("run_progress", "page_stops", "raw_data", "rejected_items"),
+    "data_sources": ("run_changes", "page_stops", "page_attempts", "raw_data", "cleaned_data", "rejected_items"),
+    "run_changes": ("run_progress", "page_stops", "page_attempts", "raw_data", "rejected_items"),
     "raw_data": ("cleaned_data",),
     "cleaned_data": ("enriched_data",),
     "batches": ("batch_starts", *LOADED_TABLES),

@@ -16,8 +16,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerleaf import session
-from ledgerleaf.operators import dedup, extract, ingest as I, ledger
+from ledgerleaf import schemas, session
+from ledgerleaf.operators import attempts as A, dedup, extract, ingest as I, ledger
 from ledgerleaf.operators.joins import join_reduced
 from ledgerleaf.operators.validate import ValidationRules
 from ledgerleaf.sources.warehouse import Warehouse
@@ -49,11 +49,20 @@ class IngestJob:
 
 
 def load_batch(job: IngestJob, pages: DataFrame, batch_id: int, at: datetime | None = None) -> None:
-    """Ingest pages as batch ``batch_id``; a finished batch is left as it is."""
+    """Ingest pages as batch ``batch_id``; a finished batch is left as it is.
+
+    Pages that were not fetched (`attempts.with_outcome`) become failed raw rows; the attempts at all
+    pages are noted with the batch.
+    """
     if not job.warehouse.batch("batches", batch_id).isEmpty():
         return
-    items = extract.listing_items(pages, job.rules)
-    load_items(job, items, batch_id, at, pages if job.stop_at_empty else None)
+    pages = _whole_pages(pages)
+    fetched = A.with_outcome(pages)
+    items = extract.listing_items(fetched.where(F.col("state") == A.DONE), job.rules)
+    missing = fetched.where(F.col("state") != A.DONE).select(
+        "source_id", "run_id", "page_number", "url", F.col("error").alias("page_error"))
+    items = items.withColumn("page_error", F.lit(None).cast("string")).unionByName(missing, allowMissingColumns=True)
+    load_items(job, items, batch_id, at, pages)
 
 
 def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | None = None,
@@ -62,9 +71,9 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
 
     Rows with a text in ``page_error``, where items have that column, stand for pages that could
     not be read: each becomes a failed raw row, and the other pages go on.  With ``pages``, those
-    the items were read from, a listing ends at its first empty page (`dedup.listing_stops`): items
-    behind it are left out, in this batch and in later ones.  What was stored before the
-    empty page arrived stays.
+    the items were read from, the attempts at them are noted, and with ``stop_at_empty`` a listing
+    ends at its first empty page (`dedup.listing_stops`): items behind it are left out, in this
+    batch and in later ones.  What was stored before the empty page arrived stays.
     """
     wh, now = job.warehouse, F.lit(at or ledger.utc_now())
     wh.start_batch(batch_id)
@@ -77,12 +86,12 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
     failed = read.where(F.col("page_error").isNotNull()).withColumn("error", F.col("page_error"))
     staged = read.where(F.col("page_error").isNull()).drop("page_error")
 
-    stops = []
-    if pages is not None:
+    notes = [] if pages is None else [wh.write("page_attempts", A.attempts(pages, now), batch_id)]
+    if pages is not None and job.stop_at_empty:
         known = wh.others("page_stops", batch_id)
         new = wh.write("page_stops", dedup.listing_stops(pages, read, known), batch_id)
         staged = dedup.up_to_stop(staged, known.unionByName(wh.rows(new)))
-        stops, items_seen = [new], staged.count()
+        notes, items_seen = [*notes, new], staged.count()
 
     last_raw, last_cleaned = wh.last_id("raw_data"), wh.last_id("cleaned_data")
     history = wh.others("raw_data", batch_id).select("hash")
@@ -111,11 +120,19 @@ def load_items(job: IngestJob, items: DataFrame, batch_id: int, at: datetime | N
         now.alias("finished_at"),
     )
     earlier = wh.read("batches").agg(F.sum("items_seen")).first()[0] or 0
-    wh.commit(raw, rejected, cleaned, per_run, *stops, wh.write("batches", row, batch_id))
+    wh.commit(raw, rejected, cleaned, per_run, *notes, wh.write("batches", row, batch_id))
     progress.report_steps(earlier, items_seen, job.report_every, job.report)
     _staged(numbered.limit(0), job.staging(batch_id))  # free the space
 
 
+def _whole_pages(pages: DataFrame) -> DataFrame:
+    """Pages with all columns of a page; those they lack are NULL."""
+    kept = [*schemas.PAGES.fields, *(f for f in schemas.FETCHED_PAGES.fields[len(schemas.PAGES):] if f.name in pages.columns)]
+    return pages.select(*[
+        (F.col(f.name) if f.name in pages.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kept
+    ])
+
+
 def _staged(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
