@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerleaf.functions import html as H, text as X, url as U
-from ledgerleaf.operators import consolidate, enrich, validate
+from ledgerleaf.operators import attempts, consolidate, enrich, validate
 
 from .base import query
 from .extraction import HOST, cleaned, unescaped
@@ -263,3 +263,27 @@ def retry_list(t):
     rows = t.events.select("event_id", "user_id", "ts", "event_type")
     failures = rows.where("event_type = 'error'").drop("event_type")
     return consolidate.retry_list(failures, rows.where("event_type = 'purchase'"), "user_id", "ts")
+
+
+# Users are pages, their errors failed attempts and their purchases ones that came; ids are in order of time.
+@query("retry_schedule", """
+    with tried as (select user_id, event_id, ts, event_type = 'error' as failed from events
+                   where event_type in ('error', 'purchase') and user_id is not null),
+         ends as (select user_id, max(event_id) as last_end from tried where not failed group by 1),
+         open as (select t.user_id, t.event_id, t.ts from tried t left join ends e on t.user_id = e.user_id
+                  where t.failed and (last_end is null or last_end <= event_id))
+    select cast(user_id as bigint) as page, count(*) as tries, max(event_id) as last_event,
+           cast(case when count(*) <= 5 then 60 * pow(2, count(*) - 1) end as bigint) as wait_seconds
+    from open group by 1""")
+def retry_schedule(t):
+    rows = t.events.where("event_type in ('error', 'purchase') and user_id is not null")
+    state = F.when(F.col("event_type") == "error", attempts.FAILED).otherwise(attempts.DONE)
+    tried = rows.select(
+        F.lit(1).cast("bigint").alias("source_id"), F.lit(None).cast("string").alias("url"),
+        F.col("user_id").alias("page_number"), state.alias("state"), F.col("event_id").cast("string").alias("error"),
+        F.timestamp_seconds("event_id").alias("attempted_at"), F.col("event_id").alias("seq"),
+    )
+    found = attempts.open_failures(tried, "seq")
+    wait = F.unix_timestamp("next_try") - F.unix_timestamp("last_try")
+    return found.select(F.col("page_number").cast("bigint").alias("page"), "tries",
+                        F.col("error").cast("bigint").alias("last_event"), wait.alias("wait_seconds"))
