@@ -112,7 +112,7 @@ def _numbers(n: int) -> Column:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, vector``: rows with an id and a non-zero vector of finite numbers, of the commonest length."""
+    """``vec_id, vector``: rows with an id and a non-zero vector of finite numbers."""
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector")).filter("vec_id is not null and size(vector) > 0")
     rows = rows.filter(~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
     return rows.filter(F.exists("vector", lambda x: x != 0))
@@ -122,22 +122,19 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVE
     """``query_id, rank, vec_id, score``: for each id divisible by ``every`` its ``k`` nearest found.
 
     Nearness is the inner product in double precision.  Vectors that are null, zero or hold null
-    or non-finite components take no part, nor do those of another length than most.  Equal
-    vectors tie and go to the smaller id.  Rows that repeat an id are one vector, the smallest of
+    or non-finite components take no part.  Vectors of another length than the query's have no inner
+    product with it: each length is searched among its own.  Equal vectors tie and go to the smaller id.  Rows that repeat an id are one vector, the smallest of
     them.  An empty table gives no rows; other columns are not read.
 
     Every vector is indexed, in blocks of bounded size; every query meets every block.  Both
     counts grow with the table, so no task holds more than a block and a chunk of queries.
     """
     rows = usable(vectors)
-    counts = rows.groupBy(F.size("vector").alias("length")).agg(
-        F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries"))
-    top = counts.orderBy(F.desc("n"), "length").limit(1).collect()
-    if not top:
+    n, queries = rows.agg(F.count("*"), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()
+    if not n:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    length, n, queries = top[0]
     blocks, chunks = -(-n // BLOCK), max(1, -(-queries // CHUNK))
-    rows = rows.filter(F.size("vector") == length).groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("vector").alias("vector"))
+    rows = rows.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min("vector").alias("vector"))
     as_vector = rows.select(
         "vec_id", "vector", F.lit(False).alias("asks"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block"),
         F.explode(_numbers(chunks)).alias("chunk"))
@@ -148,7 +145,7 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVE
     def search(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy()
         ids = table.column("vec_id").to_numpy()
-        values = np.asarray(table.column("vector").combine_chunks().flatten(), dtype=np.float64).reshape(len(ids), length)
+        values = np.asarray(table.column("vector").combine_chunks().flatten(), dtype=np.float64).reshape(len(ids), -1)
         order = np.argsort(ids[~asks], kind="stable")
         own_ids, found = ids[~asks][order], []
         if len(own_ids):
@@ -160,7 +157,8 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVE
             "score": pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0)]), pa.float64()),
         })
 
-    found = as_vector.unionByName(as_query).groupBy("block", "chunk").applyInArrow(search, "query_id bigint, vec_id bigint, score double")
+    dealt = as_vector.unionByName(as_query).withColumn("length", F.size("vector"))
+    found = dealt.groupBy("length", "block", "chunk").applyInArrow(search, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

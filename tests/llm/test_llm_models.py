@@ -305,6 +305,13 @@ def test_vectors_that_take_no_part(spark):
     assert collision_search.nearest_vectors(vectors.limit(0)).collect() == []
 
 
+def test_each_length_is_searched_among_its_own(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, [0.0, 2.0]), (20, [3.0]), (21, [-1.0]), (22, [4.0]), (40, [1.0, 1.0, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in collision_search.nearest_vectors(vectors).collect())
+    assert got == [(0, 1, 1, 0.5), (0, 2, 2, 0.0), (20, 1, 22, 12.0), (20, 2, 21, -3.0)]
+
+
 def test_recall_on_other_tables_and_seeds(table):
     """Small blocks, other seeds and a table without neighbourhoods find their neighbours too."""
     isotropic = np.random.default_rng(0).normal(size=(8192, 64))
