@@ -1,7 +1,8 @@
 """Nearest neighbours by collision counting.
 
-Each block of vectors keeps one sorted array per random projection.  A query opens a window
-around its own projection in every array and counts how often each vector falls inside; virtual
+Each block of vectors keeps one sorted array per random projection, with cuts at which the vectors
+before them are kept as bits.  A query opens a window around its own projection in every array,
+from cut to cut, and counts how often each vector falls inside, 64 vectors to an operation; virtual
 rehashing widens the windows round by round.  Vectors that collide often enough are verified
 with exact inner products on the original values.  A query ends when the best verified so far are
 so near that anything nearer would have collided often enough too.
@@ -27,6 +28,12 @@ WIDTHS = (1.0, 1.4, 2.0, 3.0, 5.0)
 THRESHOLD = 0.547
 #: Standard deviations by which the collisions expected of the last neighbour must exceed THRESHOLD.
 SURE = 3.0
+#: Cuts of a sorted array; what stands before each is kept as bits.
+CUTS = 128
+#: Queries whose windows are counted together, few enough for a processor's cache.
+TOGETHER = 32
+#: Room for the error of products in single precision, in units of the largest norm and the query's.
+ROUGH = 1e-4
 
 
 class ProjectionIndex:
@@ -44,11 +51,26 @@ class ProjectionIndex:
         self.axes = np.random.default_rng(seed).normal(size=(PROJECTIONS, vectors.shape[1] + 1))
         places = vectors @ self.axes[:, :-1].T + np.outer(extra, self.axes[:, -1])
         self.spread = places.std(0) + 1e-12
-        self.order = np.argsort(places, axis=0, kind="stable").T.copy()
-        self.sorted = np.take_along_axis(places, self.order.T, 0).T.copy()
+        order = np.argsort(places, axis=0, kind="stable").T
+        self.sorted = np.take_along_axis(places, order.T, 0).T.copy()
+        self.below = self._below(order)
         self.norm = norms.max()
         self.trusted = [self._trusted(width * self.spread) for width in WIDTHS]
 
+    def _below(self, order: np.ndarray) -> np.ndarray:
+        """By projection and cut, one bit per row: whether it stands before the cut in the projection's array."""
+        n = order.shape[1]
+        self.step = -(-n // CUTS)
+        cuts = np.arange(-(-n // self.step) + 1) * self.step
+        out = np.zeros((len(order), len(cuts), -(-n // 64)), dtype=np.uint64)
+        bits = np.zeros((len(cuts), out.shape[2] * 64), dtype=bool)
+        rank = np.empty(n, dtype=np.int64)
+        for p, rows in enumerate(order):
+            rank[rows] = np.arange(n)
+            np.less(rank, cuts[:, None], out=bits[:, :n])
+            out[p] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+        return out
+
     @staticmethod
     def _trusted(reach: np.ndarray) -> float:
         """The largest distance whose vectors collide often enough within ``reach`` but for ``SURE`` deviations.
@@ -63,48 +85,87 @@ class ProjectionIndex:
             low, high = (middle, high) if sure else (low, middle)
         return low
 
-    def candidates(self, query: np.ndarray, k: int = NEAREST) -> np.ndarray:
-        """Rows of the block that collide with the query often enough to be verified.
+    def collided(self, queries: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
+        """Which rows of the block collide often enough with each query to be verified, and rough products.
 
-        The windows widen until the best ``k`` verified, and the query itself, lie within the
-        distance that the width is trusted with; if the last width is not, all rows are verified.
+        The windows of a query widen until the best ``k`` verified, and the query itself, lie within
+        the distance that the width is trusted with; if the last width is not, all rows are verified.
+        Windows are rounded out to the cuts.  The products are in single precision, of vectors
+        shortened by the largest norm and the query's, and taken of the whole block at once.
         """
-        n = len(self.vectors)
+        n, lengths = len(self.vectors), np.sqrt((queries * queries).sum(1))
+        rough = (queries / lengths[:, None]).astype(np.float32) @ self.small.T
+        hit = np.ones((len(queries), n), dtype=bool)
         if n <= k + 1:
-            return np.arange(n)
-        centre = self.axes[:, :-1] @ query
-        away = query @ query + self.norm
-        counts = np.zeros(n, dtype=np.int64)
-        products = np.full(n, -np.inf)
-        low = high = None
+            return hit, rough
+        centre = self.axes[:, :-1] @ queries.T
+        axis = np.arange(PROJECTIONS)[:, None]
+        open_ = np.arange(len(queries))
         for width, trusted in zip(WIDTHS, self.trusted):
             reach = width * self.spread
-            a = [int(np.searchsorted(s, c - r, "left")) for s, c, r in zip(self.sorted, centre, reach)]
-            b = [int(np.searchsorted(s, c + r, "right")) for s, c, r in zip(self.sorted, centre, reach)]
-            if low is None:
-                fresh = [o[x:y] for o, x, y in zip(self.order, a, b)]
-            else:
-                fresh = [o[x:y] for o, x, y in zip(self.order, a, low)] + [o[x:y] for o, x, y in zip(self.order, high, b)]
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
-            low, high = a, b
-            hit = counts >= THRESHOLD * PROJECTIONS
-            new = np.flatnonzero(hit & np.isinf(products))
-            products[new] = self.vectors[new] @ query
-            last = np.partition(products, n - k - 1)[n - k - 1]
-            if away - 2 * last <= trusted * trusted:
-                return np.flatnonzero(hit)
-        return np.arange(n)
+            a, b = np.empty((2, PROJECTIONS, len(open_)), dtype=np.int64)
+            for p, (s, c, r) in enumerate(zip(self.sorted, centre[:, open_], reach)):
+                a[p], b[p] = np.searchsorted(s, c - r, "left"), np.searchsorted(s, c + r, "right")
+            windows = self.below[axis, -(-b // self.step)] & ~self.below[axis, a // self.step]
+            found = np.unpackbits(at_least(windows, math.ceil(THRESHOLD * PROJECTIONS)).view(np.uint8), axis=1, count=n, bitorder="little").view(bool)
+            # the last of the best lies near enough if more than k of those verified have this product
+            away = lengths[open_] ** 2 + self.norm
+            needed = (away - trusted * trusted) / (2 * lengths[open_] * math.sqrt(self.norm)) + ROUGH / 10
+            done = (found & (rough[open_] >= needed[:, None])).sum(1) > k
+            hit[open_[done]] = found[done]
+            open_ = open_[~done]
+            if not len(open_):
+                break
+        return hit, rough
+
+    def candidates(self, query: np.ndarray, k: int = NEAREST) -> np.ndarray:
+        """Rows of the block that are verified for one query."""
+        return np.flatnonzero(self.collided(query[None], k)[0][0])
+
+    def nearest_of(self, queries: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each query, ids and exact scores of the best ``k`` verified rows but its own, ties to the smaller id."""
+        out = []
+        for start in range(0, len(queries), TOGETHER):
+            asked = queries[start : start + TOGETHER]
+            for query, me, hit, rough in zip(asked, own[start : start + TOGETHER], *self.collided(asked, k)):
+                if len(rough) > k + 1:  # single precision with room for its error leaves few for the exact measure
+                    rough = np.where(hit, rough, np.float32(-np.inf))
+                    hit = hit & (rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - ROUGH)
+                rows = np.flatnonzero(hit)
+                rows = rows[ids[rows] != me]
+                exact = (self.vectors[rows] * query).sum(1)
+                top = np.lexsort((ids[rows], -exact))[:k]
+                out.append((ids[rows][top], exact[top]))
+        return out
 
     def nearest(self, query: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and exact scores of the best ``k`` verified rows but the query's own, ties to the smaller id."""
-        rows = self.candidates(query, k)
-        if len(rows) > k + 1:  # single precision with room for its error leaves few for the exact measure
-            rough = self.small[rows] @ (query / np.sqrt(query @ query)).astype(np.float32)
-            rows = rows[rough >= np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1] - 1e-4]
-        rows = rows[ids[rows] != own]
-        exact = (self.vectors[rows] * query).sum(1)
-        top = np.lexsort((ids[rows], -exact))[:k]
-        return ids[rows][top], exact[top]
+        """``nearest_of`` a single query."""
+        return self.nearest_of(query[None], ids, np.array([own]), k)[0]
+
+
+def at_least(bits: np.ndarray, least: int) -> np.ndarray:
+    """Bitwise, where at least ``least`` of the ``PROJECTIONS`` words along the first axis are set.
+
+    The words are added in pairs, then pairs of pairs: a number is a list of its bits, lowest
+    first, so that one operation adds a bit of 64 rows.
+    """
+    number = [bits]
+    while len(number[0]) > 1:
+        out, carry = [], None
+        for bit in number:
+            x, y = bit[0::2], bit[1::2]
+            both, either = x & y, x ^ y
+            out.append(either if carry is None else either ^ carry)
+            carry = both if carry is None else both | (either & carry)
+        number = [*out, carry]
+    more, same = np.zeros_like(number[0][0]), ~np.zeros_like(number[0][0])
+    for place in reversed(range(len(number))):
+        bit = number[place][0]
+        if least >> place & 1:
+            same = same & bit
+        else:
+            more, same = more | (same & bit), same & ~bit
+    return more | same
 
 
 def _numbers(n: int) -> Column:
@@ -150,7 +211,7 @@ def nearest_vectors(vectors: DataFrame, k: int = NEAREST, every: int = QUERY_EVE
         own_ids, found = ids[~asks][order], []
         if len(own_ids):
             index = ProjectionIndex(values[~asks][order])
-            found = [(q, *index.nearest(v, own_ids, q, k)) for q, v in zip(ids[asks], values[asks])]
+            found = [(q, *f) for q, f in zip(ids[asks], index.nearest_of(values[asks], own_ids, ids[asks], k))]
         return pa.table({
             "query_id": pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)),
             "vec_id": pa.array(np.concatenate([f[1] for f in found] or [np.zeros(0, np.int64)]), pa.int64()),

@@ -312,6 +312,30 @@ def test_each_length_is_searched_among_its_own(spark):
     assert got == [(0, 1, 1, 0.5), (0, 2, 2, 0.0), (20, 1, 22, 12.0), (20, 2, 21, -3.0)]
 
 
+def test_collisions_counted_on_bits():
+    """Sums on bits are the plain counts, and a window from cut to cut loses no row of the exact one."""
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, size=(collision_search.PROJECTIONS, 2, 3), dtype=np.uint64)
+    plain = np.unpackbits(words.view(np.uint8), axis=2, bitorder="little").sum(0)
+    for least in (1, 20, 32, 36, 64):
+        got = np.unpackbits(collision_search.at_least(words, least).view(np.uint8), axis=1, bitorder="little")
+        assert (got == (plain >= least)).all()
+    for n in (22, 100, 1000):
+        x = rng.normal(size=(n, 6)) + 5 * rng.normal(size=(8, 6))[rng.integers(0, 8, n)]
+        index = collision_search.ProjectionIndex(x)
+        place = np.empty((collision_search.PROJECTIONS, n))
+        for p, sorted_ in enumerate(index.sorted):
+            inside = (index.below[p][1:] & ~index.below[p][:-1]).view(np.uint8)
+            cut = np.argmax(np.unpackbits(inside, axis=1, count=n, bitorder="little"), axis=0)
+            place[p] = sorted_[np.minimum(cut * index.step, n - 1)]
+        centre = index.axes[:, :-1] @ x[0]
+        hit = index.collided(x[:1], 3)[0][0]
+        inside = np.abs(place - centre[:, None]) <= collision_search.WIDTHS[0] * index.spread[:, None]
+        assert hit[inside.sum(0) >= collision_search.THRESHOLD * collision_search.PROJECTIONS].all()
+        both = index.nearest_of(x, np.arange(n), np.arange(n), 3)
+        assert [b[0].tolist() for b in both] == [index.nearest(v, np.arange(n), i, 3)[0].tolist() for i, v in enumerate(x)]
+
+
 def test_recall_on_other_tables_and_seeds(table):
     """Small blocks, other seeds and a table without neighbourhoods find their neighbours too."""
     isotropic = np.random.default_rng(0).normal(size=(8192, 64))
