@@ -304,5 +304,10 @@ def one_of_each_class(docs: DataFrame, similarity: float = SIMILARITY) -> DataFr
     wordless = ~text_column().rlike(WORD)
     own = [docs[f"`{c}`"] for c in docs.columns]
     single = tagged.filter(wordless | (F.col("nd_alike") == 1)).select(*own)
-    again = tagged.filter(~wordless & (F.col("nd_alike") > 1)).dropDuplicates(["nd_key", "nd_id"]).select(*own)
+    # rows that share id and text are rare: their heads stand in a table of their own, so that the texts move once
+    often = staged(heads.filter("nd_alike > 1").select(F.col("nd_key").alias("of_key"), F.col("nd_id").alias("of_id")), "heads-often")
+    if often.isEmpty():
+        return single
+    again = docs.join(often, (key == F.col("of_key")) & docs["doc_id"].cast("long").eqNullSafe(F.col("of_id")))
+    again = again.filter(~wordless).dropDuplicates(["of_key", "of_id"]).select(*own)
     return single.unionByName(again)

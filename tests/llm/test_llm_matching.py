@@ -252,6 +252,35 @@ def test_index_levels_shrink(prose):
 # ---- the pipeline ------------------------------------------------------------------------
 
 
+def text_scans(df):
+    return df._jdf.queryExecution().sparkPlan().toString().count("text:string")
+
+
+def test_kept_documents_move_once(spark, table, tmp_path):
+    """One pass moves the texts where no rows share id and text; where some do, one of them is kept."""
+    docs = table("documents")
+    kept = jaccard_join.one_of_each_class(docs)
+    assert text_scans(kept) == 1
+    docs.union(docs.limit(40)).write.parquet(str(tmp_path / "again"))
+    again = jaccard_join.one_of_each_class(spark.read.parquet(str(tmp_path / "again")))
+    assert sorted(r.doc_id for r in again.collect()) == sorted(r.doc_id for r in kept.collect())
+
+
+def test_few_cuts_are_sent_to_the_texts(spark, table, monkeypatch):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sent = personal_data.redacted(table("documents"))
+        plan = sent._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        monkeypatch.setattr(personal_data, "SENT_CUTS", 0)
+        moved = personal_data.redacted(table("documents"))
+        assert "SortMergeJoin" in moved._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(map(tuple, sent.collect())) == sorted(map(tuple, moved.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_pipeline_equals_its_stages_done_plainly(spark, table):
     """Every stage on the rows that the plain version of the one before it kept."""
     sf = "/root/testdata/sf0.001"
