@@ -128,8 +128,12 @@ class EliasFano:
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Index of each value, or -1: search for the first successor within its high part."""
-        if not self.n:
-            return np.full(len(values), -1, dtype=np.int64)
+        out = np.full(len(values), -1, dtype=np.int64)
+        for a in range(0, len(values) if self.n else 0, ASKED):  # what the search holds is some twenty times its values
+            out[a : a + ASKED] = self._find(values[a : a + ASKED])
+        return out
+
+    def _find(self, values: np.ndarray) -> np.ndarray:
         high, low = values >> self.bits, values & ((1 << self.bits) - 1)
         a, b = self._start(high), self._start(high + 1)
         stop = b.copy()
@@ -151,8 +155,28 @@ class EliasFano:
 # ---- the trie of one part ----------------------------------------------------------------
 
 
+def _coded(probability: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(-np.log10(probability) * STEPS), 0, 65535).astype(np.uint16)
+
+
 def _codes(probability: np.ndarray) -> np.ndarray:
-    return mapped(np.clip(np.rint(-np.log10(probability) * STEPS), 0, 65535).astype(np.uint16))
+    return mapped(_coded(probability))
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values and their counts; ``values`` is sorted in place."""
+    values.sort()
+    first = np.flatnonzero(np.concatenate([[True] * bool(len(values)), values[1:] != values[:-1]]))
+    return values[first], np.diff(first, append=len(values))
+
+
+def _ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, and the rank of every value among them; sorted values take no sort."""
+    if (values[1:] < values[:-1]).any():
+        return np.unique(values, return_inverse=True)
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh], np.cumsum(fresh, dtype=np.int32 if len(values) < 1 << 31 else np.int64) - 1
 
 
 class Trie:
@@ -161,9 +185,10 @@ class Trie:
     ``words`` are the part's words, known by their rank; ``unigram`` their base probabilities.
     Absolute discounting with interpolation: an n-gram's probability is its discounted share plus
     the discounted mass times the probability one order down; only the latter where it is unseen.
+    A list of triples is emptied, so that they are let go as they are read.
     """
 
-    def __init__(self, unigram: np.ndarray, pair: np.ndarray, pair_count: np.ndarray, triple: tuple[np.ndarray, np.ndarray, np.ndarray], triple_count: np.ndarray):
+    def __init__(self, unigram: np.ndarray, pair: np.ndarray, pair_count: np.ndarray, triple: tuple[np.ndarray, ...] | list[np.ndarray], triple_count: np.ndarray):
         size = self.size = len(unigram)
         self.unigram = _codes(unigram)
         # level 2: successors of every word, at rank(word) * size + successor
@@ -180,24 +205,34 @@ class Trie:
         self.p2, self.backoff2 = _codes(p2), _codes(mass)
         # level 3: contexts (word, word before it); a successor is its rank among those of the word
         w1, w2, w3 = triple
-        context_of = w2 * size + w1
-        contexts, inverse = np.unique(context_of, return_inverse=True)
+        if isinstance(triple, list):
+            triple.clear()
+        wide = np.int64(size)
+        contexts, inverse = _ranked(w2 * wide + w1)
+        del w1
         total = np.bincount(inverse, triple_count, len(contexts))
         once, twice = np.bincount(inverse, triple_count == 1, len(contexts)), np.bincount(inverse, triple_count == 2, len(contexts))
         discount = self._discount(3, once, twice)
-        del context_of, once, twice
+        del once, twice
         mass = 1 - np.bincount(inverse, triple_count - discount[inverse], len(contexts)) / np.maximum(total, 1)
         self.contexts = EliasFano(contexts, size * size)
         width = np.diff(begin)[contexts // size] if len(contexts) else np.zeros(0, dtype=np.int64)
         base = np.concatenate([[0], np.cumsum(width)])
         self.base = EliasFano(base, int(base[-1]) + 1)
-        at2 = self.successors.find(w2 * size + w3)
-        value = base[inverse] + at2 - begin[w2]
-        order = np.argsort(value, kind="stable")
-        self.relative = EliasFano(value[order], int(base[-1]) + 1)
-        del value, w1, w2, w3
-        p3 = (triple_count - discount[inverse]) / total[inverse] + mass[inverse] * p2[at2]
-        self.p3, self.backoff3 = _codes(p3[order]), _codes(mass)
+        at2 = self.successors.find(w2 * wide + w3)
+        del w3
+        p3 = np.empty(len(at2), dtype=np.uint16)
+        for a in range(0, len(at2), ASKED):
+            i, j = inverse[a : a + ASKED], at2[a : a + ASKED]
+            p3[a : a + ASKED] = _coded((triple_count[a : a + ASKED] - discount[i]) / total[i] + mass[i] * p2[j])
+        at2 += base[inverse]
+        at2 -= begin[w2]
+        del inverse, w2
+        if (at2[1:] < at2[:-1]).any():
+            order = np.argsort(at2, kind="stable")
+            at2, p3 = at2[order], p3[order]
+        self.relative = EliasFano(at2, int(base[-1]) + 1)
+        self.p3, self.backoff3 = mapped(p3), _codes(mass)
 
     @staticmethod
     def _discount(order: int, once: np.ndarray, twice: np.ndarray) -> np.ndarray:
@@ -422,7 +457,8 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             bodies[k] = own = None
             done += n
         unigram = (count + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-        pair, times = np.unique(w2[flags] * np.int64(size) + w3[flags], return_counts=True)
+        wide = np.int64(size)
+        pair, times = _counted(w2[flags] * wide + w3[flags])
         if len(hot_word):
             whole = np.zeros(size, dtype=bool)
             hot_at, follower_at = (place[a : a + len(hot_word)].astype(np.int64) for a in (cuts[-1], cuts[-1] + len(hot_word)))
@@ -431,14 +467,19 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             pair, times = np.concatenate([pair[keep], hot_at * size + follower_at]), np.concatenate([times[keep], hot_times])
             sort = np.argsort(pair)
             pair, times = pair[sort], times[sort]
-        key = w2[flags] * np.int64(size) + w1[flags]
-        context = np.unique(key)
-        key = np.searchsorted(context, key) * np.int64(size) + w3[flags]
-        triple, triple_times = np.unique(key, return_counts=True)
-        del key
-        context_words = context[triple // size]
-        trie = Trie(unigram, pair, times, (context_words % size, context_words // size, triple % size), triple_times)
-        del context, triple, triple_times, context_words, pair, times
+        key = w2[flags] * wide
+        key += w1[flags]
+        context = None if size < 1 << 21 else np.unique(key)  # three ranks of 21 bits fit into one number
+        key = (key if context is None else np.searchsorted(context, key)) * wide
+        key += w3[flags]
+        key, triple_times = _counted(key)
+        triple = [key % wide]
+        key //= wide
+        key = key if context is None else context[key]
+        triple = [(key % wide).astype(np.int32), (key // wide).astype(np.int32), triple[0].astype(np.int32)]
+        del context, key
+        trie = Trie(unigram, pair, times, triple, triple_times)
+        del triple_times, pair, times
         rows, done = [], 0
         for block, steps in zip(blocks, texts_of):
             n = len(steps)

@@ -123,6 +123,28 @@ def test_elias_fano_round_trip():
         assert ef.find(asked).tolist() == [want.get(int(x), -1) for x in asked]
 
 
+def test_a_trie_is_built_in_bounded_room():
+    """Sorted triples take under 100 bytes each while a trie is built, and give what shuffled ones give."""
+    import tracemalloc
+
+    r = np.random.default_rng(5)
+    size = 20_000
+    triple = np.unique(r.integers(0, 300, 400_000) * size * size + r.integers(0, size, 400_000) * size + r.integers(0, 300, 400_000))
+    w2, w1, w3 = triple // size // size, triple // size % size, triple % size
+    times = r.integers(1, 4, len(triple))
+    pair, pair_times = np.unique(w2 * size + w3, return_counts=True)
+    mixed = r.permutation(len(triple))
+    unigram = np.full(size, 1 / size)
+    want = ngram_lm.Trie(unigram, pair, pair_times, (w1[mixed], w2[mixed], w3[mixed]), times[mixed])
+    given = [w1.astype(np.int32), w2.astype(np.int32), w3.astype(np.int32)]
+    tracemalloc.start()
+    trie = ngram_lm.Trie(unigram, pair, pair_times, given, times)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(triple) and not given
+    assert (trie.ask(w1, w2, w3) == want.ask(w1, w2, w3)).all() and trie.nbytes() == want.nbytes()
+
+
 def test_a_trie_that_was_asked_is_no_larger():
     r = np.random.default_rng(4)
     size, n = 3_000, 200_000
