@@ -240,9 +240,21 @@ class Trie:
         return (once + DISCOUNTS[order] * BELIEF) / (once + 2 * twice + BELIEF)
 
     def ask(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
-        """Code of the probability of ``w3`` after ``w1 w2``, summed over the backoffs it takes."""
-        steps = [slice(a, a + ASKED) for a in range(0, len(w3), ASKED)]
-        return np.concatenate([np.zeros(0, dtype=np.int64), *(self._ask(*(w[s].astype(np.int64) for w in (w1, w2, w3))) for s in steps)])
+        """Code of the probability of ``w3`` after ``w1 w2``, summed over the backoffs it takes.
+
+        Repeated n-grams of a portion are asked once, and all in the order of the trie.
+        """
+        out = np.zeros(len(w3), dtype=np.int64)
+        wide = np.int64(self.size)
+        for a in range(0, len(w3), ASKED):
+            x, y, z = (w[a : a + ASKED].astype(np.int64) for w in (w1, w2, w3))
+            if self.size < 1 << 21:  # three ranks of 21 bits fit into one number
+                key, again = np.unique((y * wide + x) * wide + z, return_inverse=True)
+                context = key // wide
+                out[a : a + ASKED] = self._ask(context % wide, context // wide, key % wide)[again]
+            else:
+                out[a : a + ASKED] = self._ask(x, y, z)
+        return out
 
     def _ask(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
         at2 = self.successors.find(w2 * self.size + w3)

@@ -145,6 +145,16 @@ def test_a_trie_is_built_in_bounded_room():
     assert (trie.ask(w1, w2, w3) == want.ask(w1, w2, w3)).all() and trie.nbytes() == want.nbytes()
 
 
+def test_repeated_ngrams_are_asked_once(monkeypatch):
+    w = np.array([1, 4, 4]), np.array([2, 2, 2]), np.array([3, 0, 5])
+    order = np.argsort((w[1] * 6 + w[0]) * 6 + w[2])
+    trie = ngram_lm.Trie(np.full(6, 1 / 6), np.sort(w[1] * 6 + w[2]), np.ones(3, dtype=np.int64), tuple(x[order] for x in w), np.ones(3, dtype=np.int64))
+    single, asked = [int(trie.ask(*(x[i : i + 1] for x in w))[0]) for i in range(3)], []
+    plain = trie._ask
+    monkeypatch.setattr(trie, "_ask", lambda *g: asked.append(len(g[0])) or plain(*g))
+    assert trie.ask(*(np.tile(x, 1000) for x in w)).tolist() == single * 1000 and asked == [3]
+
+
 def test_a_trie_that_was_asked_is_no_larger():
     r = np.random.default_rng(4)
     size, n = 3_000, 200_000
