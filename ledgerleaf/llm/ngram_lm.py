@@ -6,7 +6,8 @@ levels are monotone sequences in Elias-Fano form, its pointers too, and a succes
 relative to its context: as its rank among the words that follow the shorter context.  Smoothed
 probabilities and backoffs are 16-bit codes.  A part is built from the training n-grams of all
 documents and asked for the n-grams of all documents in the task that holds it; nothing of the
-model passes through the driver but the numbers of tokens and of different words.
+model passes through the driver but the numbers of tokens and of different words, and for every
+part of the vocabulary the counts that occur in it with the numbers of words that have them.
 """
 
 from __future__ import annotations
@@ -16,15 +17,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, U64, crc_bucket, id_type, joined, pack, pieces, staged, text_column, unpack, words
+from .common import LOWER, SOLID, U64, crc_bucket, id_type, joined, mixed, pack, pieces, staged, text_column, unpack, word_hashes, words
 
-#: Text bytes of a block, of a part of the vocabulary, and of a part of the model.
-BLOCK_BYTES = 10 << 20
+#: Text bytes of a piece that is read at once, of a block of pieces, of a part of the vocabulary, of a part of the frequent
+#: words' successors, and of a part of the model.
+PIECE_BYTES = 8 << 20
+BLOCK_BYTES = 32 << 20
 WORD_PART_BYTES = 64 << 20
+PAIR_PART_BYTES = 128 << 20
 MODEL_PART_BYTES = 10 << 20
 #: Text bytes to a token, roughly: a word that follows more tokens than one part's text has is dealt to several parts.
 TOKEN_BYTES = 6
@@ -36,6 +40,8 @@ BELIEF = 4.0
 #: Every trigram that training saw is kept; the plain model of the tests reads this too.
 LEAST_TRIGRAM = 1
 START = -1
+#: Above the number of any word.
+WIDEST = 1 << 40
 
 
 def mapped(array: np.ndarray) -> np.ndarray:
@@ -56,6 +62,8 @@ def _in_byte() -> np.ndarray:
 IN_BYTE = _in_byte()
 #: N-grams that are asked together, few enough for a processor's cache.
 ASKED = 1 << 15
+#: A stretch of a sequence is read off for a portion that has one value for so many of the stretch, or more.
+DENSE = 8
 
 
 # ---- Elias-Fano sequences ----------------------------------------------------------------
@@ -127,13 +135,36 @@ class EliasFano:
         return self.upper.nbytes + self.before.nbytes + self.lower.nbytes
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, or -1: search for the first successor within its high part."""
+        """Index of each value, or -1.
+
+        Values are asked in ascending order, a portion at a time.  Where a portion meets most of the stretch it spans, the
+        stretch is read off; else each value is searched for within its high part.
+        """
         out = np.full(len(values), -1, dtype=np.int64)
         for a in range(0, len(values) if self.n else 0, ASKED):  # what the search holds is some twenty times its values
-            out[a : a + ASKED] = self._find(values[a : a + ASKED])
+            part = values[a : a + ASKED]
+            order = np.argsort(part) if (part[1:] < part[:-1]).any() else slice(None)
+            part = part[order]
+            begin, end = self._start(np.array([part[0] >> self.bits, (part[-1] >> self.bits) + 1]))
+            if end - begin > DENSE * len(part):
+                out[a : a + ASKED][order] = self._find(part)
+            elif begin < end:
+                run = self._run(int(begin), int(end))
+                at = np.searchsorted(run, part)
+                at[at == len(run)] = 0
+                out[a : a + ASKED][order] = np.where(run[at] == part, at + begin, -1)
         return out
 
+    def _run(self, begin: int, end: int) -> np.ndarray:
+        """The values from one index to another, read off in one go."""
+        i = np.arange(begin, end)
+        first, last = self._place(i[[0, -1]], True)
+        ones = np.flatnonzero(np.unpackbits(self.upper[first >> 6 : (last >> 6) + 1].view(np.uint8), bitorder="little"))
+        ones += first & ~63
+        return ((ones[np.searchsorted(ones, first) :][: len(i)] - i) << self.bits) | self._low(i)
+
     def _find(self, values: np.ndarray) -> np.ndarray:
+        """Search for the first successor of each value within its high part."""
         high, low = values >> self.bits, values & ((1 << self.bits) - 1)
         a, b = self._start(high), self._start(high + 1)
         stop = b.copy()
@@ -242,14 +273,18 @@ class Trie:
     def ask(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
         """Code of the probability of ``w3`` after ``w1 w2``, summed over the backoffs it takes.
 
-        Repeated n-grams of a portion are asked once, and all in the order of the trie.
+        Repeated n-grams of a portion are asked once, and all in the order of the trie; those that come so are taken as they are.
         """
         out = np.zeros(len(w3), dtype=np.int64)
         wide = np.int64(self.size)
         for a in range(0, len(w3), ASKED):
             x, y, z = (w[a : a + ASKED].astype(np.int64) for w in (w1, w2, w3))
             if self.size < 1 << 21:  # three ranks of 21 bits fit into one number
-                key, again = np.unique((y * wide + x) * wide + z, return_inverse=True)
+                key = (y * wide + x) * wide + z
+                if (key[1:] > key[:-1]).all():
+                    out[a : a + ASKED] = self._ask(x, y, z)
+                    continue
+                key, again = np.unique(key, return_inverse=True)
                 context = key // wide
                 out[a : a + ASKED] = self._ask(context % wide, context // wide, key % wide)[again]
             else:
@@ -259,13 +294,20 @@ class Trie:
     def _ask(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> np.ndarray:
         at2 = self.successors.find(w2 * self.size + w3)
         code = np.where(at2 >= 0, self.p2[np.maximum(at2, 0)] if len(self.p2) else 0, self.backoff2[w2].astype(np.int64) + self.unigram[w3]).astype(np.int64)
-        context = self.contexts.find(w2 * self.size + w1)
-        inside = np.flatnonzero(context >= 0)
-        if len(inside):
-            code[inside] += self.backoff3[context[inside]]
-            inside = inside[at2[inside] >= 0]
-            rank = at2[inside] - self.children[w2[inside]]
-            at3 = self.relative.find(self.base[context[inside]] + rank)
+        # neighbours share their context, which is looked up once for all of them
+        context = w2 * self.size + w1
+        fresh = np.ones(len(context), dtype=bool)
+        fresh[1:] = context[1:] != context[:-1]
+        own = np.cumsum(fresh) - 1
+        found = self.contexts.find(context[fresh])
+        seen = np.flatnonzero(found >= 0)
+        if len(seen):
+            backoff, shift = np.zeros(len(found), dtype=np.int64), np.zeros(len(found), dtype=np.int64)
+            backoff[seen] = self.backoff3[found[seen]]
+            shift[seen] = self.base[found[seen]] - self.children[w2[fresh][seen]]
+            code += backoff[own]
+            inside = np.flatnonzero((found[own] >= 0) & (at2 >= 0))
+            at3 = self.relative.find(shift[own[inside]] + at2[inside])
             code[inside[at3 >= 0]] = self.p3[at3[at3 >= 0]]
         return code
 
@@ -277,28 +319,134 @@ class Trie:
 # ---- blocks and parts --------------------------------------------------------------------
 
 
-def word_numbers(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+def word_numbers(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """Numbers of the lower-cased words of all texts, each text closed by an end; the words; tokens per text.
 
-    The end is the empty word, the last of the list.
+    The end is the empty word, the last of the words.
     """
     buffer, offsets = joined(texts)
     low = LOWER[buffer]
     starts, stops, counts = words(low, offsets)
-    lengths = stops - starts
-    at = np.concatenate([[0], np.cumsum(lengths)])
-    small = np.int32 if len(buffer) < 1 << 31 else np.int64
-    place = np.arange(at[-1], dtype=small)
-    place += np.repeat((starts - at[:-1]).astype(small), lengths)
-    data = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(low[place])])
+    at = np.concatenate([[0], np.cumsum(stops - starts)]).astype(np.int64)
+    data = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(low[SOLID[low]])])
     encoded = data.dictionary_encode()
-    vocabulary = encoded.dictionary.to_pylist() + [b""]
-    tokens = np.full(len(starts) + len(counts), len(vocabulary) - 1, dtype=np.int64)
-    own = np.arange(len(starts)) + np.repeat(np.arange(len(counts)), counts)
+    vocabulary = pa.concat_arrays([encoded.dictionary, pa.array([b""], pa.large_binary())])
+    tokens = np.full(len(starts) + len(counts), len(vocabulary) - 1, dtype=np.int32)
+    own = np.ones(len(tokens), dtype=bool)
+    own[np.cumsum(counts + 1) - 1] = False
     tokens[own] = encoded.indices.to_numpy(zero_copy_only=False)
     return tokens, vocabulary, counts + 1
 
 
+def word_bytes(vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words and the offsets between them."""
+    _, ends, data = vocabulary.buffers()
+    ends = np.frombuffer(ends, dtype=np.int64)[vocabulary.offset : vocabulary.offset + len(vocabulary) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
+    return data[ends[0] : ends[-1]], ends - ends[0]
+
+
+def part_of_words(vocabulary: pa.Array, parts: int) -> np.ndarray:
+    """The part of the vocabulary that each word belongs to; the empty word belongs to the first."""
+    data, ends = word_bytes(vocabulary)
+    out, full = np.zeros(len(vocabulary), dtype=np.min_scalar_type(parts)), np.flatnonzero(ends[1:] > ends[:-1])
+    out[full] = word_hashes(data, ends[:-1][full], ends[1:][full]) % U64(parts)
+    return out
+
+
+def by_count(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of words by their counts, the most frequent first, and every word's rank: frequent words get small numbers, which pack well."""
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(counts), dtype=np.int64)
+    rank[order] = np.arange(len(counts))
+    return order, rank
+
+
+def merged(pieces_: list[tuple[np.ndarray, pa.Array, np.ndarray]]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """What ``word_numbers`` gives of several pieces, as of one; frequent words first."""
+    encoded = pa.concat_arrays([v for _, v, _ in pieces_]).dictionary_encode()
+    number, at, tokens = encoded.indices.to_numpy(zero_copy_only=False), 0, []
+    for own, vocabulary, _ in pieces_:
+        tokens.append(number[at + own])
+        at += len(vocabulary)
+    tokens = np.concatenate(tokens)
+    order, rank = by_count(np.bincount(tokens))
+    return rank.astype(np.int32)[tokens], encoded.dictionary.take(pa.array(order)), np.concatenate([c for _, _, c in pieces_])
+
+
+class WordCounts:
+    """Training counts by word number.
+
+    Within a part of the vocabulary words are numbered by falling count, so the numbers at which
+    the count changes say it all: they are few, a part of n tokens has less than the root of 2 n.
+    """
+
+    def __init__(self, bodies: list[tuple[int, bytes]], parts: int):
+        self.bodies, self.parts, self.keys, self.counts = bodies, parts, None, None
+
+    @staticmethod
+    def steps(falling: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ranks at which falling counts change, as steps, and the counts from there."""
+        first = np.flatnonzero(np.diff(falling, prepend=-1))
+        return narrow(np.diff(first, prepend=0)), narrow(falling[first])
+
+    def __call__(self, number: np.ndarray) -> np.ndarray:
+        if self.keys is None:
+            read = [(part, unpack(body)) for part, body in sorted(self.bodies)]
+            self.keys = np.concatenate([part * WIDEST + np.cumsum(b[1], dtype=np.int64) for part, b in read])
+            self.counts = np.concatenate([b[2].astype(np.int64) for _, b in read])
+        return self.counts[np.searchsorted(self.keys, number % self.parts * WIDEST + number // self.parts, side="right") - 1]
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Numbers that are not negative in the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def _summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys and the sums of their times."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True] * bool(len(keys)), keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(times[order], first) if len(first) else np.zeros(0, dtype=np.int64)
+
+
+class Dealing:
+    """Which part of a model holds the n-grams after ``w1 w2``, by the words' numbers.
+
+    A word of up to ``hot`` training tokens has one part.  The others have several, each by the
+    word before; their parts are laid one behind the other around the model, so that none gets
+    more of them than the next.
+    """
+
+    def __init__(self, parts: int, hot: int, number: np.ndarray, count: np.ndarray):
+        order = np.argsort(number)
+        self.parts, self.number = parts, number[order]
+        self.spread = -(-count[order] // hot)
+        self.first = np.cumsum(self.spread) - self.spread
+
+    def split(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the ascending ``number`` have several parts, and their places among those that do."""
+        at = np.searchsorted(number, self.number)
+        there = np.flatnonzero(at < len(number))
+        there = there[number[at[there]] == self.number[there]]
+        return at[there], there
+
+    def parts_of(self, w1: np.ndarray, w2: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The part of every context; words are places among the ascending ``number``."""
+        first, spread = (mixed(number.astype(U64)) % U64(self.parts)).astype(np.int32), np.ones(len(number), dtype=np.int32)
+        at, own = self.split(number)
+        first[at], spread[at] = self.first[own] % self.parts, self.spread[own]
+        part = first[w2]
+        several = np.flatnonzero(spread[w2] > 1)
+        part[several] = (part[several] + number[w1[several]] % spread[w2[several]]) % self.parts
+        return part.astype(np.min_scalar_type(self.parts))
+
+    def all_parts(self, own: int) -> list[int]:
+        """The parts of one of the words that have several."""
+        return sorted({int(self.first[own] + k) % self.parts for k in range(int(self.spread[own]))})
+
+
 def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part: int = MODEL_PART_BYTES) -> DataFrame:
     """``doc_id, trains, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
@@ -310,14 +458,15 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
     Without training rows all tokens are unknown and every score is the base's; an empty table
     gives an empty one.
 
-    Words that follow more tokens than a part's share of the text has (``hot``) are dealt to several
-    parts by the word before them; the successors of such a word are counted first, by plain aggregates, and every one of
+    Words that follow more tokens than half a part's share of the text has (``hot``) are dealt to several
+    parts by the word before them; the successors of such a word are counted first, and every one of
     its parts gets them all, so its probabilities are the same as in a single part.
     """
     ids = id_type(docs)
-    hot = max(1, model_part // TOKEN_BYTES) if hot is None else hot
+    hot = max(1, model_part // (2 * TOKEN_BYTES)) if hot is None else hot
     total = docs.select(F.sum(F.octet_length(text_column()))).first()[0] or 0
     word_parts = max(1, -(-total // WORD_PART_BYTES))
+    pair_parts = max(1, -(-total // PAIR_PART_BYTES))
     model_parts = max(1, -(-total // model_part))
     names = ["kind", "block", "part", "body", "ids", "flags"]
     packet = f"kind string, block bigint, part int, body binary, ids array<{ids}>, flags array<boolean>"
@@ -328,24 +477,35 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     def cut_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for piece in pieces(batches, BLOCK_BYTES):
-            tokens, vocabulary, counts = word_numbers(piece.column("text"))
-            flags = piece.column("trains").to_numpy(zero_copy_only=False).astype(bool)
-            train = np.bincount(tokens[np.repeat(flags, counts)], minlength=len(vocabulary))
-            part = np.array([xxhash.xxh32_intdigest(w) for w in vocabulary], dtype=np.int64) % word_parts
-            rows = [("block", block, -1, pack(tokens.astype(np.uint32), counts.astype(np.uint32), part.astype(np.int32)),
-                     piece.column("doc_id").to_pylist(), flags.tolist())]
-            for p in np.unique(part):
-                at = np.flatnonzero(part == p)
-                own = [vocabulary[i] for i in at]
-                lengths = np.array([len(w) for w in own], dtype=np.uint32)
-                rows.append(("words", block, int(p), pack(train[at].astype(np.uint32), lengths, np.frombuffer(b"".join(own), dtype=np.uint8)), None, None))
-            yield packets(rows, piece.column("doc_id").type)
-            block += 1
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for piece in pieces(batches, PIECE_BYTES):
+            own = pc.sum(pc.binary_length(piece.column("text"))).as_py()
+            if held and size + own > BLOCK_BYTES:
+                yield block_of(block, held)
+                block, held, size = block + 1, [], 0
+            held.append((*word_numbers(piece.column("text")), piece.column("doc_id"), piece.column("trains").to_numpy(zero_copy_only=False).astype(bool)))
+            size += own
+        if held:
+            yield block_of(block, held)
+
+    def block_of(block: int, held: list[tuple]) -> pa.RecordBatch:
+        """A block's tokens, and its words with their training counts for every part of the vocabulary."""
+        tokens, vocabulary, counts = merged([h[:3] for h in held])
+        flags = np.concatenate([h[4] for h in held])
+        train = np.bincount(tokens[np.repeat(flags, counts)], minlength=len(vocabulary))
+        part = part_of_words(vocabulary, word_parts)
+        rows = [("block", block, -1, pack(narrow(tokens), narrow(counts), part), [i for h in held for i in h[3].to_pylist()], flags.tolist())]
+        order = np.argsort(part, kind="stable")
+        data, ends = word_bytes(vocabulary.take(pa.array(order)))
+        cuts = np.searchsorted(part[order], np.arange(word_parts + 1))
+        for p in np.flatnonzero(np.diff(cuts)):
+            a, b = cuts[p], cuts[p + 1]
+            body = pack(narrow(train[order[a:b]]), narrow(np.diff(ends[a : b + 1])), data[ends[a] : ends[b]])
+            rows.append(("words", block, int(p), body, None, None))
+        return packets(rows, held[0][3].type)
 
     def count_words(table: pa.Table) -> pa.Table:
-        """Numbers and training counts of the words of one part, per block that asked."""
+        """Ranks of the words of one part by their training counts, per block that asked; the counts by rank for all."""
         id_kind = table.schema.field("ids").type.value_type
         blocks = table.column("block").to_numpy()
         order = np.argsort(blocks, kind="stable")
@@ -357,13 +517,13 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             asked.append(pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(data)]))
             counts.append(train)
         encoded = pa.concat_arrays(asked).dictionary_encode()
-        number = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        number = encoded.indices.to_numpy(zero_copy_only=False)
         total_count = np.bincount(number, np.concatenate(counts)).astype(np.int64)
-        stats = pack(np.array([total_count.sum(), (total_count > 0).sum()], dtype=np.int64))
+        falling, rank = by_count(total_count)
+        stats = pack(np.array([total_count.sum(), (total_count > 0).sum(), (total_count > hot).sum()], dtype=np.int64), *WordCounts.steps(total_count[falling]))
         rows, at = [("stats", -1, part, stats, None, None)], 0
         for i, c in zip(order, counts):
-            own = number[at : at + len(c)]
-            rows.append(("known", int(blocks[i]), part, pack(own * word_parts + part, total_count[own]), None, None))
+            rows.append(("known", int(blocks[i]), part, pack(narrow(rank[number[at : at + len(c)]])), None, None))
             at += len(c)
         return pa.Table.from_batches([packets(rows, id_kind)])
 
@@ -371,68 +531,106 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
     blocks = staged(texts.mapInArrow(cut_blocks, packet), "lm-blocks", "kind").select(*names)
     known = staged(blocks.filter("kind = 'words'").groupBy("part").applyInArrow(count_words, packet), "lm-words", "kind").select(*names)
 
-    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = np.array([unpack(b.as_py())[0] for b in batch.column("body")]).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["tokens", "types"])
-
-    counted = known.filter("kind = 'stats'").mapInArrow(sums, "tokens bigint, types bigint").agg(F.sum("tokens"), F.sum("types")).first()
-    n_tokens, n_types = counted[0] or 0, counted[1] or 0
-    n_training = docs.filter(F.coalesce(trains, F.lit(False))).count()
+    stats = [(r.part, bytes(r.body)) for r in known.filter("kind = 'stats'").select("part", "body").collect()]
+    sums = [(part, unpack(body)[0].tolist()) for part, body in stats]
+    n_tokens, n_types = (sum(s[i] for _, s in sums) for i in range(2))
+    count_of = WordCounts(stats, word_parts)
+    frequent = np.concatenate([np.zeros(0, dtype=np.int64), *(np.arange(s[2]) * word_parts + part for part, s in sums)])
+    dealing = Dealing(model_parts, hot, frequent, WordCounts(stats, word_parts)(frequent) if len(frequent) else frequent)
 
     def opened(table: pa.Table):
-        """A block: tokens, texts' token counts, word numbers and training counts by local number."""
+        """A block: tokens and the two before each, token counts, whether texts train, and numbers of its words.
+
+        Its words are known by their places among the ascending numbers; the start of a text is the first.
+        """
         kinds = table.column("kind").to_pylist()
         own = kinds.index("block")
         tokens, counts, part = unpack(table.column("body")[own].as_py())
-        number, count = np.zeros(len(part) + 1, dtype=np.int64), np.zeros(len(part) + 1, dtype=np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(word_parts + 1))
+        number = np.empty(len(part), dtype=np.int64)
         for i, kind in enumerate(kinds):
             if kind == "known":
-                at = np.flatnonzero(part == table.column("part")[i].as_py())
-                number[at], count[at] = unpack(table.column("body")[i].as_py())
-        number[-1], count[-1] = START, n_training
-        tokens, counts = tokens.astype(np.int64), counts.astype(np.int64)
+                p = table.column("part")[i].as_py()
+                number[order[cuts[p] : cuts[p + 1]]] = unpack(table.column("body")[i].as_py())[0].astype(np.int64) * word_parts + p
+        order = np.argsort(number)
+        place = np.empty(len(part), dtype=np.int32)
+        place[order] = np.arange(1, len(part) + 1)
+        number = np.concatenate([[START], number[order]])
+        counts = counts.astype(np.int64)
         first = np.cumsum(counts) - counts
-        before = np.concatenate([[len(part)], tokens[:-1]])
-        before[first] = len(part)
-        before2 = np.concatenate([[len(part)], before[:-1]])
-        before2[first] = len(part)
+        w3 = place[tokens]
+        w2 = np.concatenate([w3[:1], w3[:-1]])
+        w2[first] = 0
+        w1 = np.concatenate([w2[:1], w2[:-1]])
+        w1[first] = 0
         flags = np.array(table.column("flags")[own].as_py(), dtype=bool)
-        return table.column("block")[own].as_py(), own, tokens, before, before2, counts, flags, number, count
-
-    spread = lambda count: np.maximum(-(-count // hot), 1)  # noqa: E731  parts that a word is dealt to
+        return table.column("block")[own].as_py(), own, w3, w2, w1, counts, flags, number
 
     def hot_pairs(table: pa.Table) -> pa.Table:
-        """Training successors of the words that are dealt to several parts."""
-        _, _, w3, w2, _, counts, flags, number, count = opened(table)
-        use = np.flatnonzero(np.repeat(flags, counts) & (spread(count)[w2] > 1))
-        pairs, times = np.unique(w2[use] * len(number) + w3[use], return_counts=True)
-        a, b = pairs // len(number), pairs % len(number)
-        return pa.table({"word": number[a], "follower": number[b], "follower_count": count[b], "parts": spread(count)[a].astype(np.int32), "times": times})
+        """Training successors of the words that have several parts, counted in a block and dealt by both words."""
+        block, _, w3, w2, _, counts, flags, number = opened(table)
+        at, own = dealing.split(number)
+        several = np.zeros(len(number), dtype=bool)
+        several[at] = True
+        use = np.flatnonzero(np.repeat(flags, counts) & several[w2])
+        pair, times = _counted(w2[use].astype(np.int64) * len(number) + w3[use])
+        place = np.zeros(len(number), dtype=np.int64)
+        place[at] = own
+        word, follower = place[pair // len(number)], pair % len(number)
+        part = ((word + number[follower]) % pair_parts).astype(np.min_scalar_type(pair_parts))
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(pair_parts + 1))
+        rows = []
+        for p in np.flatnonzero(np.diff(cuts)):
+            i = order[cuts[p] : cuts[p + 1]]
+            steps = np.diff(word[i] * WIDEST + number[follower[i]] + 1, prepend=0)
+            rows.append(("pairs", block, int(p), pack(steps, narrow(times[i])), None, None))
+        return pa.Table.from_batches([packets(rows, table.schema.field("ids").type.value_type)])
+
+    def hot_successors(table: pa.Table) -> pa.Table:
+        """All training successors of these words in one part of the pairs, for every part of the model that holds such a word."""
+        bodies = [unpack(b.as_py()) for b in table.column("body")]
+        key = np.concatenate([np.cumsum(b[0]) for b in bodies])
+        key, times = _summed(key, np.concatenate([b[1].astype(np.int64) for b in bodies]))
+        cuts = np.flatnonzero(np.diff(key // WIDEST, prepend=-1, append=-1))
+        rows = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            own = int(key[a] // WIDEST)
+            body = pack(dealing.number[own : own + 1], narrow(np.diff(key[a:b] % WIDEST, prepend=0)), narrow(times[a:b]))
+            rows += [("hot", -1, p, body, None, None) for p in dealing.all_parts(own)]
+        return pa.Table.from_batches([packets(rows, table.schema.field("ids").type.value_type)])
 
     def deal(table: pa.Table) -> pa.Table:
         """The n-grams of a block, dealt to the parts of the model; the block's base scores go to one of them."""
-        block, own, w3, w2, w1, counts, flags, number, count = opened(table)
+        block, own, w3, w2, w1, counts, flags, number = opened(table)
         id_kind = table.schema.field("ids").type.value_type
+        count = count_of(number)
         logs = np.log10((count + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
         first = np.cumsum(counts) - counts
         base = np.add.reduceat(logs[w3], first) if len(first) else np.zeros(0)
         known_tokens = np.add.reduceat((count[w3] > 0).astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
-        part = (number[w2] + number[w1] % spread(count)[w2]) % model_parts
-        text = np.repeat(np.arange(len(counts)), counts)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
         rows = [("base", block, int(block % model_parts), pack(counts, known_tokens, base), table.column("ids")[own].as_py(), flags.tolist())]
+        part = dealing.parts_of(w1, w2, number)
+        text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        held = ~flags[text]
+        small = np.min_scalar_type(2 * model_parts + 1)
+        order = np.argsort(part.astype(small) * small.type(2) + held, kind="stable")  # of each part, those of training texts first
+        part, text, held, w1, w2, w3 = part[order], text[order], held[order], w1[order], w2[order], w3[order]
+        del order
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
+        asked, place = np.zeros(len(number), dtype=bool), np.zeros(len(number), dtype=np.int32)
         for a, b in zip(cuts[:-1], cuts[1:]):
-            at = order[a:b]
-            local, inverse = np.unique(np.concatenate([w1[at], w2[at], w3[at]]), return_inverse=True)
-            sort = np.lexsort((number[local], -count[local]))  # frequent words get small ranks, which pack well
-            rank = np.empty(len(local), dtype=np.uint32)
-            rank[sort] = np.arange(len(local))
-            local = local[sort]
-            grams = rank[inverse].reshape(3, -1)
-            rows.append(("grams", block, int(part[at[0]]), pack(
-                np.diff(number[local], prepend=0), count[local], *grams, np.diff(text[at], prepend=0).astype(np.uint32), flags[text[at]].astype(np.uint8)), None, None))
+            grams = w1[a:b], w2[a:b], w3[a:b]
+            for w in grams:
+                asked[w] = True
+            local = np.flatnonzero(asked)
+            asked[local] = False
+            place[local] = np.arange(len(local))
+            small = np.min_scalar_type(len(local))
+            c = a + int(np.searchsorted(held[a:b], True))
+            texts = (narrow(np.diff(text[i:j], prepend=0)) for i, j in ((a, c), (c, b)))
+            rows.append(("grams", block, int(part[a]), pack(narrow(np.diff(number[local], prepend=START)), *(place[w].astype(small) for w in grams), *texts), None, None))
         return pa.Table.from_batches([packets(rows, id_kind)])
 
     def model_part_scores(table: pa.Table) -> pa.Table:
@@ -447,59 +645,68 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             return passed
         bodies = [unpack(table.column("body")[int(i)].as_py()) for i in at]
         blocks = [table.column("block")[int(i)].as_py() for i in at]
-        hot_rows = table.filter(pa.array(kinds == "hot"))
+        successors = [unpack(table.column("body")[int(i)].as_py()) for i in np.flatnonzero(kinds == "hot")]
         del table
-        hot_word, hot_follower, hot_count, hot_times = (hot_rows.column(c).to_numpy() for c in ("word", "follower", "follower_count", "times"))
-        numbers = [np.cumsum(b[0]) for b in bodies]
-        vocabulary, place = np.unique(np.concatenate([*numbers, hot_word, hot_follower]), return_inverse=True)
-        place = place.astype(np.int32)
-        count = np.zeros(len(vocabulary), dtype=np.int64)
-        np.maximum.at(count, place, np.concatenate([*(b[1] for b in bodies), np.zeros(len(hot_word), dtype=np.int64), hot_count]))
-        size = len(vocabulary)
-        cuts = np.cumsum([0] + [len(n) for n in numbers])
-        lengths = [len(b[2]) for b in bodies]
-        w1, w2, w3 = (np.empty(sum(lengths), dtype=np.int32) for _ in range(3))
-        texts_of, flags, done = [], np.empty(sum(lengths), dtype=bool), 0
-        for k, (at, n) in enumerate(zip(cuts, lengths)):  # each body is let go once it is read
-            own = bodies[k]
-            for out, ranks in zip((w1, w2, w3), own[2:5]):
-                out[done : done + n] = place[at + ranks.astype(np.int64)]
-            flags[done : done + n] = own[6]
-            texts_of.append(own[5])
-            bodies[k] = own = None
-            done += n
-        unigram = (count + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-        wide = np.int64(size)
-        pair, times = _counted(w2[flags] * wide + w3[flags])
-        if len(hot_word):
+        numbers = [np.cumsum(b[0], dtype=np.int64) + START for b in bodies] + [np.cumsum(h[1], dtype=np.int64) - 1 for h in successors]
+        vocabulary = _counted(np.concatenate([*numbers, *(h[0] for h in successors)]))[0]
+        size, wide = len(vocabulary), np.int64(len(vocabulary))
+        n = sum(len(b[1]) for b in bodies)
+        w1, w2, w3 = (np.empty(n, dtype=np.int32) for _ in range(3))
+        texts_of, flags, done = [], np.zeros(n, dtype=bool), 0
+        for k, b in enumerate(bodies):  # each body is let go once it is read
+            place = np.searchsorted(vocabulary, numbers[k]).astype(np.int32)
+            for out, ranks in zip((w1, w2, w3), b[1:4]):
+                out[done : done + len(ranks)] = place[ranks]
+            flags[done : done + len(b[4])] = True
+            texts_of.append(b[4:])
+            done += len(b[1])
+            bodies[k] = numbers[k] = b = None
+        hot_pair, hot_times = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for followers, (word, _, times) in zip(numbers[len(blocks) :], successors):
+            hot_pair.append(np.searchsorted(vocabulary, word) * wide + np.searchsorted(vocabulary, followers))
+            hot_times.append(times.astype(np.int64))
+        del numbers, successors
+        unigram = (count_of(vocabulary) + 0.5) / (n_tokens + 0.5 * (n_types + 1))
+        pair, pair_times = _counted(w2[flags] * wide + w3[flags])
+        hot_pair = np.concatenate(hot_pair)
+        if len(hot_pair):
             whole = np.zeros(size, dtype=bool)
-            hot_at, follower_at = (place[a : a + len(hot_word)].astype(np.int64) for a in (cuts[-1], cuts[-1] + len(hot_word)))
-            whole[hot_at] = True
-            keep = ~whole[pair // size]
-            pair, times = np.concatenate([pair[keep], hot_at * size + follower_at]), np.concatenate([times[keep], hot_times])
-            sort = np.argsort(pair)
-            pair, times = pair[sort], times[sort]
-        key = w2[flags] * wide
-        key += w1[flags]
-        context = None if size < 1 << 21 else np.unique(key)  # three ranks of 21 bits fit into one number
+            whole[hot_pair // wide] = True
+            keep = ~whole[pair // wide]
+            pair, pair_times = _summed(np.concatenate([pair[keep], hot_pair]), np.concatenate([pair_times[keep], *hot_times]))
+        key = w2 * wide
+        key += w1
+        context = None if size < 1 << 21 else _counted(key.copy())[0]  # three ranks of 21 bits fit into one number
         key = (key if context is None else np.searchsorted(context, key)) * wide
-        key += w3[flags]
-        key, triple_times = _counted(key)
-        triple = [key % wide]
+        key += w3
+        del w1, w2, w3
+        order = np.argsort(key)
+        key = key[order]
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        first = np.flatnonzero(fresh)
+        again = np.empty(n, dtype=np.int32 if n < 1 << 31 else np.int64)
+        again[order] = np.cumsum(fresh) - 1
+        times = np.add.reduceat(flags[order], first, dtype=np.int64)
+        key = key[first]
+        del order, fresh, first, flags
+        follower = (key % wide).astype(np.int32)
         key //= wide
         key = key if context is None else context[key]
-        triple = [(key % wide).astype(np.int32), (key // wide).astype(np.int32), triple[0].astype(np.int32)]
-        del context, key
-        trie = Trie(unigram, pair, times, triple, triple_times)
-        del triple_times, pair, times
+        grams = (key % wide).astype(np.int32), (key // wide).astype(np.int32), follower
+        del key, context, follower
+        seen = times > 0
+        trie = Trie(unigram, pair, pair_times, [w[seen] for w in grams], times[seen])
+        del times, seen, pair, pair_times
+        code = trie.ask(*grams).astype(np.int32)
+        del grams, trie
         rows, done = [], 0
         for block, steps in zip(blocks, texts_of):
-            n = len(steps)
-            code = trie.ask(*(w[done : done + n] for w in (w1, w2, w3)))
-            text = np.cumsum(steps.astype(np.int64))
-            heads = np.flatnonzero(np.diff(text, prepend=-1))
-            rows.append(("codes", int(block), part, pack(text[heads], np.add.reduceat(code, heads)), None, None))
-            done += n
+            heads = [np.flatnonzero(np.concatenate([[True] * bool(len(x)), x[1:] > 0])) for x in steps]
+            texts = (narrow(np.diff(np.cumsum(x, dtype=np.int64)[h], prepend=0)) for x, h in zip(steps, heads))
+            length = len(steps[0]) + len(steps[1])
+            own = np.add.reduceat(code[again[done : done + length]], np.concatenate([heads[0], heads[1] + len(steps[0])]), dtype=np.int64)
+            rows.append(("codes", int(block), part, pack(*texts, narrow(own)), None, None))
+            done += length
         out = pa.Table.from_batches([packets(rows, id_kind)])
         return pa.concat_tables([passed.cast(out.schema), out])
 
@@ -510,8 +717,8 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         code = np.zeros(len(counts), dtype=np.int64)
         for i, kind in enumerate(kinds):
             if kind == "codes":
-                text, more = unpack(table.column("body")[i].as_py())
-                code[text] += more
+                trained, held, more = unpack(table.column("body")[i].as_py())
+                code[np.concatenate([np.cumsum(x, dtype=np.int64) for x in (trained, held)])] += more.astype(np.int64)
         return pa.table({
             "doc_id": table.column("ids")[own].values, "trains": table.column("flags")[own].values, "n_tokens": pa.array(counts, pa.int64()),
             "n_known": pa.array(known_tokens, pa.int64()), "train_tokens": pa.array(np.full(len(counts), n_tokens), pa.int64()),
@@ -519,31 +726,15 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         })
 
     both = blocks.filter("kind = 'block'").unionByName(known.filter("kind = 'known'"))
-    grams = both.groupBy("block").applyInArrow(deal, packet)
-    empty = {"word": "bigint", "follower": "bigint", "follower_count": "bigint", "times": "bigint"}
-    rows = grams.select(*names, *(F.lit(None).cast(t).alias(c) for c, t in empty.items()))
-    if n_training > hot or _has_hot_word(known, hot):
-        pairs = both.groupBy("block").applyInArrow(hot_pairs, "word bigint, follower bigint, follower_count bigint, parts int, times bigint")
-        pairs = pairs.groupBy("word", "follower").agg(F.sum("times").alias("times"), F.max("follower_count").alias("follower_count"), F.max("parts").alias("parts"))
-        pairs = pairs.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        pairs = pairs.select(
-            F.lit("hot").alias("kind"), F.lit(-1).cast("long").alias("block"), F.pmod(F.col("word") + F.col("b"), F.lit(model_parts)).cast("int").alias("part"),
-            F.lit(None).cast("binary").alias("body"), F.lit(None).cast(f"array<{ids}>").alias("ids"), F.lit(None).cast("array<boolean>").alias("flags"), *empty)
-        rows = rows.unionByName(pairs.distinct())
+    rows = both.groupBy("block").applyInArrow(deal, packet)
+    if len(dealing.number):
+        pairs = both.groupBy("block").applyInArrow(hot_pairs, packet)
+        rows = rows.unionByName(pairs.groupBy("part").applyInArrow(hot_successors, packet))
     codes = rows.groupBy("part").applyInArrow(model_part_scores, packet)
     return codes.groupBy("block").applyInArrow(
         finish, f"doc_id {ids}, trains boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
 
 
-def _has_hot_word(known: DataFrame, hot: int) -> bool:
-    def largest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([int(unpack(b.as_py())[1].max(initial=0)) for b in batch.column("body")], pa.int64())], ["largest"])
-
-    found = known.filter("kind = 'known'").select("body").mapInArrow(largest, "largest bigint").agg(F.max("largest")).first()[0]
-    return (found or 0) > hot
-
-
 def op1(docs: DataFrame) -> DataFrame:
     out = scored(docs, crc_bucket() != 1)
     return out.select("doc_id", (~F.col("trains")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

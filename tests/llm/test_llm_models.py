@@ -172,6 +172,65 @@ def test_a_trie_that_was_asked_is_no_larger():
     assert held(trie) <= 1.5 * stated and stated < 12 * len(triple)
 
 
+def test_values_are_found_in_any_order_and_density():
+    r = np.random.default_rng(2)
+    values = np.unique(np.concatenate([r.integers(0, 10**10, 60_000), r.integers(5 * 10**9, 5 * 10**9 + 90_000, 60_000)]))
+    ef = ngram_lm.EliasFano(values, 10**10)
+    for asked in (values, r.permutation(values), values[::3000], np.repeat(values[:50], 3), values + 1, np.array([values[0], 10**10 - 1])):
+        at = np.searchsorted(values, asked)
+        want = np.where(values[np.minimum(at, len(values) - 1)] == asked, at, -1)
+        assert (ef.find(asked) == want).all()
+
+
+def test_sorted_ngrams_are_read_off_the_sequences(monkeypatch):
+    """All n-grams of a trie, in its order, are not searched for one by one."""
+    r = np.random.default_rng(6)
+    size = 2_000
+    triple = np.unique(r.integers(0, size, 200_000) * size * size + r.zipf(1.5, 200_000) % size * size + r.integers(0, size, 200_000))
+    w2, w1, w3 = triple // size // size, triple // size % size, triple % size
+    pair, times = np.unique(w2 * size + w3, return_counts=True)
+    trie = ngram_lm.Trie(np.full(size, 1 / size), pair, times, (w1, w2, w3), np.ones(len(triple), dtype=np.int64))
+    mixed = r.permutation(len(triple))
+    want, searched = trie.ask(w1[mixed], w2[mixed], w3[mixed]), []
+    plain = ngram_lm.EliasFano._find
+    monkeypatch.setattr(ngram_lm.EliasFano, "_find", lambda self, v: searched.append(len(v)) or plain(self, v))
+    assert (trie.ask(w1, w2, w3)[mixed] == want).all() and sum(searched) < len(triple) / 10
+
+
+def test_counts_are_known_by_their_steps():
+    counts = [np.sort(np.random.default_rng(p).zipf(1.5, 500) - 1)[::-1] for p in range(3)]
+    bodies = [(p, ngram_lm.pack(np.zeros(3), *ngram_lm.WordCounts.steps(c))) for p, c in enumerate(counts)]
+    of = ngram_lm.WordCounts(bodies[::-1], 3)
+    assert all((of(np.arange(500) * 3 + p) == c).all() for p, c in enumerate(counts))
+
+
+def test_frequent_words_are_dealt_evenly():
+    r = np.random.default_rng(8)
+    number, count = r.permutation(1000)[:40], r.integers(101, 5000, 40)
+    dealing = ngram_lm.Dealing(64, 100, number, count)
+    load = Counter(p for own in range(40) for k in range(int(dealing.spread[own])) for p in [int(dealing.first[own] + k) % 64])
+    assert max(load.values()) - min(load.values()) <= 1 and sum(load.values()) == sum(-(-count // 100))
+    words = np.arange(1000)
+    for own in range(40):
+        got = dealing.parts_of(words, np.full(1000, dealing.number[own]), words)
+        assert set(got.tolist()) == set(dealing.all_parts(own))
+    rare = np.setdiff1d(words, number)
+    assert all(len(set(dealing.parts_of(words, np.full(1000, w), words).tolist())) == 1 for w in rare[:50])
+
+
+def test_successors_of_frequent_words_travel_packed(documents, corpus, monkeypatch):
+    """A frequent word brings a packet to each of its parts, not a row for every successor."""
+    from pyspark.sql.pandas.group_ops import PandasGroupedOpsMixin as Grouped
+
+    plain, read = Grouped.applyInArrow, {}
+    monkeypatch.setattr(Grouped, "applyInArrow", lambda self, f, schema: read.__setitem__(f.__name__, self._df) or plain(self, f, schema))
+    docs, trains = documents(corpus), F.col("doc_id") % 4 != 0
+    assert ngram_lm.scored(docs, trains, hot=50, model_part=4000).count() == len(corpus)
+    counts = Counter(w for i, t in enumerate(corpus) if i % 4 for w in tokens(t))
+    slots = sum(-(-c // 50) for c in counts.values() if c > 50)
+    assert 0 < read["model_part_scores"].filter("kind = 'hot'").count() <= slots
+
+
 def test_scores_without_training_rows(documents):
     rows = ngram_lm.scored(documents(["a b", None]), F.lit(False)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in sorted(rows, key=lambda r: r.doc_id)] == [(3, 0, 0), (1, 0, 0)]
