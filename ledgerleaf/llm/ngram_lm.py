@@ -29,6 +29,8 @@ PIECE_BYTES = 8 << 20
 BLOCK_BYTES = 32 << 20
 WORD_PART_BYTES = 64 << 20
 PAIR_PART_BYTES = 128 << 20
+#: Packed bytes of the packets that leave a task at once.
+BATCH_BYTES = 4 << 20
 MODEL_PART_BYTES = 10 << 20
 #: Text bytes to a token, roughly: a word that follows more tokens than one part's text has is dealt to several parts.
 TOKEN_BYTES = 6
@@ -416,7 +418,7 @@ class Dealing:
 
     A word of up to ``hot`` training tokens has one part.  The others have several, each by the
     word before; their parts are laid one behind the other around the model, so that none gets
-    more of them than the next.
+    more of them than the next.  The start of a text, which has but one context, is dealt by the word to come.
     """
 
     def __init__(self, parts: int, hot: int, number: np.ndarray, count: np.ndarray):
@@ -432,14 +434,15 @@ class Dealing:
         there = there[number[at[there]] == self.number[there]]
         return at[there], there
 
-    def parts_of(self, w1: np.ndarray, w2: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """The part of every context; words are places among the ascending ``number``."""
+    def parts_of(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """The part of every n-gram; words are places among the ascending ``number``."""
         first, spread = (mixed(number.astype(U64)) % U64(self.parts)).astype(np.int32), np.ones(len(number), dtype=np.int32)
         at, own = self.split(number)
         first[at], spread[at] = self.first[own] % self.parts, self.spread[own]
         part = first[w2]
         several = np.flatnonzero(spread[w2] > 1)
-        part[several] = (part[several] + number[w1[several]] % spread[w2[several]]) % self.parts
+        by = np.where(number[w2[several]] == START, w3[several], w1[several])
+        part[several] = (part[several] + number[by] % spread[w2[several]]) % self.parts
         return part.astype(np.min_scalar_type(self.parts))
 
     def all_parts(self, own: int) -> list[int]:
@@ -460,7 +463,8 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
 
     Words that follow more tokens than half a part's share of the text has (``hot``) are dealt to several
     parts by the word before them; the successors of such a word are counted first, and every one of
-    its parts gets them all, so its probabilities are the same as in a single part.
+    its parts gets them all, so its probabilities are the same as in a single part.  The starts of texts
+    are such a word too, and their successors are those of their one context.
     """
     ids = id_type(docs)
     hot = max(1, model_part // (2 * TOKEN_BYTES)) if hot is None else hot
@@ -536,7 +540,11 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
     n_tokens, n_types = (sum(s[i] for _, s in sums) for i in range(2))
     count_of = WordCounts(stats, word_parts)
     frequent = np.concatenate([np.zeros(0, dtype=np.int64), *(np.arange(s[2]) * word_parts + part for part, s in sums)])
-    dealing = Dealing(model_parts, hot, frequent, WordCounts(stats, word_parts)(frequent) if len(frequent) else frequent)
+    often = WordCounts(stats, word_parts)(frequent) if len(frequent) else frequent
+    n_training = docs.filter(F.coalesce(trains, F.lit(False))).count()
+    if n_training > hot:
+        frequent, often = np.append(frequent, START), np.append(often, n_training)
+    dealing = Dealing(model_parts, hot, frequent, often)
 
     def opened(table: pa.Table):
         """A block: tokens and the two before each, token counts, whether texts train, and numbers of its words.
@@ -560,6 +568,7 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         counts = counts.astype(np.int64)
         first = np.cumsum(counts) - counts
         w3 = place[tokens]
+        del tokens
         w2 = np.concatenate([w3[:1], w3[:-1]])
         w2[first] = 0
         w1 = np.concatenate([w2[:1], w2[:-1]])
@@ -609,18 +618,25 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         logs = np.log10((count + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
         first = np.cumsum(counts) - counts
         base = np.add.reduceat(logs[w3], first) if len(first) else np.zeros(0)
-        known_tokens = np.add.reduceat((count[w3] > 0).astype(np.int64), first) if len(first) else np.zeros(0, dtype=np.int64)
+        known_tokens = np.add.reduceat((count > 0)[w3], first, dtype=np.int64) if len(first) else np.zeros(0, dtype=np.int64)
         rows = [("base", block, int(block % model_parts), pack(counts, known_tokens, base), table.column("ids")[own].as_py(), flags.tolist())]
-        part = dealing.parts_of(w1, w2, number)
+        part = dealing.parts_of(w1, w2, w3, number)
         text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
         held = ~flags[text]
         small = np.min_scalar_type(2 * model_parts + 1)
         order = np.argsort(part.astype(small) * small.type(2) + held, kind="stable")  # of each part, those of training texts first
-        part, text, held, w1, w2, w3 = part[order], text[order], held[order], w1[order], w2[order], w3[order]
+        part, held = part[order], held[order]
+        text = text[order]  # one after the other, so that no two copies of all are held
+        w1 = w1[order]
+        w2 = w2[order]
+        w3 = w3[order]
         del order
         cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
         asked, place = np.zeros(len(number), dtype=bool), np.zeros(len(number), dtype=np.int32)
+        batches, size = [], 0
         for a, b in zip(cuts[:-1], cuts[1:]):
+            if size > BATCH_BYTES:
+                batches, rows, size = [*batches, packets(rows, id_kind)], [], 0
             grams = w1[a:b], w2[a:b], w3[a:b]
             for w in grams:
                 asked[w] = True
@@ -631,7 +647,8 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             c = a + int(np.searchsorted(held[a:b], True))
             texts = (narrow(np.diff(text[i:j], prepend=0)) for i, j in ((a, c), (c, b)))
             rows.append(("grams", block, int(part[a]), pack(narrow(np.diff(number[local], prepend=START)), *(place[w].astype(small) for w in grams), *texts), None, None))
-        return pa.Table.from_batches([packets(rows, id_kind)])
+            size += len(rows[-1][3])
+        return pa.Table.from_batches([*batches, packets(rows, id_kind)])
 
     def model_part_scores(table: pa.Table) -> pa.Table:
         """Builds one part of the model and asks it for every n-gram dealt to it: summed codes by text."""
@@ -647,27 +664,36 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         blocks = [table.column("block")[int(i)].as_py() for i in at]
         successors = [unpack(table.column("body")[int(i)].as_py()) for i in np.flatnonzero(kinds == "hot")]
         del table
-        numbers = [np.cumsum(b[0], dtype=np.int64) + START for b in bodies] + [np.cumsum(h[1], dtype=np.int64) - 1 for h in successors]
-        vocabulary = _counted(np.concatenate([*numbers, *(h[0] for h in successors)]))[0]
+        steps_of, done = [b[0] for b in bodies] + [h[1] for h in successors], 0
+        numbers = np.empty(sum(map(len, steps_of)) + len(successors), dtype=np.int64)
+        for steps in steps_of:
+            numbers[done : done + len(steps)] = np.cumsum(steps, dtype=np.int64) + START
+            done += len(steps)
+        numbers[done:] = [h[0][0] for h in successors]
+        vocabulary = _counted(numbers)[0]
+        del numbers, steps_of
         size, wide = len(vocabulary), np.int64(len(vocabulary))
         n = sum(len(b[1]) for b in bodies)
         w1, w2, w3 = (np.empty(n, dtype=np.int32) for _ in range(3))
         texts_of, flags, done = [], np.zeros(n, dtype=bool), 0
         for k, b in enumerate(bodies):  # each body is let go once it is read
-            place = np.searchsorted(vocabulary, numbers[k]).astype(np.int32)
+            place = np.searchsorted(vocabulary, np.cumsum(b[0], dtype=np.int64) + START).astype(np.int32)
             for out, ranks in zip((w1, w2, w3), b[1:4]):
                 out[done : done + len(ranks)] = place[ranks]
             flags[done : done + len(b[4])] = True
             texts_of.append(b[4:])
             done += len(b[1])
-            bodies[k] = numbers[k] = b = None
+            bodies[k] = b = None
         hot_pair, hot_times = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for followers, (word, _, times) in zip(numbers[len(blocks) :], successors):
-            hot_pair.append(np.searchsorted(vocabulary, word) * wide + np.searchsorted(vocabulary, followers))
+        for word, steps, times in successors:
+            hot_pair.append(np.searchsorted(vocabulary, word) * wide + np.searchsorted(vocabulary, np.cumsum(steps, dtype=np.int64) + START))
             hot_times.append(times.astype(np.int64))
-        del numbers, successors
+        starts = len(successors) and any(h[0][0] == START for h in successors)
+        del successors
         unigram = (count_of(vocabulary) + 0.5) / (n_tokens + 0.5 * (n_types + 1))
-        pair, pair_times = _counted(w2[flags] * wide + w3[flags])
+        pair = w2[flags] * wide
+        pair += w3[flags]
+        pair, pair_times = _counted(pair)
         hot_pair = np.concatenate(hot_pair)
         if len(hot_pair):
             whole = np.zeros(size, dtype=bool)
@@ -685,8 +711,8 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         fresh = np.concatenate([[True], key[1:] != key[:-1]])
         first = np.flatnonzero(fresh)
         again = np.empty(n, dtype=np.int32 if n < 1 << 31 else np.int64)
-        again[order] = np.cumsum(fresh) - 1
-        times = np.add.reduceat(flags[order], first, dtype=np.int64)
+        again[order] = np.cumsum(fresh, dtype=again.dtype) - 1
+        times = np.add.reduceat(flags[order], first, dtype=again.dtype)
         key = key[first]
         del order, fresh, first, flags
         follower = (key % wide).astype(np.int32)
@@ -695,7 +721,14 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         grams = (key % wide).astype(np.int32), (key // wide).astype(np.int32), follower
         del key, context, follower
         seen = times > 0
-        trie = Trie(unigram, pair, pair_times, [w[seen] for w in grams], times[seen])
+        triple = [w[seen] for w in grams]
+        times = times[seen]
+        if starts:  # the start is the first of the words, and what follows it also follows the context of two starts
+            own, rest = slice(0, int(np.searchsorted(pair, wide))), slice(int(np.searchsorted(triple[1], 1)), None)
+            first = np.zeros(own.stop, dtype=np.int32), np.zeros(own.stop, dtype=np.int32), pair[own].astype(np.int32)
+            triple, times = [np.concatenate([x, w[rest]]) for x, w in zip(first, triple)], np.concatenate([pair_times[own].astype(times.dtype), times[rest]])
+            del first
+        trie = Trie(unigram, pair, pair_times, triple, times)
         del times, seen, pair, pair_times
         code = trie.ask(*grams).astype(np.int32)
         del grams, trie

@@ -212,10 +212,18 @@ def test_frequent_words_are_dealt_evenly():
     assert max(load.values()) - min(load.values()) <= 1 and sum(load.values()) == sum(-(-count // 100))
     words = np.arange(1000)
     for own in range(40):
-        got = dealing.parts_of(words, np.full(1000, dealing.number[own]), words)
+        got = dealing.parts_of(words, np.full(1000, dealing.number[own]), words, words)
         assert set(got.tolist()) == set(dealing.all_parts(own))
     rare = np.setdiff1d(words, number)
-    assert all(len(set(dealing.parts_of(words, np.full(1000, w), words).tolist())) == 1 for w in rare[:50])
+    assert all(len(set(dealing.parts_of(words, np.full(1000, w), words, words).tolist())) == 1 for w in rare[:50])
+
+
+def test_starts_of_texts_are_dealt_by_their_words():
+    """Many short texts do not meet in one part."""
+    words, start = np.arange(-1, 999), np.zeros(1000, dtype=np.int64)
+    dealing = ngram_lm.Dealing(64, 100, np.array([ngram_lm.START]), np.array([5000]))
+    load = np.bincount(dealing.parts_of(start, start, np.arange(1000), words), minlength=64)
+    assert (load > 0).sum() == 50 and load.max() <= 21
 
 
 def test_successors_of_frequent_words_travel_packed(documents, corpus, monkeypatch):
@@ -227,6 +235,7 @@ def test_successors_of_frequent_words_travel_packed(documents, corpus, monkeypat
     docs, trains = documents(corpus), F.col("doc_id") % 4 != 0
     assert ngram_lm.scored(docs, trains, hot=50, model_part=4000).count() == len(corpus)
     counts = Counter(w for i, t in enumerate(corpus) if i % 4 for w in tokens(t))
+    counts["<s>"] = sum(1 for i in range(len(corpus)) if i % 4)
     slots = sum(-(-c // 50) for c in counts.values() if c > 50)
     assert 0 < read["model_part_scores"].filter("kind = 'hot'").count() <= slots
 
