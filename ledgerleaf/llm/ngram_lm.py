@@ -84,14 +84,15 @@ class EliasFano:
     def __init__(self, values: np.ndarray, universe: int):
         n = len(values)
         self.n, self.bits = n, max(0, int(universe // max(n, 1)).bit_length() - 1)
-        high = (values >> self.bits) + np.arange(n)
         self.size = int(universe >> self.bits) + n + 1
         unary = np.zeros(-(-(self.size + 1) // 64) * 64, dtype=np.uint8)
-        unary[high] = 1
+        for a in range(0, n, ASKED):
+            part = values[a : a + ASKED]
+            unary[(part >> self.bits) + np.arange(a, a + len(part))] = 1
         self.upper = mapped(np.packbits(unary, bitorder="little").view(np.uint64))
         before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.upper), dtype=np.int64)])
         self.before = mapped(before.astype(np.uint32 if n < 1 << 32 else np.int64))
-        self.lower = mapped(self._packed(values & ((1 << self.bits) - 1)))
+        self.lower = mapped(self._packed(values))
 
     def _packed(self, low: np.ndarray) -> np.ndarray:
         out = np.zeros((len(low) * self.bits + 7) // 8 + 8, dtype=np.uint8)
@@ -258,8 +259,8 @@ class Trie:
         for a in range(0, len(at2), ASKED):
             i, j = inverse[a : a + ASKED], at2[a : a + ASKED]
             p3[a : a + ASKED] = _coded((triple_count[a : a + ASKED] - discount[i]) / total[i] + mass[i] * p2[j])
-        at2 += base[inverse]
-        at2 -= begin[w2]
+        for a in range(0, len(at2), ASKED):
+            at2[a : a + ASKED] += base[inverse[a : a + ASKED]] - begin[w2[a : a + ASKED]]
         del inverse, w2
         if (at2[1:] < at2[:-1]).any():
             order = np.argsort(at2, kind="stable")
@@ -715,14 +716,14 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
         times = np.add.reduceat(flags[order], first, dtype=again.dtype)
         key = key[first]
         del order, fresh, first, flags
-        follower = (key % wide).astype(np.int32)
-        key //= wide
-        key = key if context is None else context[key]
-        grams = (key % wide).astype(np.int32), (key // wide).astype(np.int32), follower
-        del key, context, follower
+
+        def grams(key: np.ndarray) -> list[np.ndarray]:
+            before = key // wide
+            before = before if context is None else context[before]
+            return [(before % wide).astype(np.int32), (before // wide).astype(np.int32), (key % wide).astype(np.int32)]
+
         seen = times > 0
-        triple = [w[seen] for w in grams]
-        times = times[seen]
+        triple, times = grams(key[seen]), times[seen]
         if starts:  # the start is the first of the words, and what follows it also follows the context of two starts
             own, rest = slice(0, int(np.searchsorted(pair, wide))), slice(int(np.searchsorted(triple[1], 1)), None)
             first = np.zeros(own.stop, dtype=np.int32), np.zeros(own.stop, dtype=np.int32), pair[own].astype(np.int32)
@@ -730,8 +731,10 @@ def scored(docs: DataFrame, trains: Column, hot: int | None = None, model_part:
             del first
         trie = Trie(unigram, pair, pair_times, triple, times)
         del times, seen, pair, pair_times
-        code = trie.ask(*grams).astype(np.int32)
-        del grams, trie
+        code = np.empty(len(key), dtype=np.int32)
+        for a in range(0, len(key), ASKED):
+            code[a : a + ASKED] = trie.ask(*grams(key[a : a + ASKED]))
+        del key, trie
         rows, done = [], 0
         for block, steps in zip(blocks, texts_of):
             heads = [np.flatnonzero(np.concatenate([[True] * bool(len(x)), x[1:] > 0])) for x in steps]
